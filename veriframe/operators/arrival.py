@@ -1,4 +1,4 @@
-"""File landing and archive checks."""
+"""Checks that files and tables are there, or gone."""
 
 from __future__ import annotations
 
@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from veriframe.operators.verdict import status_of, verdict_columns
 from veriframe.sources.files import file_name, list_files
+from veriframe.sources.tables import table_exists
+
+
+def check_table_absent(spark: SparkSession, table: str) -> DataFrame:
+    """The catalog has no such table."""
+    found = table_exists(spark, table)
+    return spark.range(1).select(
+        *verdict_columns("table_absent", table, F.lit(int(found)), observed=F.lit("exists" if found else "absent"))
+    )
 
 
 def check_file_absent(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.operators.verdict import verdict_columns
+from veriframe.operators.verdict import group_text, verdict_columns
 
 Columns = str | Sequence[str]
 
@@ -56,3 +56,19 @@ def distinct_measures() -> dict[str, Column]:
         "Uniqueness": (single / total).cast("double"),
         "UniqueValueRatio": F.try_divide(single.cast("double"), values.cast("double")),
     }
+
+
+def check_constant_by(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """Exactly one distinct value per group, null being a value.
+
+    Grouped text columns go through value counts: a grouped minimum of text
+    would sort every row.
+    """
+    values = value_counts(df, [*by, column]).groupBy(*by).agg((F.count(F.lit(1)) - 1).alias("more"))
+    return values.select(
+        *by,
+        *verdict_columns(
+            "constant", column, F.col("more"), observed=F.col("more") + 1, expected=F.lit(1),
+            group_key=group_text(list(by)),
+        ),
+    )

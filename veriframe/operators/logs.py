@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from veriframe.functions.text import contains, contains_any, run_uri
 from veriframe.functions.time import day_text
@@ -122,6 +123,21 @@ def check_log_records(
     return wanted.join(newest, list(keys), "left").select(*keys, F.inline(F.array(*outcomes)))
 
 
+def check_log_record(
+    log: DataFrame, where: dict, expected: dict, order: Sequence[Column]
+) -> DataFrame:
+    """One record: the newest row equal to ``where`` against a dict of expected values.
+
+    A struct is expected as a dict of its fields.
+    """
+    schema = StructType([f for f in log.schema.fields if f.name in expected])
+    row = tuple(expected[f.name] for f in schema.fields)
+    wanted = log.sparkSession.createDataFrame([row], schema).withColumn("_one", F.lit(1))
+    rows = where_equal(log, where).withColumn("_one", F.lit(1))
+    columns = list(expected)
+    return check_log_records(rows, wanted, ["_one"], columns, order).drop("_one")
+
+
 def _as_text(df: DataFrame, column: str, path: str) -> Column:
     kind = dict(df.dtypes)[column]
     nested = kind.startswith(("struct", "array", "map"))

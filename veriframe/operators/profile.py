@@ -1,8 +1,10 @@
 """Column profile metrics as one long frame: entity, instance, name, value.
 
-Metrics that are plain aggregates share one pass over the table. Distinct
-metrics and histograms take one grouped count per column. Every requested
-metric yields a row; a metric that is undefined for the data holds null.
+Metrics that are plain aggregates share one pass over the table, quantiles
+another: their sketches would take the plain ones out of generated code.
+Distinct metrics and histograms take one grouped count per column. Every
+requested metric yields a row; a metric that is undefined for the data holds
+null.
 """
 
 from __future__ import annotations
@@ -52,10 +54,12 @@ def profile(
     accuracy: int = QUANTILE_ACCURACY,
 ) -> DataFrame:
     """All requested metrics, for the whole table or per group of ``by``."""
-    fused, distinct, frames = [], {}, []
+    fused, sketched, distinct, frames = [], [], {}, []
     for m in metrics:
-        if m.name in SCALAR or m.name == "Correlation" or m.name.startswith(QUANTILE):
+        if m.name in SCALAR or m.name == "Correlation":
             fused.append(m)
+        elif m.name.startswith(QUANTILE):
+            sketched.append(m)
         elif m.name in DISTINCT:
             distinct.setdefault(m.columns, []).append(m)
         elif m.name == "Histogram":
@@ -64,14 +68,17 @@ def profile(
             frames.append(mutual_information(df, *m.columns, by=by))
         else:
             raise ValueError(f"unknown metric {m.name}")
-    if fused:
-        frames.append(_fused(df, fused, by, accuracy))
+    frames += [_fused(df, wanted, by, accuracy) for wanted in (fused, sketched) if wanted]
     frames += [_distinct(df, wanted, by) for wanted in distinct.values()]
     return union_all(frames)
 
 
-def scalar_measure(m: Metric, accuracy: int = QUANTILE_ACCURACY) -> Column:
-    """The aggregate behind one scalar metric, as a double."""
+def scalar_measure(m: Metric, accuracy: int = QUANTILE_ACCURACY, exact: bool = False) -> Column:
+    """The aggregate behind one scalar metric, as a double.
+
+    ``exact`` is for decimal columns: their mean is the exact sum over the
+    count, where an average would round to a few more digits than the scale.
+    """
     if m.name == "Size":
         return F.count(F.lit(1)).cast("double")
     if m.name == "Correlation":
@@ -82,7 +89,7 @@ def scalar_measure(m: Metric, accuracy: int = QUANTILE_ACCURACY) -> Column:
         return F.percentile_approx(column, F.lit(share), F.lit(accuracy)).cast("double")
     measure = {
         "Completeness": lambda: F.count(column) / F.count(F.lit(1)),
-        "Mean": lambda: F.avg(column),
+        "Mean": lambda: F.sum(column).cast("double") / F.count(column) if exact else F.avg(column),
         "Sum": lambda: F.sum(column),
         "StandardDeviation": lambda: F.stddev_pop(column),
         "Minimum": lambda: F.min(column),
@@ -106,7 +113,9 @@ def _long(df: DataFrame, metrics: Sequence[Metric], measures: Sequence[Column],
 
 
 def _fused(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str], accuracy: int) -> DataFrame:
-    return _long(df, metrics, [scalar_measure(m, accuracy) for m in metrics], by)
+    decimals = {name for name, kind in df.dtypes if kind.startswith("decimal")}
+    measures = [scalar_measure(m, accuracy, bool(decimals.intersection(m.columns))) for m in metrics]
+    return _long(df, metrics, measures, by)
 
 
 def _distinct(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str]) -> DataFrame:

@@ -59,10 +59,12 @@ def unexpected_values(
 
     Values are counted before the anti join, so only distinct values meet it.
     """
-    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    if exclude_null:
-        values = values.where(F.col(column).isNotNull())
     known = allowed.select(F.col(allowed.columns[0]).alias("_known")).distinct()
+    if exclude_null:
+        # Plain equality lets the join reuse the partitioning of the counts.
+        values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        return values.join(known, values[column] == known["_known"], "left_anti")
+    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return values.join(known, values[column].eqNullSafe(known["_known"]), "left_anti")
 
 
@@ -126,18 +128,16 @@ def date_gaps(
     """Missing day ranges per group: first day, last day and length of each gap.
 
     Works from neighbouring loaded days, so rows exist only for real gaps. A
-    group's window holds its distinct days, at most one row per day.
+    group's window holds its distinct days, at most one row per day of the range.
     """
-    loaded = (
-        df.select(*by, F.col(column).cast("date").alias("day"))
-        .where(F.col("day").between(start, end))
-        .distinct()
-    )
-    # The day before the range stands in for "nothing loaded yet".
-    groups = df.select(*by, F.date_sub(F.lit(start), 1).alias("day")).distinct()
+    # The day before the range stands in for "nothing loaded yet"; every row
+    # contributes it, so groups without a day in the range are kept.
+    day, before = F.col(column).cast("date"), F.date_sub(F.lit(start), 1)
+    in_range = F.when(day.between(start, end), day).otherwise(before)
+    loaded = df.select(*by, F.explode(F.array(in_range, before)).alias("day")).distinct()
     following = F.lead("day", 1).over(Window.partitionBy(*by).orderBy("day"))
     return (
-        loaded.unionByName(groups)
+        loaded
         .withColumn("gap_start", F.date_add("day", 1))
         .withColumn("gap_end", F.date_sub(F.coalesce(following, F.date_add(F.lit(end), 1)), 1))
         .where(F.col("gap_start") <= F.col("gap_end"))

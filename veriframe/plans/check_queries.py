@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from veriframe.operators import row_checks as rc
 from veriframe.operators import sets
 from veriframe.operators.arrival import check_arrivals
-from veriframe.operators.distinct import check_unique, duplicates
+from veriframe.operators.distinct import check_constant_by, check_unique, duplicates
 from veriframe.operators.registry import check_feature_services, check_feature_views
 from veriframe.operators.verdict import union_all
 from veriframe.plans import standins as st
@@ -103,20 +103,26 @@ def duplicate_values(spark, folder):
 
 
 @query("check_constant", f"""
-    WITH v AS (
-        SELECT l_returnflag, 'l_linestatus' AS target,
-               CASE WHEN count(DISTINCT coalesce(l_linestatus, '?')) = 1 THEN 0 ELSE 1 END AS violations
+    WITH {st.LABELLED}, v AS (
+        SELECT l_returnflag AS part, 'l_linestatus' AS target, count(DISTINCT l_linestatus) - 1 AS violations
         FROM lineitem GROUP BY l_returnflag
         UNION ALL
-        SELECT l_returnflag, 'l_returnflag', 0 FROM lineitem GROUP BY l_returnflag
+        SELECT lang, 'quality', count(DISTINCT coalesce(quality, -1)) - 1 FROM ld GROUP BY lang
+        UNION ALL
+        SELECT 'all', 'l_returnflag', CASE WHEN count(DISTINCT l_returnflag) = 1 THEN 0 ELSE 1 END FROM lineitem
     )
-    SELECT l_returnflag, target, CAST(violations AS BIGINT) AS violations, {_status('violations')} AS status FROM v
+    SELECT part, target, violations, {_status('violations')} AS status FROM v
 """)
 def check_constant(spark, folder):
-    checks = [rc.constant("l_linestatus"), rc.constant("l_returnflag")]
-    return rc.run_row_checks(load(spark, folder, "lineitem"), checks, ["l_returnflag"]).select(
-        "l_returnflag", "target", "violations", "status"
-    )
+    lineitem = load(spark, folder, "lineitem")
+    documents = st.labelled_documents(spark, folder)
+    whole = rc.run_row_checks(lineitem, [rc.constant("l_returnflag")]).withColumn("part", F.lit("all"))
+    names = ["part", "target", "violations", "status"]
+    return union_all([
+        check_constant_by(lineitem, "l_linestatus", ["l_returnflag"]).withColumnRenamed("l_returnflag", "part").select(*names),
+        check_constant_by(documents, "quality", ["lang"]).withColumnRenamed("lang", "part").select(*names),
+        whole.select(*names),
+    ])
 
 
 @query("check_range", f"""

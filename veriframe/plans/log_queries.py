@@ -382,14 +382,18 @@ def sensor_gate_latest(spark, folder):
     return sensors.gate(st.sensor_log(spark, folder), dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 
 
-def _day_metrics(df, column, names=("Minimum", "Maximum", "Mean")):
-    return profile(df, [metric(n, column) for n in names], ["day"]).select("day", "instance", "name", "value")
+def _day_metrics(df, column):
+    """Money as a decimal, so that day sums are exact and the references compare at four digits."""
+    exact = df.withColumn(column, F.col(column).cast("decimal(18,2)"))
+    wanted = [metric(n, column) for n in ("Minimum", "Maximum", "Sum")]
+    return profile(exact, wanted, ["day"]).select("day", "instance", "name", "value")
 
 
 DAY_METRICS = """
     dm AS (SELECT day, 'value' AS instance, name, value FROM (
-               UNPIVOT (SELECT day, min(value) AS "Minimum", max(value) AS "Maximum", avg(value) AS "Mean" FROM ev GROUP BY day)
-               ON "Minimum", "Maximum", "Mean" INTO NAME name VALUE value))"""
+               UNPIVOT (SELECT day, min(value) AS "Minimum", max(value) AS "Maximum",
+                               CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS "Sum" FROM ev GROUP BY day)
+               ON "Minimum", "Maximum", "Sum" INTO NAME name VALUE value))"""
 
 LOOKBACK = """
     lb AS (SELECT day, instance, name, value,
@@ -399,12 +403,12 @@ LOOKBACK = """
 
 def _judged_sql(source, relative):
     return f"""
-    SELECT day, instance, name, round(value, 6) AS value, round(reference, 6) AS reference,
+    SELECT day, instance, name, round(value, 4) AS value, round(reference, 4) AS reference,
            abs(value - reference) <= {relative} * abs(reference) AS is_ready FROM {source}"""
 
 
 def _rounded(df):
-    return df.withColumn("value", F.round("value", 6)).withColumn("reference", F.round("reference", 6))
+    return df.withColumn("value", F.round("value", 4)).withColumn("reference", F.round("reference", 4))
 
 
 @query("anomaly_mean_d3", f"WITH {st.EVENTS}, {DAY_METRICS}, {LOOKBACK} {_judged_sql('lb', 0.2)}")
@@ -415,9 +419,9 @@ def anomaly_mean_d3(spark, folder):
 
 ORDER_METRICS = """
     od AS (SELECT CAST(o_orderdate AS DATE) AS day, 'o_totalprice' AS instance, name, value FROM (
-               UNPIVOT (SELECT o_orderdate, min(o_totalprice) AS "Minimum", max(o_totalprice) AS "Maximum", avg(o_totalprice) AS "Mean"
-                        FROM orders GROUP BY o_orderdate)
-               ON "Minimum", "Maximum", "Mean" INTO NAME name VALUE value))"""
+               UNPIVOT (SELECT o_orderdate, min(o_totalprice) AS "Minimum", max(o_totalprice) AS "Maximum",
+                               CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS "Sum" FROM orders GROUP BY o_orderdate)
+               ON "Minimum", "Maximum", "Sum" INTO NAME name VALUE value))"""
 
 
 def _order_metrics(spark, folder):

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veriframe.sources.workspace import work_dir
+
 DOCUMENT = """
     resultKey struct<dataSetDate: bigint, tags: map<string, string>>,
     analyzerContext struct<metricMap: array<struct<
@@ -74,10 +76,15 @@ def write_metrics(
     """Append metrics to a repository folder as JSON lines.
 
     Histogram metrics can hold one row per distinct value, so the largest
-    result key decides how many documents each key is spread over.
+    result key decides how many documents each key is spread over. The metrics
+    are computed once, into a written table that both steps read.
     """
+    spark = metrics.sparkSession
+    staging = work_dir(spark, "metrics")
+    metrics.write.parquet(staging)
+    staged = spark.read.schema(metrics.schema).parquet(staging)
     largest = (
-        metrics.groupBy("dataset_date", *tags, "instance").count().agg(F.max("count")).first()[0] or 0
+        staged.groupBy("dataset_date", *tags, "instance").count().agg(F.max("count")).first()[0] or 0
     )
     chunks = -(-largest // per_document) or 1
-    metric_documents(metrics, tags, chunks).write.mode("append").json(path)
+    metric_documents(staged, tags, chunks).write.mode("append").json(path)

@@ -2,42 +2,51 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.functions.text import text_list
-from veriframe.operators.sets import SUPERSET, check_sets, compare_sets
-from veriframe.operators.verdict import ERROR, FAIL, PASS
-from veriframe.sources.tables import rows_frame
+from veriframe.operators.sets import SUPERSET, check_sets
+from veriframe.operators.verdict import ERROR, FAIL, PASS, verdict_columns
 
 
-def latest_metrics(metrics: DataFrame, data_date: str) -> DataFrame:
-    """Metrics of one data date, from its newest run only."""
-    dated = metrics.where(F.col("date") == data_date)
-    return dated.where(F.col("dataset_date") == dated.agg(F.max("dataset_date")).scalar())
+def latest_metrics(metrics: DataFrame) -> DataFrame:
+    """Metrics of each data date, from its newest run only."""
+    newest = metrics.groupBy("date").agg(F.max("dataset_date").alias("dataset_date"))
+    return metrics.join(newest, ["date", "dataset_date"], "left_semi")
 
 
-def compare_profile_metrics(
-    metrics: DataFrame, data_date: str, instance: str, expected: Sequence[str]
+def check_profile_metrics(
+    metrics: DataFrame, expected: Mapping[str, Sequence[str]], data_date: str | None = None
 ) -> DataFrame:
-    """Metric names of the newest run against an expected set, one row per name."""
-    names = latest_metrics(metrics, data_date).where(F.col("instance") == instance).select("name")
-    wanted = rows_frame(metrics.sparkSession, [(n,) for n in expected], "name string")
-    return compare_sets(names, wanted, ["name"])
+    """Metric names of the newest run equal an expected set, per data date and instance.
 
+    ``expected`` maps an instance to its names; an empty set is allowed. With a
+    data date only that date is judged, whether or not it has metrics.
+    """
+    if data_date is None:
+        dates = metrics.select("date").distinct()
+    else:
+        metrics = metrics.where(F.col("date") == data_date)
+        dates = metrics.sparkSession.range(1).select(F.lit(data_date).alias("date"))
+    # A null name on both sides keeps instances without any name in the result.
+    sets = [
+        F.struct(F.lit(i).alias("instance"), F.array(F.lit(None), *[F.lit(n) for n in names]).alias("names"))
+        for i, names in expected.items()
+    ]
+    grid = dates.select("date", F.inline(F.array(*sets)))
+    wanted = grid.select("date", "instance", F.explode("names").alias("name"))
+    found = latest_metrics(metrics).where(F.col("instance").isin(*expected)).select("date", "instance", "name")
+    nothing = grid.select("date", "instance", F.lit(None).cast("string").alias("name"))
+    return check_sets(found.unionByName(nothing), wanted, "name", ["date", "instance"])
 
-def check_profile_metrics(
-    metrics: DataFrame, data_date: str, instance: str, expected: Sequence[str]
-) -> DataFrame:
-    """The set of metric names equals the expected one. A repository without metrics is an error."""
-    compared = compare_profile_metrics(metrics, data_date, instance, expected)
-    wrong = F.coalesce(F.sum((F.col("in_actual") != F.col("in_expected")).cast("bigint")), F.lit(0))
-    known = metrics.limit(1).agg(F.count(F.lit(1))).scalar()
-    return compared.agg(wrong.alias("violations")).select(
-        F.lit(instance).alias("instance"), "violations",
-        F.when(known == 0, ERROR).when(F.col("violations") == 0, PASS).otherwise(FAIL).alias("status"),
+
+def check_repository(metrics: DataFrame) -> DataFrame:
+    """A repository without any metric is an error."""
+    return metrics.limit(1).agg(F.count(F.lit(1)).alias("n")).select(
+        *verdict_columns("repository", "*", F.lit(0), observed=F.col("n"), unanswerable=F.col("n") == 0)
     )
 
 

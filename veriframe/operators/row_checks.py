@@ -13,11 +13,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-from veriframe.functions.text import contains_any
-from veriframe.operators.verdict import (
-    FAIL, PASS, group_text, params_json, status_of,
-)
+from veriframe.functions.text import contains_any, params_json
+from veriframe.operators.verdict import FAIL, PASS, group_text, status_of, union_all
 
 Measures = dict[str, Column]
 
@@ -32,13 +31,17 @@ class Outcome:
 
 @dataclass(frozen=True)
 class RowCheck:
-    """Measures to aggregate and how to read the verdict off them."""
+    """Measures to aggregate and how to read the verdict off them.
+
+    ``extremes_of`` names the column whose minimum and maximum are measured.
+    """
 
     check: str
     target: str
     measures: Measures
     judge: Callable[[Measures], Outcome]
     params: dict = field(default_factory=dict)
+    extremes_of: str | None = None
 
 
 def count_if(condition: Column) -> Column:
@@ -78,7 +81,7 @@ def constant(column: str) -> RowCheck:
     return RowCheck(
         "constant", column,
         {"rows": _rows(), "present": F.count(value), "low": F.min(value), "high": F.max(value)},
-        judge,
+        judge, extremes_of=column,
     )
 
 
@@ -103,7 +106,7 @@ def value_range(
             "present": F.count(value), "low": F.min(value), "high": F.max(value),
             "outside": F.coalesce(count_if((value < F.lit(low)) | (value > F.lit(high))), F.lit(0)),
         },
-        judge, {"low": low, "high": high},
+        judge, {"low": low, "high": high}, column,
     )
 
 
@@ -156,8 +159,18 @@ def some_message(column: str, messages: list[str], regex: bool = False) -> RowCh
 def run_row_checks(df: DataFrame, checks: Sequence[RowCheck], group_by: Sequence[str] = ()) -> DataFrame:
     """Result rows of all checks from one aggregate over ``df``.
 
-    With ``group_by`` there is one row per check and group.
+    With ``group_by`` there is one row per check and group. Extremes of text
+    have an aggregate of their own, as they would take all others out of
+    generated code; per group, text goes better through
+    :func:`veriframe.operators.distinct.check_constant_by`.
     """
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))}
+    plain = [c for c in checks if c.extremes_of not in text]
+    textual = [c for c in checks if c.extremes_of in text]
+    return union_all([_measure(df, part, list(group_by)) for part in (plain, textual) if part])
+
+
+def _measure(df: DataFrame, checks: Sequence[RowCheck], group_by: list[str]) -> DataFrame:
     named, outcomes = [], []
     for i, check in enumerate(checks):
         columns = {}
@@ -170,7 +183,7 @@ def run_row_checks(df: DataFrame, checks: Sequence[RowCheck], group_by: Sequence
             F.struct(
                 F.lit(check.check).alias("check"),
                 F.lit(check.target).alias("target"),
-                group_text(list(group_by)).alias("group_key"),
+                group_text(group_by).alias("group_key"),
                 outcome.status.alias("status"),
                 outcome.violations.cast("bigint").alias("violations"),
                 outcome.observed.cast("string").alias("observed"),

@@ -33,11 +33,13 @@ def as_int(total: Column) -> Column:
 
 TECHNICAL = "SELECT * FROM {table}"
 
-# Rows of each month's last loaded day.
+# Rows of each month's last loaded day. The filter on the day is always true;
+# it lets Spark prune the partitions of the view by the month ends at run time.
 MONTHLY = """
     SELECT v.* FROM {view} v
     LEFT SEMI JOIN (
-        SELECT max(dl_data_dt) AS dl_data_dt FROM {table} GROUP BY trunc(dl_data_dt, 'MM')
+        SELECT max(dl_data_dt) AS dl_data_dt FROM {table}
+        WHERE dl_data_dt >= DATE '0001-01-01' GROUP BY trunc(dl_data_dt, 'MM')
     ) m ON v.dl_data_dt = m.dl_data_dt
 """
 

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 
 from veriframe.functions.text import list_text
 from veriframe.functions.time import day_text
-from veriframe.operators.metrics import (
-    check_metric_date_list, check_metric_dates, check_profile_metrics, compare_profile_metrics,
-)
+from veriframe.operators.metrics import check_metric_date_list, check_metric_dates, check_profile_metrics
 from veriframe.operators.profile import histogram_counts, metric, profile
 from veriframe.operators.sets import day_range
 from veriframe.operators.verdict import union_all
@@ -251,24 +249,26 @@ def metrics_repository_write(spark, folder):
     )
 
 
-EXPECTED_METRICS = ["Minimum", "Maximum", "Completeness", "Mean"]
+EXPECTED_METRICS = {"o_totalprice": ["Minimum", "Maximum", "Completeness", "Mean"], "*": ["Size"], "o_custkey": []}
 
 
 @query("check_profile_metrics", f"""
     WITH {REPOSITORY},
-         latest AS (SELECT * FROM repo WHERE date = '1998-03'
-                    AND dataset_date = (SELECT max(dataset_date) FROM repo WHERE date = '1998-03')),
-         w AS (SELECT unnest({EXPECTED_METRICS}) AS name),
-         j AS (SELECT coalesce(a.name, w.name) AS name, a.name IS NOT NULL AS in_actual, w.name IS NOT NULL AS in_expected
-               FROM (SELECT DISTINCT name FROM latest WHERE instance = 'o_totalprice') a FULL JOIN w ON a.name = w.name)
-    SELECT name, in_actual, in_expected, violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status
-    FROM j, (SELECT count(*) FILTER (in_actual <> in_expected) AS violations FROM j)
+         latest AS (SELECT * FROM repo QUALIFY dataset_date = max(dataset_date) OVER (PARTITION BY date)),
+         d AS (SELECT DISTINCT date FROM repo),
+         w AS (SELECT date, 'o_totalprice' AS instance, unnest(['Minimum', 'Maximum', 'Completeness', 'Mean']) AS name FROM d
+               UNION ALL SELECT date, '*', 'Size' FROM d),
+         j AS (SELECT coalesce(a.date, w.date) AS date, coalesce(a.instance, w.instance) AS instance,
+                      a.name IS NOT NULL AS found, w.name IS NOT NULL AS wanted
+               FROM latest a FULL JOIN w ON a.date = w.date AND a.instance = w.instance AND a.name = w.name)
+    SELECT date, instance, count(*) FILTER (NOT found) AS missing, count(*) FILTER (NOT wanted) AS unexpected,
+           CASE WHEN count(*) FILTER (found <> wanted) = 0 THEN 'pass' ELSE 'fail' END AS status
+    FROM j GROUP BY date, instance
+    UNION ALL SELECT date, 'o_custkey', 0, 0, 'pass' FROM d
 """)
 def check_profile_metrics_query(spark, folder):
     metrics = read_metrics(spark, _repository(spark, folder), ["date", "table_name"])
-    verdict = check_profile_metrics(metrics, "1998-03", "o_totalprice", EXPECTED_METRICS)
-    names = compare_profile_metrics(metrics, "1998-03", "o_totalprice", EXPECTED_METRICS)
-    return names.withColumn("instance", F.lit("o_totalprice")).join(verdict, "instance").drop("instance")
+    return check_profile_metrics(metrics, EXPECTED_METRICS)
 
 
 @query("check_metric_dates", f"""

@@ -82,7 +82,7 @@ def scalar_measure(m: Metric, accuracy: int = QUANTILE_ACCURACY, exact: bool = F
     if m.name == "Size":
         return F.count(F.lit(1)).cast("double")
     if m.name == "Correlation":
-        return F.corr(*m.columns)
+        return _correlation(*m.columns)
     column = F.col(m.columns[0])
     if m.name.startswith(QUANTILE):
         share = float(m.name[len(QUANTILE):])
@@ -98,6 +98,13 @@ def scalar_measure(m: Metric, accuracy: int = QUANTILE_ACCURACY, exact: bool = F
     return measure().cast("double")
 
 
+def _correlation(first: str, second: str) -> Column:
+    """Pearson correlation; null when a column has no spread, where ``corr`` divides by zero."""
+    a, b = F.col(first), F.col(second)
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def _row(m: Metric, value: Column) -> Column:
     return F.struct(
         F.lit(m.entity).alias("entity"), F.lit(m.instance).alias("instance"),

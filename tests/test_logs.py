@@ -224,3 +224,11 @@ def test_sensor_dates(spark):
     expected = spark.createDataFrame([("p", "2024-01-01"), ("p", "2024-01-02"), ("q", "2024-01-01")], "upstrm_pl string, date string")
     found = sensors.check_sensor_dates(sensor_frame(spark), expected, ["upstrm_pl"]).collect()
     assert {r.upstrm_pl: (r.status, r.unexpected) for r in found} == {"p": ("fail", 1), "q": ("pass", 0)}
+
+
+def test_results_append(spark, tmp_path):
+    path = str(tmp_path / "results")
+    verdicts = runs.check_tasks_complete(task_rows(spark))
+    for _ in range(2):
+        results.append_results(verdicts, path)
+    assert spark.read.parquet(path).count() == 6

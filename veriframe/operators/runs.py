@@ -15,15 +15,17 @@ SUCCESS = "SUCCESS"
 TERMINATED = "TERMINATED"
 SKIPPED, UPSTREAM_FAILED = "SKIPPED", "UPSTREAM_FAILED"
 
+# Layouts of the messages.
+FAILED_TASK = "Result status of task_key:%s, run_id:%s, %s, %s."
+UNFINISHED_RUN = "Result life cycle state of run_name:%s, run_id:%s is %s."
+
 
 def failed_tasks(task_runs: DataFrame) -> DataFrame:
     """Every task run without success, one row each, with its message."""
     rows = task_runs.where(~F.col("result_state").eqNullSafe(SUCCESS))
-    message = F.concat(
-        F.lit("Result status of task_key:"), F.col("task_key"),
-        F.lit(", run_id:"), F.col("task_run_id").cast("string"),
-        F.lit(", "), F.coalesce("result_state", F.lit("None")),
-        F.lit(", "), F.coalesce("state_message", F.lit("None")), F.lit("."),
+    message = F.format_string(
+        FAILED_TASK, "task_key", "task_run_id",
+        F.coalesce("result_state", F.lit("None")), F.coalesce("state_message", F.lit("None")),
     )
     return rows.select("run_id", "task_run_id", "task_key", "result_state", message.alias("message"))
 
@@ -47,10 +49,8 @@ def check_run_terminated(runs: DataFrame, task_runs: DataFrame) -> DataFrame:
     return runs.select("run_id", "run_name", "life_cycle_state").join(tasks, "run_id", "left").select(
         "run_id", "life_cycle_state", failed.cast("bigint").alias("not_successful"),
         F.when(ended & (failed == 0), PASS).otherwise(FAIL).alias("status"),
-        F.when(~ended, F.concat(
-            F.lit("Result life cycle state of run_name:"), F.col("run_name"),
-            F.lit(", run_id:"), F.col("run_id").cast("string"),
-            F.lit(" is "), F.coalesce("life_cycle_state", F.lit("None")), F.lit("."),
+        F.when(~ended, F.format_string(
+            UNFINISHED_RUN, "run_name", "run_id", F.coalesce("life_cycle_state", F.lit("None"))
         )).alias("message"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.functions.time import day_text
@@ -14,23 +14,21 @@ from veriframe.operators.sets import check_sets
 
 # Text of the gate's error and layout of a rule's name.
 NOT_READY = "Sensor module detected not-ready prerequisite tasks"
+RULE = "AnomalyConstraint(Mean(value,Some(name='%s' and instance='%s')))"
 
 SENSOR_KEYS = ["upstrm_pl", "dt", "snsr_rule"]
 
 
-def rule_text(name, instance):
-    """Name of the mean-of-history rule for one metric."""
-    return F.concat(
-        F.lit("AnomalyConstraint(Mean(value,Some(name='"), name,
-        F.lit("' and instance='"), instance, F.lit("')))"),
-    )
+def rule_text(name: str, instance: str) -> Column:
+    """Name of the mean-of-history rule for one metric, from two columns."""
+    return F.format_string(RULE, name, instance)
 
 
 def sensor_results(anomalies: DataFrame, parent_run_id: str, pipeline: str) -> DataFrame:
     """Anomaly verdicts (day, instance, name, is_ready) as sensor rows."""
     return anomalies.select(
         F.lit(parent_run_id).alias("parent_run_id"), F.lit(pipeline).alias("upstrm_pl"),
-        F.col("day").alias("dt"), rule_text(F.col("name"), F.col("instance")).alias("snsr_rule"),
+        F.col("day").alias("dt"), rule_text("name", "instance").alias("snsr_rule"),
         "is_ready",
     )
 

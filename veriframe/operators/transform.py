@@ -33,25 +33,24 @@ def as_int(total: Column) -> Column:
 
 TECHNICAL = "SELECT * FROM {table}"
 
-# Rows of each month's last loaded day. The filter on the day is always true;
-# it lets Spark prune the partitions of the view by the month ends at run time.
+# Rows of each month's last loaded day. The month ends are broadcast whatever the
+# table's size: they hold one date per calendar month, 120,000 at the very most.
+# That carries the join below a view's aggregate, and together with the filter on
+# the day, which is always true, lets Spark prune partitions at run time.
 MONTHLY = """
-    SELECT v.* FROM {view} v
+    SELECT /*+ BROADCAST(m) */ v.* FROM {view} v
     LEFT SEMI JOIN (
         SELECT max(dl_data_dt) AS dl_data_dt FROM {table}
         WHERE dl_data_dt >= DATE '0001-01-01' GROUP BY trunc(dl_data_dt, 'MM')
     ) m ON v.dl_data_dt = m.dl_data_dt
 """
 
-# Business names without load metadata, newest load of a key and day.
+# Business names without load metadata, newest load of a key and day. A grouped
+# maximum keeps one candidate per task and needs no sort.
 BUSINESS = """
     SELECT uc_id AS customer_id, dl_data_dt,
-           class_source_product_sum_transactions_val_dly_v1 AS daily_transactions
-    FROM (
-        SELECT *, row_number() OVER (PARTITION BY uc_id, dl_data_dt ORDER BY dl_load_ts DESC) AS load_rank
-        FROM {table}
-    )
-    WHERE load_rank = 1
+           max_by(class_source_product_sum_transactions_val_dly_v1, dl_load_ts) AS daily_transactions
+    FROM {table} GROUP BY uc_id, dl_data_dt
 """
 
 

@@ -20,4 +20,5 @@ def view_columns(registry: DataFrame, view: str | None = None) -> DataFrame:
 def service_columns(registry: DataFrame, services: DataFrame, service: str | None = None) -> DataFrame:
     """Distinct (service, column) pairs; a column shared by two views counts once."""
     rows = services if service is None else services.where(F.col("service") == service)
-    return rows.join(view_columns(registry), "view").select("service", "column").distinct()
+    pairs = rows.select("service", "view").distinct()
+    return pairs.join(view_columns(registry), "view").select("service", "column").distinct()

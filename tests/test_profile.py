@@ -62,6 +62,8 @@ def test_histogram(spark):
     assert {(r.k, r.a, r.ratio) for r in histogram_counts(by, "a", ["k"]).collect()} == {
         ("g", "x", 0.5), ("g", "y", 0.5), ("h", "x", 1.0),
     }
+    unnamed = by.unionByName(spark.createDataFrame([(None, "x"), (None, "z")], by.schema))
+    assert histogram_counts(unnamed, "a", ["k"]).where("k IS NULL AND ratio = 0.5").count() == 2
 
 
 @pytest.mark.parametrize("seed", range(3))

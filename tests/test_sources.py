@@ -6,11 +6,11 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from veriframe.operators.arrival import check_file_absent, check_file_present, check_table_absent
+from veriframe.operators.arrival import check_arrivals, check_file_absent, check_file_present, check_table_absent
 from veriframe.operators.sets import check_partitions
 from veriframe.sources import generator as gen
 from veriframe.sources import tables
-from veriframe.sources.files import list_files, read_log_lines
+from veriframe.sources.files import list_entries, list_files, read_log_lines
 from veriframe.sources.workspace import work_dir
 
 LOAD_DATE = dt.date(2023, 8, 31)
@@ -79,6 +79,14 @@ def test_listing_several_partition_columns(spark):
     spark.sql("DROP TABLE two_parts")
 
 
+def test_listing_odd_partition_values(spark):
+    df = spark.createDataFrame([(1, "a b/c+d"), (2, None), (3, "x")], "id int, part string")
+    tables.save_partitioned_table(df, "odd_parts", ["part"])
+    found = {r.part for r in tables.list_partitions(spark, "odd_parts", "part", "string").collect()}
+    assert found == {"a b/c+d", None, "x"}
+    spark.sql("DROP TABLE odd_parts")
+
+
 def test_partitioned_write_replaces_only_its_days(spark, tmp_path):
     path = str(tmp_path / "out")
     source = gen.source_table(spark, 100, LOAD_DATE)
@@ -103,6 +111,14 @@ def test_files(spark, tmp_path):
     assert check_file_present(spark, str(folder)).first().violations == 1
     assert check_file_present(spark, str(folder), "a.*").first().status == "pass"
     assert "content" not in list_files(spark, str(folder)).columns
+    (folder / "many").mkdir()
+    for name in ("1.csv", "2.csv"):
+        (folder / "many" / name).write_text("xyz")
+    found = {r.name: (r.files, r.bytes) for r in list_entries(spark, str(folder)).collect()}
+    assert found == {"a.csv": (1, 1), "b.csv": (1, 2), "many": (2, 6)}
+    expected = spark.createDataFrame([("a.csv",), ("many",), ("gone",)], "name string")
+    verdicts = check_arrivals(list_entries(spark, str(folder)), expected).collect()
+    assert {r.name: r.status for r in verdicts} == {"a.csv": "pass", "many": "pass", "gone": "fail"}
 
 
 def test_log_glob(spark, tmp_path):

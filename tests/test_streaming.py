@@ -123,3 +123,19 @@ def test_a_late_day_is_judged_again(spark, tmp_path):
     assert run() == {2: None, 3: False}
     arrive(2, [(dt.date(2024, 1, 1), 10.0), (dt.date(2024, 1, 2), 5.0)])
     assert run() == {1: None, 2: False, 3: False}
+
+
+def test_rows_without_a_day_are_kept(spark, tmp_path):
+    folder = tmp_path / "in" / "some.parquet"
+    schema = "uc_id string, transactions int, dl_data_dt date"
+    data = [("a", 2, dt.date(2024, 1, 1)), ("a", 3, dt.date(2024, 1, 2)), ("a", 7, None), ("a", 1, None)]
+    spark.createDataFrame(data, schema).write.parquet(str(folder))
+    out = str(tmp_path / "out")
+    run_daily_sum(partials.read_stream(spark, str(tmp_path / "in"), "some"), out, str(tmp_path / "ck"))
+    found = {r.dl_data_dt: (r[SUM_COLUMN], r[ADDED_COLUMN]) for r in read_output(spark, out).collect()}
+    assert found == {dt.date(2024, 1, 1): (2, 2), dt.date(2024, 1, 2): (3, 5), None: (8, 8)}
+
+    stream = partials.read_stream(spark, str(tmp_path / "in"), "some").withColumn("day", F.col(DAY))
+    run_profile(stream, "transactions", "day", str(tmp_path / "profile"), str(tmp_path / "ck2"))
+    sizes = {r.day: r.value for r in read_profile(spark, str(tmp_path / "profile")).where("name = 'Size'").collect()}
+    assert sizes == {dt.date(2024, 1, 1): 1, dt.date(2024, 1, 2): 1, None: 2}

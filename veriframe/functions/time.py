@@ -43,7 +43,8 @@ def previous_month_end(day: Column) -> Column:
 
 
 def day_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    """A day as ``yyyy-MM-dd``; a cast is much cheaper than formatting."""
+    return day.cast("date").cast("string")
 
 
 def resolve_load_date(start_text: Column, end_text: Column, given: Column, today: Column) -> Column:

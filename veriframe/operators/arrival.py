@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.operators.verdict import status_of, verdict_columns
-from veriframe.sources.files import file_name, list_files
+from veriframe.sources.files import list_entries, list_files
 from veriframe.sources.tables import table_exists
 
 
@@ -26,24 +26,24 @@ def check_file_absent(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def check_file_present(spark: SparkSession, path: str, pattern: str | None = None, expected: int = 1) -> DataFrame:
-    """Exactly the expected number of files; a missing path is an error."""
-    files = list_files(spark, path, pattern)
-    if files is None:
+def check_file_present(spark: SparkSession, folder: str, pattern: str | None = None, expected: int = 1) -> DataFrame:
+    """A folder holds exactly the expected number of entries; a missing folder is an error."""
+    entries = list_entries(spark, folder, pattern)
+    if entries is None:
         return spark.range(1).select(
-            *verdict_columns("file_present", path, F.lit(1), observed=F.lit("missing path"),
+            *verdict_columns("file_present", folder, F.lit(1), observed=F.lit("missing path"),
                              expected=F.lit(expected), unanswerable=F.lit(True))
         )
-    return files.agg(F.count(F.lit(1)).alias("n")).select(
-        *verdict_columns("file_present", path, F.abs(F.col("n") - expected),
+    return entries.agg(F.count(F.lit(1)).alias("n")).select(
+        *verdict_columns("file_present", folder, F.abs(F.col("n") - expected),
                          observed=F.col("n"), expected=F.lit(expected))
     )
 
 
-def check_arrivals(files: DataFrame, expected: DataFrame, count: int = 1) -> DataFrame:
-    """The same for many expected names at once: ``expected`` holds ``name``, one row each."""
-    arrived = files.select(file_name().alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    found = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
+def check_arrivals(entries: DataFrame, expected: DataFrame) -> DataFrame:
+    """Expected entries, one ``name`` per row, that a listing does or does not hold."""
+    arrived = entries.select("name", F.lit(True).alias("_there"))
+    missing = F.col("_there").isNull().cast("bigint")
     return expected.join(arrived, "name", "left").select(
-        "name", found.alias("files"), status_of(F.abs(found - count)).alias("status")
+        "name", (F.lit(1) - missing).alias("arrived"), status_of(missing).alias("status")
     )

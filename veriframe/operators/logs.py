@@ -42,12 +42,11 @@ def compare_log_dates(
     """
     newest = latest_rows(log.select(*keys, list_column, *_order_columns(log, keys, list_column)), keys, order)
     logged = newest.select(*keys, F.explode(list_column).alias("date"), F.lit(1).alias("in_log"), F.lit(0).alias("in_table"))
-    loaded = (
-        table.select(*keys, day_text(F.col(date_column)).alias("date")).distinct()
-        .select(*keys, "date", F.lit(0).alias("in_log"), F.lit(1).alias("in_table"))
+    loaded = table.select(
+        *keys, day_text(F.col(date_column)).alias("date"), F.lit(0).alias("in_log"), F.lit(1).alias("in_table")
     )
     return logged.unionByName(loaded).groupBy(*keys, "date").agg(
-        F.sum("in_log").alias("in_log"), F.sum("in_table").alias("in_table")
+        F.sum("in_log").alias("in_log"), F.max("in_table").alias("in_table")
     )
 
 
@@ -89,12 +88,15 @@ LOG_KEYS = ["parent_id", "parent_run_id", "job_uri", "task_nm"]
 def check_log_counts(
     log: DataFrame, task_runs: DataFrame, workspace_url: str, expected_count: int = 1
 ) -> DataFrame:
-    """Log rows per task against an expected number."""
-    counted = log.groupBy(*LOG_KEYS).agg(F.count(F.lit(1)).alias("n"))
-    rows = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
-    return expected_log_keys(task_runs, workspace_url).join(counted, LOG_KEYS, "left").select(
-        *LOG_KEYS, rows.alias("log_rows"),
-        F.when(rows == expected_count, PASS).otherwise(FAIL).alias("status"),
+    """Log rows per task against an expected number, zero for tasks that were never logged."""
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    tasks = expected_log_keys(task_runs, workspace_url).select(*LOG_KEYS, one.alias("_task"), zero.alias("_log"))
+    logged = log.select(*LOG_KEYS, zero.alias("_task"), one.alias("_log"))
+    counted = tasks.unionByName(logged).groupBy(*LOG_KEYS).agg(
+        F.max("_task").alias("_task"), F.sum("_log").alias("log_rows")
+    )
+    return counted.where("_task = 1").select(
+        *LOG_KEYS, "log_rows", F.when(F.col("log_rows") == expected_count, PASS).otherwise(FAIL).alias("status")
     )
 
 

@@ -141,7 +141,11 @@ def histogram_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> Data
     counts = value_counts(df, [*by, column])
     if by:
         totals = counts.groupBy(*by).agg(F.sum("n").alias("total"))
-        shares = counts.join(totals, list(by)).withColumn("ratio", F.col("n") / F.col("total")).drop("total")
+        for name in by:
+            totals = totals.withColumnRenamed(name, f"_{name}")
+        # Null-safe, so that a group without a value keeps its bins.
+        same = [counts[name].eqNullSafe(totals[f"_{name}"]) for name in by]
+        shares = counts.join(totals, same).select(*counts.columns, (F.col("n") / F.col("total")).alias("ratio"))
     else:
         total = counts.agg(F.sum("n")).scalar()
         shares = counts.withColumn("ratio", F.col("n") / total)

@@ -16,7 +16,7 @@ from veriframe.operators.verdict import union_all
 from veriframe.plans import standins as st
 from veriframe.plans.registered import query
 from veriframe.plans.suite import run_suite
-from veriframe.sources.files import file_name, list_files
+from veriframe.sources.files import list_entries
 from veriframe.sources.tables import (
     list_partitions, load, rows_frame, save_partitioned_table, write_partitioned,
 )
@@ -401,12 +401,12 @@ def _registry(spark, folder):
     f"SELECT '{t}.parquet' AS name, count(*) > 0 AS filled FROM {t}" for t in TABLES
 ))
 def file_listing(spark, folder):
-    return list_files(spark, folder, "*.parquet").select(file_name().alias("name"), (F.col("length") > 0).alias("filled"))
+    return list_entries(spark, folder, "*.parquet").select("name", (F.col("bytes") > 0).alias("filled"))
 
 
 @query("check_file_arrival", " UNION ALL ".join(
-    f"SELECT '{t}.parquet' AS name, CAST(count(*) > 0 AS BIGINT) AS files, 'pass' AS status FROM {t}" for t in TABLES
+    f"SELECT '{t}.parquet' AS name, CAST(count(*) > 0 AS BIGINT) AS arrived, 'pass' AS status FROM {t}" for t in TABLES
 ) + " UNION ALL SELECT 'returns.parquet', 0, 'fail'")
 def check_file_arrival(spark, folder):
     expected = rows_frame(spark, [(f"{t}.parquet",) for t in [*TABLES, "returns"]], "name string")
-    return check_arrivals(list_files(spark, folder, "*.parquet"), expected)
+    return check_arrivals(list_entries(spark, folder, "*.parquet"), expected)

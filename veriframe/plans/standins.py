@@ -201,8 +201,10 @@ def dated_run_log(spark: SparkSession, folder: str) -> DataFrame:
 
     The date list has at most one entry per calendar day.
     """
-    return events(spark, folder).where("value > 1").groupBy(
-        F.col("user_id").cast("string").alias("parent_run_id"), F.col("event_type").alias("task_nm")
-    ).agg(
-        F.array_sort(F.collect_set(day_text(F.col("day")))).alias("dt_list"), F.max("ts").alias("job_strt_dttm")
+    days = events(spark, folder).where("value > 1").groupBy("user_id", "event_type", "day").agg(F.max("ts").alias("ts"))
+    return days.groupBy("user_id", "event_type").agg(
+        F.array_sort(F.collect_list(day_text(F.col("day")))).alias("dt_list"), F.max("ts").alias("job_strt_dttm")
+    ).select(
+        F.col("user_id").cast("string").alias("parent_run_id"), F.col("event_type").alias("task_nm"),
+        "dt_list", "job_strt_dttm",
     )

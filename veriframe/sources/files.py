@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriframe.functions.text import log_message, log_time
 
-LISTING = "path string, length bigint, modificationTime timestamp"
-
-
 def read_log_lines(spark: SparkSession, glob: str) -> DataFrame:
     """Log lines as (time_value, message)."""
     return split_log_lines(spark.read.text(glob))
@@ -22,12 +21,14 @@ def split_log_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame | None:
+def list_files(
+    spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False
+) -> DataFrame | None:
     """Files below a path with size and time; ``None`` when the path is missing.
 
     Only the listing is read: the content column is pruned.
     """
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     try:
@@ -38,5 +39,12 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
         raise
 
 
-def file_name(path_column: str = "path"):
-    return F.element_at(F.split(F.col(path_column), "/"), -1)
+def list_entries(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame | None:
+    """Entries of a folder, files or folders of files: name, number of files, bytes."""
+    files = list_files(spark, folder, pattern, recursive=True)
+    if files is None:
+        return None
+    below = F.regexp_extract("path", f"{re.escape(folder.rstrip('/'))}/([^/]+)", 1)
+    return files.groupBy(below.alias("name")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+    )

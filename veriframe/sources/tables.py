@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# How listings spell a null partition.
+NULL_PARTITION = ("__HIVE_DEFAULT_PARTITION__", "null")
+
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -23,10 +26,15 @@ def rows_frame(spark: SparkSession, rows: Sequence[tuple], schema: StructType |
 
 
 def list_partitions(spark: SparkSession, table: str, column: str, data_type: str = "date") -> DataFrame:
-    """Distinct values of one partition column, from the catalog: no file is read."""
+    """Distinct values of one partition column, from the catalog: no file is read.
+
+    Listed values are percent-encoded, and the null partition has a name of its own.
+    """
     listing = spark.sql(f"SHOW PARTITIONS {table}")
-    value = F.str_to_map("partition", F.lit("/"), F.lit("="))[column]
-    return listing.select(value.cast(data_type).alias(column)).distinct()
+    listed = F.str_to_map("partition", F.lit("/"), F.lit("="))[column]
+    value = F.try_url_decode(F.replace(listed, F.lit("+"), F.lit("%2B")))
+    present = F.when(~value.isin(*NULL_PARTITION), value)
+    return listing.select(present.cast(data_type).alias(column)).distinct()
 
 
 def write_partitioned(

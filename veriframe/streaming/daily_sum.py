@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from veriframe.operators.transform import ADDED_COLUMN, DAY, KEY, LOADED, SUM_COLUMN, as_int
 from veriframe.sources.tables import write_partitioned
-from veriframe.streaming.partials import read_partials, run_available, shifted, write_partials
+from veriframe.streaming.partials import on_days, read_partials, run_available, shifted, write_partials
 
 PARTIAL_SCHEMA = f"{KEY} string, part bigint, {DAY} date, batch_id bigint"
 OUTPUT_SCHEMA = f"{KEY} string, {SUM_COLUMN} int, {ADDED_COLUMN} int, {LOADED} timestamp, {DAY} date"
@@ -29,7 +29,10 @@ def day_and_previous(daily: DataFrame) -> DataFrame:
         KEY,
         F.inline(F.array(
             F.struct(F.col(DAY).alias(DAY), F.col("part").alias("own"), nothing.alias("before")),
-            F.struct(F.date_add(DAY, 1).alias(DAY), nothing.alias("own"), F.col("part").alias("before")),
+            F.struct(
+                F.date_add(DAY, 1).alias(DAY), nothing.alias("own"),
+                F.when(F.col(DAY).isNotNull(), F.col("part")).alias("before"),
+            ),
         )),
     )
     own, before = F.col("own"), F.coalesce("before", F.lit(0))
@@ -57,7 +60,7 @@ def run_daily_sum(
         affected = shifted(touched, (0, 1))
         needed = shifted(affected, (-1, 0))
         parts = read_partials(spark, f"{folder}/partials", PARTIAL_SCHEMA, DAY, needed)
-        rebuilt = day_and_previous(parts).where(F.col(DAY).isin(*affected))
+        rebuilt = day_and_previous(parts).where(on_days(DAY, affected))
         stamped = rebuilt.withColumn(LOADED, F.current_timestamp() if loaded_at is None else loaded_at)
         write_partitioned(stamped, f"{folder}/output", [DAY])
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -46,26 +46,32 @@ def run_available(
     return query
 
 
-def write_partials(partials: DataFrame, path: str, day: str, batch_id: int) -> list[dt.date]:
+def write_partials(partials: DataFrame, path: str, day: str, batch_id: int) -> list[dt.date | None]:
     """Store a batch's partials and return its days, at most one per calendar day."""
     keyed = partials.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
     write_partitioned(keyed, path, [day, BATCH])
     written = partials.sparkSession.read.schema(keyed.schema).parquet(path)
     rows = written.where(F.col(BATCH) == batch_id).select(day).distinct().collect()
-    return sorted(row[0] for row in rows if row[0] is not None)
+    return [row[0] for row in rows]
 
 
 def read_partials(
-    spark: SparkSession, path: str, schema: StructType, day: str, days: Iterable[dt.date] | None = None
+    spark: SparkSession, path: str, schema: StructType | str, day: str,
+    days: Iterable[dt.date | None] | None = None,
 ) -> DataFrame:
     """Partials of some days, pruned by partition, or of all."""
     partials = spark.read.schema(schema).parquet(path)
-    if days is None:
-        return partials
-    return partials.where(F.col(day).isin(*days))
+    return partials if days is None else partials.where(on_days(day, days))
 
 
-def shifted(days: Iterable[dt.date], offsets: Iterable[int]) -> list[dt.date]:
-    """All given days moved by all given offsets."""
+def on_days(column: str, days: Iterable[dt.date | None]) -> Column:
+    """Rows of the given days; ``None`` stands for rows without a day."""
+    days = list(days)
+    known = F.col(column).isin(*[d for d in days if d is not None])
+    return known | F.col(column).isNull() if None in days else known
+
+
+def shifted(days: Iterable[dt.date | None], offsets: Iterable[int]) -> list[dt.date | None]:
+    """All given days moved by all given offsets; no day stays no day."""
     moves = list(offsets)
-    return sorted({d + dt.timedelta(days=n) for d in days for n in moves})
+    return list({d if d is None else d + dt.timedelta(days=n) for d in days for n in moves})

@@ -34,11 +34,13 @@ def day_states(batch: DataFrame, column: str, day: str) -> DataFrame:
 def merge_states(states: DataFrame) -> DataFrame:
     """One state per day and instance."""
     keys = ["day", "instance"]
-    center = states.groupBy(*keys).agg(
+    center = states.groupBy(F.col("day").alias("_day"), F.col("instance").alias("_instance")).agg(
         F.try_divide(F.sum("total"), F.sum("present").cast("double")).alias("center")
     )
+    # Null-safe, so that rows without a day keep their metrics.
+    same = F.col("day").eqNullSafe(F.col("_day")) & (F.col("instance") == F.col("_instance"))
     offset = F.col("mean") - F.col("center")
-    return states.join(center, keys).groupBy(*keys).agg(
+    return states.join(center, same).groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum("present").alias("present"), F.sum("total").alias("total"),
         F.min("low").alias("low"), F.max("high").alias("high"), F.max("center").alias("mean"),
         F.sum(F.col("m2") + F.col("present") * offset * offset).alias("m2"),

@@ -2,7 +2,7 @@
 
 Each batch updates the day metrics and judges again only the days whose
 verdict can have changed: the batch's own days and, per rule, the later days
-that look back on them.
+that look back on them. Rows without a day have no verdict.
 """
 
 from __future__ import annotations
@@ -52,7 +52,8 @@ def run_sensor(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
+        days = write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
+        touched = [d for d in days if d is not None]
         if not touched:
             return
         metrics = read_profile(spark, folder).where(F.col("name").isin(*names))

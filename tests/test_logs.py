@@ -215,6 +215,13 @@ def test_gate_reads_the_newest_result(spark):
     assert {r.message for r in found} == {None, "Sensor module detected not-ready prerequisite tasks"}
 
 
+def test_gate_at_the_same_moment_is_not_ready(spark):
+    both = sensor_frame(spark).where("upstrm_pl = 'p' AND dt = '2024-01-02'").withColumn("result_ts", F.lit("2024-02-01").cast("timestamp"))
+    both = both.unionByName(both.withColumn("is_ready", ~F.col("is_ready")))
+    found = sensors.gate(both, dt.date(2024, 1, 1), dt.date(2024, 1, 2)).first()
+    assert (found.rules, found.not_ready) == (2, 2)
+
+
 def test_sensor_rules_ignore_unknown_flags_and_repeats(spark):
     found = sensors.check_sensor_rules(sensor_frame(spark), ["c"], ["upstrm_pl"]).collect()
     assert {r.upstrm_pl: (r.status, r.missing, r.unexpected) for r in found} == {"p": ("fail", 1, 1), "q": ("pass", 0, 0)}

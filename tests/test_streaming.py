@@ -139,3 +139,13 @@ def test_rows_without_a_day_are_kept(spark, tmp_path):
     run_profile(stream, "transactions", "day", str(tmp_path / "profile"), str(tmp_path / "ck2"))
     sizes = {r.day: r.value for r in read_profile(spark, str(tmp_path / "profile")).where("name = 'Size'").collect()}
     assert sizes == {dt.date(2024, 1, 1): 1, dt.date(2024, 1, 2): 1, None: 2}
+
+
+def test_a_batch_without_rows(spark, tmp_path):
+    schema = "uc_id string, transactions int, dl_data_dt date"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in" / "none.parquet"))
+    out = str(tmp_path / "out")
+    stream = partials.read_stream(spark, str(tmp_path / "in"), "none")
+    run_daily_sum(stream, out, str(tmp_path / "ck"))
+    run_profile(stream.withColumn("day", F.col(DAY)), "transactions", "day", str(tmp_path / "profile"), str(tmp_path / "ck2"))
+    assert read_profile(spark, str(tmp_path / "profile")).count() == 0

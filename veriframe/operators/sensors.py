@@ -54,16 +54,25 @@ def check_sensor_dates(sensor: DataFrame, expected: DataFrame, by: Sequence[str]
 
 
 def latest_sensor(sensor: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Newest row per pipeline, date and rule of a period."""
+    """The newest row itself per pipeline, date and rule of a period."""
     order = [F.col("result_ts").desc(), F.col("parent_run_id").desc()]
     return latest_rows(sensor.where(F.col("dt").between(start, end)), SENSOR_KEYS, order)
 
 
 def gate(sensor: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    """Readiness per pipeline and date: all newest results must be ready, unknown counts as not ready."""
-    not_ready = F.sum((~F.coalesce("is_ready", F.lit(False))).cast("bigint"))
-    return latest_sensor(sensor, start, end).groupBy("upstrm_pl", "dt").agg(
-        F.count(F.lit(1)).alias("rules"), not_ready.alias("not_ready")
+    """Readiness per pipeline and date: all newest results must be ready, unknown counts as not ready.
+
+    A rule is ready when its newest ready result is later than its newest other
+    one, so at the same moment not ready wins. Two maxima per rule need neither
+    a sort nor the rows themselves.
+    """
+    ready, moment = F.coalesce("is_ready", F.lit(False)), F.col("result_ts")
+    rules = sensor.where(F.col("dt").between(start, end)).groupBy(*SENSOR_KEYS).agg(
+        F.max(F.when(ready, moment)).alias("_ready"), F.max(F.when(~ready, moment)).alias("_other")
+    )
+    late = F.col("_other").isNotNull() & ~F.coalesce(F.col("_ready") > F.col("_other"), F.lit(False))
+    return rules.groupBy("upstrm_pl", "dt").agg(
+        F.count(F.lit(1)).alias("rules"), F.sum(late.cast("bigint")).alias("not_ready")
     ).select(
         "upstrm_pl", "dt", "rules", "not_ready", (F.col("not_ready") == 0).alias("is_ready"),
         F.when(F.col("not_ready") > 0, NOT_READY).alias("message"),

@@ -52,7 +52,8 @@ NUMERIC = ("Mean", "Sum", "StandardDeviation", "Minimum", "Maximum")
 def _numeric_sql(column):
     return f"""
         SELECT l_returnflag, '{column}' AS instance, name, value FROM (
-            UNPIVOT (SELECT l_returnflag, avg({column}) AS "Mean", sum({column}) AS "Sum",
+            UNPIVOT (SELECT l_returnflag, CAST(sum(CAST({column} AS DECIMAL(18, 2))) AS DOUBLE) / count({column}) AS "Mean",
+                            CAST(sum(CAST({column} AS DECIMAL(18, 2))) AS DOUBLE) AS "Sum",
                             stddev_pop({column}) AS "StandardDeviation", min({column}) AS "Minimum",
                             max({column}) AS "Maximum"
                      FROM lineitem GROUP BY l_returnflag)
@@ -64,8 +65,10 @@ def _numeric_sql(column):
     FROM ({_numeric_sql('l_quantity')} UNION ALL {_numeric_sql('l_extendedprice')} UNION ALL {_numeric_sql('l_discount')})
 """)
 def profile_numeric(spark, folder):
-    wanted = [metric(n, c) for c in ("l_quantity", "l_extendedprice", "l_discount") for n in NUMERIC]
-    return _rounded(profile(load(spark, folder, "lineitem"), wanted, ["l_returnflag"]), 4)
+    # As decimals the sums are exact, whatever the order in which tasks add them up.
+    columns = ("l_quantity", "l_extendedprice", "l_discount")
+    lineitem = load(spark, folder, "lineitem").withColumns({c: F.col(c).cast("decimal(18,2)") for c in columns})
+    return _rounded(profile(lineitem, [metric(n, c) for c in columns for n in NUMERIC], ["l_returnflag"]), 4)
 
 
 QUANTILE_COLUMNS = ("l_quantity", "l_discount", "l_linenumber")

@@ -112,9 +112,14 @@ def stamped(df, day, moment):
 def test_repository_round_trip_splits_large_keys(spark, tmp_path):
     metrics = stamped(profile(last_day(spark), [metric("Size"), metric("Histogram", KEY)]), "2023-08-31", 5)
     path = str(tmp_path / "repo")
-    write_metrics(metrics, path, ["date", "table_name"], per_document=10)
-    assert spark.read.json(path).count() > 2
+    write_metrics(metrics.withColumn("dataset_date", F.lit(4).cast("bigint")).limit(1), path, ["date", "table_name"])
+    for _ in range(2):
+        write_metrics(metrics, path, ["date", "table_name"], per_document=10)
+    assert spark.read.json(path).count() > 3
     back = read_metrics(spark, path, ["date", "table_name"])
+    assert back.where("dataset_date = 4").count() == 1
+    back = back.where("dataset_date = 5")
+    assert back.count() == metrics.count()
     assert {tuple(r) for r in back.select(sorted(back.columns)).collect()} == {
         tuple(r) for r in metrics.select(sorted(back.columns)).collect()
     }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from veriframe.operators import row_checks as rc
 from veriframe.operators.distinct import check_constant_by, check_unique, duplicates
+from veriframe.operators.results import assertion_rows
 from veriframe.operators.verdict import RESULT_COLUMNS
 from veriframe.plans.suite import run_suite
 
@@ -136,3 +137,13 @@ def test_suite_lets_other_failures_through(spark):
 
     with pytest.raises(RuntimeError):
         run_suite(frame(spark, [1.0]), [("x", explode)])
+
+
+def test_assertion_report(spark):
+    report = assertion_rows(run_suite(frame(spark, [1.0, None]), [
+        rc.no_null("a"), rc.value_range("a", 0, 2), rc.no_null("gone"),
+    ]), "Area").collect()
+    found = {(r.assertions, r.assertion_result[:30]) for r in report}
+    assert ("value_range", "Success") in found
+    assert ("no_null", "AssertionError: no_null of a f") in found
+    assert any("gone" in r.assertion_result and not r.assertion_result.startswith("Assertion") for r in report)

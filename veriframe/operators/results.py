@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.operators.runs import run_information, task_durations
+from veriframe.operators.verdict import FAIL, PASS
 
-# Fixed value: workflow name of results without a run.
+# Workflow name of results without a run, outcome texts.
 NO_RUN = "skip"
+SUCCESS_TEXT, FAILURE_PREFIX = "Success", "AssertionError: "
 
 RUN_COLUMNS = {
     "workflow_start_time": "timestamp", "workflow_end_time": "timestamp",
@@ -35,9 +37,31 @@ def with_run(results: DataFrame, runs: DataFrame | None, test_param: dict | None
     return rows.withColumn("test_param", param)
 
 
+def assertion_rows(results: DataFrame, area: str) -> DataFrame:
+    """Check results in the shape of the assertion report: area, check, parameters, outcome text."""
+    detail = F.concat_ws(
+        " ", F.col("check"), F.lit("of"), F.col("target"), F.concat(F.lit("found "), F.col("observed")),
+        F.concat(F.lit("expected "), F.col("expected")),
+    )
+    outcome = (
+        F.when(F.col("status") == PASS, SUCCESS_TEXT)
+        .when(F.col("status") == FAIL, F.concat(F.lit(FAILURE_PREFIX), detail))
+        .otherwise(F.coalesce("observed", detail))
+    )
+    return results.select(
+        F.lit(area).alias("test_area"), F.col("check").alias("assertions"),
+        F.col("params").alias("log_params"), outcome.alias("assertion_result"),
+    )
+
+
 def timing_rows(task_runs: DataFrame, runs: DataFrame) -> DataFrame:
     """One timing row per task run, with its run's columns."""
-    return with_run(task_durations(task_runs), runs)
+    nothing = F.lit(None).cast("string")
+    rows = task_durations(task_runs).select(
+        "run_id", "task_run_id", F.col("task_key").alias("task_name"), nothing.alias("sub_process"),
+        nothing.alias("log_params"), "start_time", "end_time", "setup_duration", "execution_duration",
+    )
+    return with_run(rows, runs)
 
 
 def parameter_matrix(configs: DataFrame, parameters: Mapping[str, Sequence]) -> DataFrame:

@@ -12,6 +12,7 @@ from veriframe.operators import sets
 from veriframe.operators.arrival import check_arrivals
 from veriframe.operators.distinct import check_constant_by, check_unique, duplicates
 from veriframe.operators.registry import check_feature_services, check_feature_views
+from veriframe.operators.results import assertion_rows, with_run
 from veriframe.operators.verdict import union_all
 from veriframe.plans import standins as st
 from veriframe.plans.registered import query
@@ -61,6 +62,29 @@ def check_suite(spark, folder):
     ]).select("check", "target", "violations", "status")
 
 
+@query("assertion_results", """
+    SELECT 'value_range' AS assertions, '{"high":"60","low":"0"}' AS log_params, 'Success' AS assertion_result,
+           'Lineitem' AS test_area, 'skip' AS workflow_name FROM lineitem HAVING max(l_quantity) <= 60
+    UNION ALL
+    SELECT 'no_null', '{}', 'Success', 'Lineitem', 'skip' FROM lineitem HAVING count(*) = count(l_orderkey)
+    UNION ALL
+    SELECT 'row_rule', '{"target":"*"}', 'AssertionError: row_rule of shipped_by_r found ' ||
+           CAST(count(*) FILTER (l_returnflag <> 'R') AS VARCHAR) || ' expected 0', 'Lineitem', 'skip' FROM lineitem
+    UNION ALL
+    SELECT 'unique', '{"columns":"[''l_orderkey'']"}', 'AssertionError: unique of l_orderkey found ' ||
+           CAST(count(DISTINCT l_orderkey) AS VARCHAR) || ' distinct', 'Lineitem', 'skip' FROM lineitem
+""")
+def assertion_results(spark, folder):
+    suite = run_suite(load(spark, folder, "lineitem"), [
+        rc.value_range("l_quantity", 0, 60), rc.no_null("l_orderkey"),
+        rc.row_rule("shipped_by_r", F.col("l_returnflag") == "R"),
+        ("unique", lambda df: check_unique(df, "l_orderkey")),
+    ])
+    return with_run(assertion_rows(suite, "Lineitem"), None).select(
+        "test_area", "assertions", "log_params", "assertion_result", "workflow_name"
+    )
+
+
 @query("check_no_null", f"""
     WITH {st.LABELLED}, v AS (
         SELECT lang, 'quality' AS target, count(*) FILTER (quality IS NULL) AS violations FROM ld GROUP BY lang

@@ -294,8 +294,9 @@ def results_with_run(spark, folder):
 
 
 @query("timing_rows", f"""
-    WITH {st.RUNS}, {WORKFLOW}, d AS (SELECT task_run_id, task_key, {DURATION} FROM tr)
-    SELECT d.*, w.* EXCLUDE (run_id), CAST(NULL AS VARCHAR) AS test_param FROM d JOIN w ON d.run_id = w.run_id
+    WITH {st.RUNS}, {WORKFLOW}, d AS (SELECT task_run_id, task_key AS task_name, {DURATION} FROM tr)
+    SELECT d.*, w.* EXCLUDE (run_id), CAST(NULL AS VARCHAR) AS test_param, CAST(NULL AS VARCHAR) AS sub_process,
+           CAST(NULL AS VARCHAR) AS log_params FROM d JOIN w ON d.run_id = w.run_id
 """)
 def timing_rows(spark, folder):
     tasks = st.task_runs(spark, folder)

@@ -208,9 +208,10 @@ def _repository(spark, folder):
         metric("Completeness", "o_totalprice"),
     ], ["date"])
     path = work_dir(spark, "repository")
-    for metrics, moment in ((first, FIRST_RUN), (second, SECOND_RUN)):
-        stamped = metrics.withColumn("dataset_date", F.lit(moment)).withColumn("table_name", F.lit("orders"))
-        write_metrics(stamped, path, ["date", "table_name"])
+    both = first.withColumn("dataset_date", F.lit(FIRST_RUN)).unionByName(
+        second.withColumn("dataset_date", F.lit(SECOND_RUN))
+    )
+    write_metrics(both.withColumn("table_name", F.lit("orders")), path, ["date", "table_name"])
     return path
 
 

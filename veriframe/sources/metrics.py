@@ -73,9 +73,10 @@ def metric_documents(metrics: DataFrame, tags: Sequence[str], chunks: int = 1) -
 def write_metrics(
     metrics: DataFrame, path: str, tags: Sequence[str], per_document: int = METRICS_PER_DOCUMENT
 ) -> None:
-    """Append metrics to a repository folder as JSON lines.
+    """Add the metrics of one or more runs to a repository folder, as JSON lines.
 
-    Histogram metrics can hold one row per distinct value, so the largest
+    Documents lie in one partition per ``dataset_date``, the moment of the run;
+    writing a run again replaces it. Histogram metrics can hold one row per distinct value, so the largest
     result key decides how many documents each key is spread over. The metrics
     are computed once, into a written table that both steps read.
     """
@@ -87,4 +88,9 @@ def write_metrics(
         staged.groupBy("dataset_date", *tags, "instance").count().agg(F.max("count")).first()[0] or 0
     )
     chunks = -(-largest // per_document) or 1
-    metric_documents(staged, tags, chunks).write.mode("append").json(path)
+    documents = metric_documents(staged, tags, chunks)
+    (
+        documents.withColumn("dataset_date", F.col("resultKey.dataSetDate"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset_date").json(path)
+    )

@@ -59,11 +59,11 @@ def test_histogram(spark):
         "Histogram.ratio.x": 0.5, "Histogram.ratio.y": 0.25, "Histogram.ratio.NullValue": 0.25,
     }
     by = spark.createDataFrame([("g", "x"), ("g", "y"), ("h", "x")], "k string, a string")
-    assert {(r.k, r.a, r.ratio) for r in histogram_counts(by, "a", ["k"]).collect()} == {
+    assert {(r.k, r.a, r.row_share) for r in histogram_counts(by, "a", ["k"]).collect()} == {
         ("g", "x", 0.5), ("g", "y", 0.5), ("h", "x", 1.0),
     }
     unnamed = by.unionByName(spark.createDataFrame([(None, "x"), (None, "z")], by.schema))
-    assert histogram_counts(unnamed, "a", ["k"]).where("k IS NULL AND ratio = 0.5").count() == 2
+    assert histogram_counts(unnamed, "a", ["k"]).where("k IS NULL AND row_share = 0.5").count() == 2
 
 
 @pytest.mark.parametrize("seed", range(3))

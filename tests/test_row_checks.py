@@ -104,6 +104,11 @@ def test_unique(spark, values, expected):
     assert status(check_unique(frame(spark, values), "a")) == [expected]
 
 
+def test_a_column_called_n(spark):
+    df = frame(spark, [1.0, 1.0, 2.0]).withColumnRenamed("a", "n")
+    assert status(check_unique(df, "n")) == [("fail", 1)]
+
+
 def test_duplicates_keep_hot_values_whole(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("a"))
     assert [tuple(r) for r in duplicates(df, "a").collect()] == [(0, 10_000)]

@@ -24,18 +24,18 @@ def value_counts(df: DataFrame, columns: Columns, drop_null: bool = False) -> Da
         # Not dropna: that would drop NaN too, which is a value here.
         for name in names:
             rows = rows.where(F.col(name).isNotNull())
-    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def duplicates(df: DataFrame, columns: Columns) -> DataFrame:
     """Values that occur more than once, with their row count."""
-    return value_counts(df, columns).where(F.col("n") > 1)
+    return value_counts(df, columns).where(F.col("row_count") > 1)
 
 
 def check_unique(df: DataFrame, columns: Columns) -> DataFrame:
     """Rows equal distinct rows; null is one value, so two nulls fail."""
     names = _names(columns)
-    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+    surplus = F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0))
     return value_counts(df, names).agg(
         surplus.alias("surplus"), F.count(F.lit(1)).alias("distinct")
     ).select(
@@ -48,8 +48,8 @@ def check_unique(df: DataFrame, columns: Columns) -> DataFrame:
 
 
 def distinct_measures() -> dict[str, Column]:
-    """The four distinct metrics over a frame of value counts ``n``."""
-    total, values, single = F.sum("n"), F.count(F.lit(1)), F.sum((F.col("n") == 1).cast("bigint"))
+    """The four distinct metrics over a frame of value counts."""
+    total, values, single = F.sum("row_count"), F.count(F.lit(1)), F.sum((F.col("row_count") == 1).cast("bigint"))
     return {
         "CountDistinct": values.cast("double"),
         "Distinctness": (values / total).cast("double"),

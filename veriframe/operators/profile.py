@@ -140,15 +140,15 @@ def histogram_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> Data
     """Rows and share per distinct value; null is a bin of its own."""
     counts = value_counts(df, [*by, column])
     if by:
-        totals = counts.groupBy(*by).agg(F.sum("n").alias("total"))
+        totals = counts.groupBy(*by).agg(F.sum("row_count").alias("total"))
         for name in by:
             totals = totals.withColumnRenamed(name, f"_{name}")
         # Null-safe, so that a group without a value keeps its bins.
         same = [counts[name].eqNullSafe(totals[f"_{name}"]) for name in by]
-        shares = counts.join(totals, same).select(*counts.columns, (F.col("n") / F.col("total")).alias("ratio"))
+        shares = counts.join(totals, same).select(*counts.columns, (F.col("row_count") / F.col("total")).alias("row_share"))
     else:
-        total = counts.agg(F.sum("n")).scalar()
-        shares = counts.withColumn("ratio", F.col("n") / total)
+        total = counts.agg(F.sum("row_count")).scalar()
+        shares = counts.withColumn("row_share", F.col("row_count") / total)
     return shares
 
 
@@ -167,8 +167,8 @@ def histogram(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     per_value = counts.select(
         *by,
         F.inline(F.array(
-            row(F.concat(F.lit("Histogram.abs."), value), F.col("n")),
-            row(F.concat(F.lit("Histogram.ratio."), value), F.col("ratio")),
+            row(F.concat(F.lit("Histogram.abs."), value), F.col("row_count")),
+            row(F.concat(F.lit("Histogram.ratio."), value), F.col("row_share")),
         )),
     )
     bins = Metric("Histogram.bins", (column,))
@@ -187,7 +187,7 @@ def mutual_information(df: DataFrame, first: str, second: str, by: Sequence[str]
     keys = [*by, first, second]
     sets = [keys, [*by, first], [*by, second]]
     counted = pairs.groupingSets(sets, *keys).agg(
-        F.sum("n").alias("c"),
+        F.sum("row_count").alias("c"),
         F.grouping(first).alias("no_first"), F.grouping(second).alias("no_second"),
     )
     weight = F.col("c") * F.log(F.col("c").cast("double"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -62,9 +62,9 @@ def unexpected_values(
     known = allowed.select(F.col(allowed.columns[0]).alias("_known")).distinct()
     if exclude_null:
         # Plain equality lets the join reuse the partitioning of the counts.
-        values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
         return values.join(known, values[column] == known["_known"], "left_anti")
-    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
     return values.join(known, values[column].eqNullSafe(known["_known"]), "left_anti")
 
 
@@ -73,7 +73,7 @@ def check_values_in(
 ) -> DataFrame:
     """Distinct values are a subset of an expected frame of any size."""
     return unexpected_values(df, column, allowed, exclude_null).agg(
-        F.count(F.lit(1)).alias("values"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
+        F.count(F.lit(1)).alias("values"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")
     ).select(
         *verdict_columns("values_in", column, F.col("values"), observed=F.col("rows"))
     )
@@ -130,16 +130,23 @@ def date_gaps(
     Works from neighbouring loaded days, so rows exist only for real gaps. A
     group's window holds its distinct days, at most one row per day of the range.
     """
-    # The day before the range stands in for "nothing loaded yet"; every row
-    # contributes it, so groups without a day in the range are kept.
+    # Rows outside the range count as the day before it, so that groups without
+    # a day in the range are kept.
     day, before = F.col(column).cast("date"), F.date_sub(F.lit(start), 1)
     in_range = F.when(day.between(start, end), day).otherwise(before)
-    loaded = df.select(*by, F.explode(F.array(in_range, before)).alias("day")).distinct()
-    following = F.lead("day", 1).over(Window.partitionBy(*by).orderBy("day"))
+    days = Window.partitionBy(*by).orderBy("day")
+    earlier, later = F.lag("day", 1).over(days), F.lead("day", 1).over(days)
+
+    def gap(first: Column, last: Column) -> Column:
+        return F.struct(first.alias("gap_start"), last.alias("gap_end"))
+
     return (
-        loaded
-        .withColumn("gap_start", F.date_add("day", 1))
-        .withColumn("gap_end", F.date_sub(F.coalesce(following, F.date_add(F.lit(end), 1)), 1))
+        df.select(*by, in_range.alias("day")).distinct()
+        .select(*by, "day", earlier.alias("earlier"), later.alias("later"))
+        .select(*by, F.inline(F.array(
+            gap(F.coalesce(F.date_add("earlier", 1), F.lit(start)), F.date_sub("day", 1)),
+            gap(F.date_add("day", 1), F.when(F.col("later").isNull(), F.lit(end))),
+        )))
         .where(F.col("gap_start") <= F.col("gap_end"))
         .select(
             *by, "gap_start", "gap_end",

@@ -123,7 +123,8 @@ def check_unique_query(spark, folder):
     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """)
 def duplicate_values(spark, folder):
-    return duplicates(load(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+    found = duplicates(load(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return found.withColumnRenamed("row_count", "n")
 
 
 @query("check_constant", f"""

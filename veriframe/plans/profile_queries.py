@@ -156,7 +156,7 @@ def profile_histogram(spark, folder):
 """)
 def profile_histogram_by_day(spark, folder):
     counts = histogram_counts(st.events(spark, folder), "event_type", ["day"])
-    return counts.withColumn("ratio", F.round("ratio", 6))
+    return counts.select("day", "event_type", F.col("row_count").alias("n"), F.round("row_share", 6).alias("ratio"))
 
 
 @query("profile_correlation", """

@@ -14,7 +14,7 @@ from veriframe.operators.transform import ADDED_COLUMN, DAY, LOADED, SUM_COLUMN,
 from veriframe.streaming import partials
 from veriframe.streaming.daily_sum import day_and_previous, read_output, run_daily_sum
 from veriframe.streaming.profile import read_profile, run_profile
-from veriframe.streaming.sensor import judge, read_sensor, run_sensor
+from veriframe.streaming.sensor import affected_days, judge, read_sensor, run_sensor
 
 MOMENT = "2024-02-01 00:00:00"
 
@@ -71,10 +71,19 @@ def test_daily_sum_in_pieces_equals_batch(spark, pieces, tmp_path):
 def test_a_replayed_batch_overwrites_its_partials(spark, tmp_path):
     path = str(tmp_path / "p")
     part = spark.createDataFrame([("a", 5, dt.date(2024, 1, 1))], f"uc_id string, part bigint, {DAY} date")
-    for _ in range(2):
-        assert partials.write_partials(part, path, DAY, 0) == [dt.date(2024, 1, 1)]
-    partials.write_partials(part, path, DAY, 1)
-    assert spark.read.parquet(path).agg(F.sum("part")).first()[0] == 10
+    for batch in (0, 0, 1):
+        partials.write_partials(part, path, DAY, batch)
+    schema = f"uc_id string, part bigint, {DAY} date, batch_id bigint"
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None]
+    assert partials.read_partials(spark, path, schema, DAY, days).agg(F.sum("part")).first()[0] == 10
+    assert partials.read_partials(spark, path, schema, DAY).count() == 2
+
+
+def test_affected_days():
+    near, month, needed = affected_days([dt.date(2024, 1, 31)], 3)
+    assert near == {dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 2), dt.date(2024, 2, 3)}
+    assert len(month) == 30 and dt.date(2024, 2, 29) in month
+    assert {dt.date(2024, 1, 28), dt.date(2023, 12, 31)} <= needed
 
 
 def test_profile_in_pieces_equals_batch(spark, pieces, tmp_path):
@@ -147,5 +156,7 @@ def test_a_batch_without_rows(spark, tmp_path):
     out = str(tmp_path / "out")
     stream = partials.read_stream(spark, str(tmp_path / "in"), "none")
     run_daily_sum(stream, out, str(tmp_path / "ck"))
-    run_profile(stream.withColumn("day", F.col(DAY)), "transactions", "day", str(tmp_path / "profile"), str(tmp_path / "ck2"))
+    named = stream.withColumn("day", F.col(DAY))
+    run_profile(named, "transactions", "day", str(tmp_path / "profile"), str(tmp_path / "ck2"))
     assert read_profile(spark, str(tmp_path / "profile")).count() == 0
+    run_sensor(named, "transactions", "day", str(tmp_path / "sensor"), str(tmp_path / "ck3"), "7", "p")

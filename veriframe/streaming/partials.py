@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from veriframe.sources.tables import write_partitioned
+from veriframe.sources.tables import NULL_PARTITION, write_partitioned
 
 BATCH = "batch_id"
 
@@ -46,22 +46,29 @@ def run_available(
     return query
 
 
-def write_partials(partials: DataFrame, path: str, day: str, batch_id: int) -> list[dt.date | None]:
-    """Store a batch's partials and return its days, at most one per calendar day."""
-    keyed = partials.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-    write_partitioned(keyed, path, [day, BATCH])
-    written = partials.sparkSession.read.schema(keyed.schema).parquet(path)
-    rows = written.where(F.col(BATCH) == batch_id).select(day).distinct().collect()
-    return [row[0] for row in rows]
+def batch_days(batch: DataFrame, day: str) -> list[dt.date | None]:
+    """Days of a batch, at most one per calendar day; ``None`` for rows without one."""
+    return [row[0] for row in batch.select(day).distinct().collect()]
+
+
+def write_partials(partials: DataFrame, path: str, day: str, batch_id: int) -> None:
+    """Store a batch's partials, replacing those of an earlier attempt."""
+    write_partitioned(partials.withColumn(BATCH, F.lit(batch_id).cast("bigint")), path, [day, BATCH])
 
 
 def read_partials(
     spark: SparkSession, path: str, schema: StructType | str, day: str,
     days: Iterable[dt.date | None] | None = None,
 ) -> DataFrame:
-    """Partials of some days, pruned by partition, or of all."""
-    partials = spark.read.schema(schema).parquet(path)
-    return partials if days is None else partials.where(on_days(day, days))
+    """Partials of some days, or of all. Only the folders of the given days are listed.
+
+    At least one of the given days must have been written.
+    """
+    reader = spark.read.schema(schema).option("basePath", path)
+    if days is None:
+        return reader.parquet(path)
+    names = [NULL_PARTITION[0] if d is None else d.isoformat() for d in days]
+    return reader.parquet(f"{path}/{day}={{{','.join(names)}}}")
 
 
 def on_days(column: str, days: Iterable[dt.date | None]) -> Column:

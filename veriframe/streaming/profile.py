@@ -7,6 +7,9 @@ accurate when the mean is large against the spread.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -72,7 +75,9 @@ def run_profile(source: DataFrame, column: str, day: str, folder: str, checkpoin
     return run_available(source, handle, checkpoint)
 
 
-def read_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics per day: day, instance, name, value."""
-    states = read_partials(spark, f"{folder}/states", STATE_SCHEMA, "day")
+def read_profile(
+    spark: SparkSession, folder: str, days: Iterable[dt.date | None] | None = None
+) -> DataFrame:
+    """Metrics per day, of some days or of all: day, instance, name, value."""
+    states = read_partials(spark, f"{folder}/states", STATE_SCHEMA, "day", days)
     return state_metrics(merge_states(states))

@@ -8,18 +8,18 @@ that look back on them. Rows without a day have no verdict.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from calendar import monthrange
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from veriframe.functions.time import previous_month_end
 from veriframe.operators.anomaly import against_lookback, against_month_end
 from veriframe.operators.logs import latest_rows
 from veriframe.operators.sensors import SENSOR_KEYS, sensor_results
 from veriframe.sources.tables import write_partitioned
-from veriframe.streaming.partials import BATCH, run_available, shifted, write_partials
+from veriframe.streaming.partials import BATCH, batch_days, on_days, run_available, shifted, write_partials
 from veriframe.streaming.profile import day_states, read_profile
 
 RESULT_SCHEMA = (
@@ -27,19 +27,29 @@ RESULT_SCHEMA = (
 )
 
 
+def affected_days(
+    touched: Iterable[dt.date], lookback: int
+) -> tuple[set[dt.date], set[dt.date], set[dt.date]]:
+    """Days to judge again by lookback and by month end, and all days that this reads."""
+    near = set(shifted(touched, range(lookback + 1)))
+    month = set(touched)
+    for day in touched:
+        first = day + dt.timedelta(days=1)
+        if first.day == 1:
+            month.update(first + dt.timedelta(days=n) for n in range(monthrange(first.year, first.month)[1]))
+    ends = {day.replace(day=1) - dt.timedelta(days=1) for day in month}
+    return near, month, set(shifted(near, range(-lookback, 1))) | month | ends
+
+
 def judge(
-    metrics: DataFrame, touched: Sequence[dt.date], run_id: str, pipeline: str,
-    lookback: int, relative: float,
+    metrics: DataFrame, touched: Iterable[dt.date], run_id: str, pipeline: str, lookback: int, relative: float
 ) -> DataFrame:
     """Sensor rows of both rules for the days that a batch affects."""
-    near = against_lookback(metrics, lookback, relative=relative).where(
-        F.col("day").isin(*shifted(touched, range(lookback + 1)))
-    )
-    month = against_month_end(metrics, relative=relative).where(
-        F.col("day").isin(*touched) | previous_month_end(F.col("day")).isin(*touched)
-    )
-    return sensor_results(near, run_id, f"{pipeline}_d{lookback}").unionByName(
-        sensor_results(month, run_id, f"{pipeline}_m1")
+    near, month, _ = affected_days(touched, lookback)
+    by_lookback = against_lookback(metrics, lookback, relative=relative).where(on_days("day", near))
+    by_month = against_month_end(metrics, relative=relative).where(on_days("day", month))
+    return sensor_results(by_lookback, run_id, f"{pipeline}_d{lookback}").unionByName(
+        sensor_results(by_month, run_id, f"{pipeline}_m1")
     )
 
 
@@ -51,12 +61,16 @@ def run_sensor(
     """Judge a stream's day metrics into ``folder/results``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        days = batch_days(batch, day)
+        if not days:
+            return
         spark = batch.sparkSession
-        days = write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
+        write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
         touched = [d for d in days if d is not None]
         if not touched:
             return
-        metrics = read_profile(spark, folder).where(F.col("name").isin(*names))
+        needed = affected_days(touched, lookback)[2]
+        metrics = read_profile(spark, folder, needed).where(F.col("name").isin(*names))
         results = judge(metrics, touched, run_id, pipeline, lookback, relative)
         write_partitioned(
             results.withColumn(BATCH, F.lit(batch_id).cast("bigint")), f"{folder}/results", [BATCH]

@@ -20,15 +20,17 @@ def log_frame(spark, data):
 def test_log_dates_use_the_newest_row_and_see_repeats(spark):
     log = log_frame(spark, [
         ("1", "t", 1, ["2024-01-01"]), ("1", "t", 2, ["2024-01-01", "2024-01-02"]),
-        ("2", "t", 1, ["2024-01-01", "2024-01-01"]), ("4", "t", 1, None),
+        ("2", "t", 1, ["2024-01-01", "2024-01-01"]), ("4", "t", 1, None), ("5", "t", 1, []), ("6", "t", 1, []),
+        ("7", "t", 1, ["2024-01-01"]),
     ])
     table = spark.createDataFrame(
-        [(r, "t", dt.date(2024, 1, d)) for r, d in (("1", 1), ("1", 2), ("1", 2), ("2", 1), ("3", 1), ("4", 1))],
+        [(r, "t", dt.date(2024, 1, d)) for r, d in (("1", 1), ("1", 2), ("1", 2), ("2", 1), ("3", 1), ("4", 1), ("6", 1))],
         "run string, task string, dl_data_dt date",
     )
     found = logs.check_log_dates(log, table, ["run", "task"], [F.col("seq").desc()]).collect()
     assert {r.run: (r.status, r.mismatches) for r in found} == {
         "1": ("pass", 0), "2": ("fail", 1), "3": ("error", 1), "4": ("error", 1),
+        "5": ("pass", 0), "6": ("fail", 1), "7": ("fail", 1),
     }
 
 
@@ -141,6 +143,8 @@ def test_log_counts(spark):
     )
     found = logs.check_log_counts(log, tasks, url).collect()
     assert {r.task_nm: (r.log_rows, r.status) for r in found} == {"a": (1, "pass"), "b": (0, "fail")}
+    named = logs.check_log_counts(log, tasks, url, tasks=["a", "zz"]).collect()
+    assert {r.task_nm: (r.log_rows, r.status) for r in named} == {"a": (1, "pass"), "zz": (None, "error")}
 
 
 def test_run_documents(spark, tmp_path):

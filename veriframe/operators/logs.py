@@ -37,33 +37,33 @@ def compare_log_dates(
 ) -> DataFrame:
     """Dates of the newest log row against the distinct dates of the table, per key.
 
-    A date that the log lists twice is a mismatch. A key that only one side
-    knows compares against no dates.
+    A log row also yields one row without a date, which shows that it is there
+    even when its list is empty.
     """
-    newest = latest_rows(log.select(*keys, list_column, *_order_columns(log, keys, list_column)), keys, order)
-    logged = newest.select(*keys, F.explode(list_column).alias("date"), F.lit(1).alias("in_log"), F.lit(0).alias("in_table"))
+    zero, one = F.lit(0), F.lit(1)
+    dates = F.concat(F.array(F.lit(None).cast("string")), list_column)
+    logged = latest_rows(log, keys, order).select(*keys, F.posexplode(dates).alias("_at", "date")).select(
+        *keys, "date", F.least("_at", one).alias("in_log"), zero.alias("in_table"), one.alias("has_log")
+    )
     loaded = table.select(
-        *keys, day_text(F.col(date_column)).alias("date"), F.lit(0).alias("in_log"), F.lit(1).alias("in_table")
+        *keys, day_text(F.col(date_column)).alias("date"), zero.alias("in_log"), one.alias("in_table"),
+        zero.alias("has_log"),
     )
     return logged.unionByName(loaded).groupBy(*keys, "date").agg(
-        F.sum("in_log").alias("in_log"), F.max("in_table").alias("in_table")
+        F.sum("in_log").alias("in_log"), F.max("in_table").alias("in_table"), F.max("has_log").alias("has_log")
     )
 
 
-def _order_columns(log: DataFrame, keys: Sequence[str], list_column: str) -> list[str]:
-    return [c for c in log.columns if c not in {*keys, list_column}]
-
-
 def check_log_dates(
     log: DataFrame, table: DataFrame, keys: Sequence[str], order: Sequence[Column],
     date_column: str = "dl_data_dt", list_column: str = "dt_list",
 ) -> DataFrame:
+    """The newest log row lists each date of the table once; without a list it is an error."""
     compared = compare_log_dates(log, table, keys, order, date_column, list_column)
     mismatch = F.sum((F.col("in_log") != F.col("in_table")).cast("bigint"))
-    logged = F.sum("in_log")
-    return compared.groupBy(*keys).agg(mismatch.alias("mismatches"), logged.alias("logged")).select(
+    return compared.groupBy(*keys).agg(mismatch.alias("mismatches"), F.max("has_log").alias("has_log")).select(
         *keys, "mismatches",
-        F.when(F.col("logged") == 0, ERROR).when(F.col("mismatches") == 0, PASS).otherwise(FAIL).alias("status"),
+        F.when(F.col("has_log") == 0, ERROR).when(F.col("mismatches") == 0, PASS).otherwise(FAIL).alias("status"),
     )
 
 
@@ -86,13 +86,29 @@ LOG_KEYS = ["parent_id", "parent_run_id", "job_uri", "task_nm"]
 
 
 def check_log_counts(
-    log: DataFrame, task_runs: DataFrame, workspace_url: str, expected_count: int = 1
+    log: DataFrame, task_runs: DataFrame, workspace_url: str, expected_count: int = 1,
+    tasks: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Log rows per task against an expected number, zero for tasks that were never logged."""
+    """Log rows per task against an expected number, zero for tasks that were never logged.
+
+    With ``tasks`` only those names are judged, and a run without one of them
+    gets an error row.
+    """
+    if tasks is not None:
+        known = task_runs.where(F.col("task_key").isin(*tasks))
+        wanted = task_runs.select("job_id", "run_id").distinct().withColumn(
+            "task_key", F.explode(F.array(*[F.lit(t) for t in tasks]))
+        )
+        unknown = wanted.join(known, ["job_id", "run_id", "task_key"], "left_anti").select(
+            F.col("job_id").cast("string").alias("parent_id"), F.col("run_id").cast("string").alias("parent_run_id"),
+            F.lit(None).cast("string").alias("job_uri"), F.col("task_key").alias("task_nm"),
+            F.lit(None).cast("bigint").alias("log_rows"), F.lit(ERROR).alias("status"),
+        )
+        return check_log_counts(log, known, workspace_url, expected_count).unionByName(unknown)
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    tasks = expected_log_keys(task_runs, workspace_url).select(*LOG_KEYS, one.alias("_task"), zero.alias("_log"))
+    expected = expected_log_keys(task_runs, workspace_url).select(*LOG_KEYS, one.alias("_task"), zero.alias("_log"))
     logged = log.select(*LOG_KEYS, zero.alias("_task"), one.alias("_log"))
-    counted = tasks.unionByName(logged).groupBy(*LOG_KEYS).agg(
+    counted = expected.unionByName(logged).groupBy(*LOG_KEYS).agg(
         F.max("_task").alias("_task"), F.sum("_log").alias("log_rows")
     )
     return counted.where("_task = 1").select(

@@ -97,6 +97,23 @@ def test_partitioned_write_replaces_only_its_days(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_a_hot_day_is_split_and_small_days_are_merged(spark, tmp_path):
+    path = tmp_path / "out"
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 400_000, 1, 8).select(
+        "id", F.xxhash64("id").alias("value"),
+        F.when(F.col("id") % 100 == 0, F.lit("2024-01-02")).otherwise("2024-01-01").cast("date").alias("day"),
+    )
+    spark.conf.set(size, "512k")
+    try:
+        tables.write_partitioned(rows, str(path), ["day"])
+    finally:
+        spark.conf.unset(size)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in path.glob("day=*")}
+    assert files["day=2024-01-01"] > 2 and files["day=2024-01-02"] == 1
+    assert spark.read.parquet(str(path)).count() == 400_000
+
+
 def test_files(spark, tmp_path):
     missing, folder = str(tmp_path / "missing"), tmp_path / "landing"
     folder.mkdir()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,15 +17,9 @@ def _names(columns: Columns) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def value_counts(df: DataFrame, columns: Columns, drop_null: bool = False) -> DataFrame:
+def value_counts(df: DataFrame, columns: Columns) -> DataFrame:
     """Rows per distinct value; map-side partial counts absorb hot values."""
-    names = _names(columns)
-    rows = df.select(*names)
-    if drop_null:
-        # Not dropna: that would drop NaN too, which is a value here.
-        for name in names:
-            rows = rows.where(F.col(name).isNotNull())
-    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("row_count"))
+    return df.groupBy(*_names(columns)).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def duplicates(df: DataFrame, columns: Columns) -> DataFrame:
@@ -47,17 +42,24 @@ def check_unique(df: DataFrame, columns: Columns) -> DataFrame:
     )
 
 
-def distinct_measures() -> dict[str, Column]:
-    """The four distinct metrics over a frame of value counts."""
-    total, values, single = F.sum("row_count"), F.count(F.lit(1)), F.sum((F.col("row_count") == 1).cast("bigint"))
+def distinct_measures(columns: Sequence[str]) -> dict[str, Column]:
+    """The four distinct metrics over a frame of value counts; nulls are left out."""
+    present = all_present(columns)
+    total = F.sum(F.when(present, F.col("row_count")))
+    values = F.count(F.when(present, F.lit(1)))
+    single = F.count(F.when(present & (F.col("row_count") == 1), F.lit(1)))
     return {
         "CountDistinct": values.cast("double"),
-        "Distinctness": (values / total).cast("double"),
-        "Uniqueness": (single / total).cast("double"),
+        "Distinctness": F.try_divide(values.cast("double"), total.cast("double")),
+        "Uniqueness": F.try_divide(single.cast("double"), total.cast("double")),
         "UniqueValueRatio": F.try_divide(single.cast("double"), values.cast("double")),
     }
 
 
+def all_present(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def check_constant_by(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     """Exactly one distinct value per group, null being a value.
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.operators.distinct import distinct_measures, value_counts
+from veriframe.operators.distinct import all_present, distinct_measures, value_counts
 from veriframe.operators.verdict import union_all
 
 # Metric names.
@@ -126,14 +126,10 @@ def _fused(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str], accuracy
 
 
 def _distinct(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str]) -> DataFrame:
-    """Nulls are dropped; the denominator is the non-null rows."""
+    """Nulls are left out, and so is their share of the denominator."""
     columns = metrics[0].columns
-    present = df
-    for name in columns:
-        present = present.where(F.col(name).isNotNull())
-    counts = value_counts(present, [*by, *columns])
-    measures = distinct_measures()
-    return _long(counts, metrics, [measures[m.name] for m in metrics], by)
+    measures = distinct_measures(columns)
+    return _long(value_counts(df, [*by, *columns]), metrics, [measures[m.name] for m in metrics], by)
 
 
 def histogram_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
@@ -182,17 +178,22 @@ def mutual_information(df: DataFrame, first: str, second: str, by: Sequence[str]
     Written with entropies, ``ln N + (S_ab - S_a - S_b) / N`` where ``S`` sums
     ``c * ln c`` over the counts, so no marginal is joined back to the pairs.
     """
-    present = df.where(F.col(first).isNotNull() & F.col(second).isNotNull())
-    pairs = value_counts(present, [*by, first, second])
+    # Pairs with a null weigh nothing; they are kept so that each group has its row.
+    paired = all_present([first, second])
+    value = {name: F.when(paired, F.col(name)).alias(name) for name in (first, second)}
+    pairs = value_counts(df, [*by, first, second]).select(
+        *by, *value.values(), F.when(paired, F.col("row_count")).alias("row_count")
+    )
     keys = [*by, first, second]
     sets = [keys, [*by, first], [*by, second]]
     counted = pairs.groupingSets(sets, *keys).agg(
-        F.sum("row_count").alias("c"),
+        F.sum("row_count").alias("pair_count"),
         F.grouping(first).alias("no_first"), F.grouping(second).alias("no_second"),
     )
-    weight = F.col("c") * F.log(F.col("c").cast("double"))
+    count = F.col("pair_count")
+    weight = count * F.log(count.cast("double"))
     is_pair = (F.col("no_first") == 0) & (F.col("no_second") == 0)
-    total = F.sum(F.when(is_pair, F.col("c")))
+    total = F.sum(F.when(is_pair, count))
     spread = F.sum(F.when(is_pair, weight).otherwise(-weight))
     return _long(
         counted, [Metric("MutualInformation", (first, second))],

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import byte_bpe, pii, simhash, warc
+from veriframe.llm import byte_bpe, decontaminate, pii, simhash, topk, toxicity, warc
 from veriframe.llm.shared import stored
 from veriframe.sources.workspace import work_dir
 
@@ -61,6 +61,44 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
 
 
+@query("op5_topk", """
+    WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best rows for every hundredth vector."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+@query("op7_decontamination")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, and where."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from three quarters of the labels."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxic_model(spark, folder))
+    return scored.select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def remainder(column: str, by: int):
+    """crc32 of the number as text, modulo; null without a number."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % by
+
+
+def toxic_model(spark: SparkSession, folder: str):
+    fold = remainder("doc_id", 4) != 2
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.train(docs.select("doc_id", "text").where(fold), labels.select("doc_id", "toxic").where(fold))
+
+
 @query("op9_simhash")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""

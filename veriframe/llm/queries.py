@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import byte_bpe, decontaminate, pii, simhash, topk, toxicity, warc
+from veriframe.llm import byte_bpe, decontaminate, line_dedup, pii, simhash, topk, toxicity, warc
 from veriframe.llm.shared import stored
 from veriframe.sources.workspace import work_dir
 
@@ -30,6 +30,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_line_dedup", """
+    WITH l AS (SELECT doc_id, line, no FROM (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
+            FROM documents WHERE text IS NOT NULL)),
+    w AS (SELECT doc_id, no, line, list_filter(regexp_split_to_array(line, '[ \\t\\r\\f\\x0B]+'), lambda x: x <> '') AS words FROM l),
+    u AS (SELECT words, min(doc_id::HUGEINT * 4294967296 + no) AS place FROM w WHERE len(words) > 0 GROUP BY words),
+    g AS (SELECT place, words, unnest(range(0, len(words) + 1)) AS gap FROM u WHERE len(words) >= 5),
+    v AS (SELECT place, gap, CASE WHEN gap = 0 THEN words ELSE list_concat(words[1:gap - 1], words[gap + 1:]) END AS key FROM g),
+    least AS (SELECT key, gap, min(place) AS place FROM v GROUP BY key, gap),
+    near AS (
+        SELECT v.place FROM v JOIN least o ON v.key = o.key AND v.gap = o.gap AND v.gap > 0 AND o.place < v.place
+        UNION SELECT v.place FROM v JOIN least o ON v.key = o.key AND v.gap = 0 AND o.gap > 0 AND o.place < v.place
+        UNION SELECT v.place FROM v JOIN least o ON v.key = o.key AND v.gap > 0 AND o.gap = 0 AND o.place < v.place),
+    stay AS (SELECT place FROM u WHERE place NOT IN (SELECT place FROM near)),
+    marked AS (SELECT w.*, stay.place IS NOT NULL AS stays FROM w LEFT JOIN stay ON w.doc_id::HUGEINT * 4294967296 + w.no = stay.place),
+    d AS (SELECT doc_id, count(*) FILTER (len(words) > 0) AS n_lines, count(*) FILTER (stays) AS n_kept,
+                 coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (stays OR len(words) = 0), '') AS rest FROM marked GROUP BY doc_id)
+    SELECT documents.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_kept, 0)::BIGINT AS n_kept,
+           CASE WHEN text IS NOT NULL THEN sha256(CASE WHEN n_lines > 0 AND n_kept = 0 THEN '' ELSE rest END) END AS text_sha256
+    FROM documents LEFT JOIN d ON documents.doc_id = d.doc_id""")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that earlier lines repeat, its text as a digest."""
+    left = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), counts=("n_lines", "n_kept"))
+    return left.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("text_sha256"))
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every text as digests."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import byte_bpe, decontaminate, line_dedup, pii, simhash, topk, toxicity, warc
+from veriframe.llm import byte_bpe, decontaminate, language_id, line_dedup, masked_lm, pii, simhash, topk, toxicity, warc
 from veriframe.llm.shared import stored
 from veriframe.sources.workspace import work_dir
 
@@ -56,6 +56,15 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("text_sha256"))
 
 
+@query("op2_language_id")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every text, learnt from two thirds of the rows."""
+    docs = table(spark, folder, "documents")
+    model = language_id.fit(language_id.sample(docs.where(remainder("doc_id", 3) != 1)))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every text as digests."""
@@ -99,6 +108,14 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+@query("op6_masked_lm")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Pseudo-likelihood of every text under a model of all texts."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return masked_lm.score(docs, masked_lm.train(docs)).select(
+        "doc_id", "n_words", "log_prob", F.expr("if(n_words > 0, exp(-log_prob / n_words), null)").alias("perplexity"))
+
+
 @query("op7_decontamination")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold a benchmark item, and where."""

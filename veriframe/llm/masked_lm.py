@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,11 +14,12 @@ from pyspark.sql import types as T
 from veriframe.llm.shared import slices, with_columns
 
 #: Words on either side, size of the hidden layer.
-WINDOW, HIDDEN = 3, 24
+WINDOW, HIDDEN = 3, 16
 #: A word's class is a pair of digits, its bucket a class and a finer number.
 DIGIT, CLASSES, BUCKETS = 32, 1024, 1 << 16
 RATE, BATCH = 0.05, 8192
-_REMEMBERED = 400_000
+#: Multipliers by which the bytes of a word are told apart by place; they come round after so many bytes.
+_PLACES = 1 << 12
 #: Names and shapes of the weights, in the order in which they travel.
 SHAPES = {
     "left": (CLASSES + 1, HIDDEN), "right": (CLASSES + 1, HIDDEN), "near_left": (WINDOW,), "near_right": (WINDOW,), "bias": (HIDDEN,),
@@ -49,96 +49,125 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
     return model
 
 
-class Coder:
-    """Buckets of words; the low bits of a bucket are its class. Words are runs without white space in lower case."""
+_FACTOR = np.random.default_rng(5).integers(1, 1 << 63, _PLACES, dtype=np.uint64) | np.uint64(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
 
-    def buckets(self, text: str) -> np.ndarray:
-        words = text.lower().split()
-        found = list(map(self.known.get, words))
-        if None in found:
-            if len(self.known) > _REMEMBERED:
-                self.known = {}
-            for word in words:
-                if word not in self.known:
-                    self.known[word] = zlib.crc32(word.encode()) & (BUCKETS - 1)
-            found = list(map(self.known.get, words))
-        return np.array(found, np.int64)
+def buckets_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words of all texts in a row, and the number of words of each text.
 
-
-def joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    Words are runs without ASCII white space in lower case; the bucket is a hash of
+    their bytes, and its low bits are the class.
+    """
+    parts = [t.lower().encode() + b" " for t in texts]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    inside = ~_SPACE[data]
+    start = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]])) if len(data) else np.empty(0, np.int64)
+    text_ends = np.cumsum([len(p) for p in parts])
+    count = np.diff(np.searchsorted(start, text_ends, "left"), prepend=0)
+    if not len(start):
+        return start, count
+    end = np.flatnonzero(~inside & np.concatenate([[False], inside[:-1]]))
+    size = end - start
+    byte = data[inside].astype(np.uint64)
+    first = np.cumsum(size) - size
+    place = np.arange(len(byte)) - np.repeat(first, size)
+    hashed = np.add.reduceat((byte + np.uint64(1)) * _FACTOR[place & (_PLACES - 1)], first)
+    hashed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return (hashed >> np.uint64(48)).astype(np.int64), count
+
+
+def padded(buckets: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes of several texts in a row with padding around each, and the places of the words."""
-    pad = np.full(WINDOW, CLASSES, np.int64)
-    parts, place, at = [pad], [], WINDOW
-    for buckets in texts:
-        parts += [buckets & (CLASSES - 1), pad]
-        place.append(np.arange(at, at + len(buckets)))
-        at += len(buckets) + WINDOW
-    return np.concatenate(parts), np.concatenate(place) if place else np.empty(0, np.int64)
-
-
-def hidden(model: dict, classes: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The hidden layer at places: words on both sides, weighted by their distance, and never the word itself."""
-    x = np.tile(model["bias"], (len(place), 1))
-    for k in range(WINDOW):
-        x += model["near_left"][k] * model["left"][classes[place - 1 - k]]
-        x += model["near_right"][k] * model["right"][classes[place + 1 + k]]
-    return np.tanh(x)
+    place = np.arange(len(buckets)) + WINDOW * (1 + np.repeat(np.arange(len(count)), count))
+    classes = np.full(len(buckets) + WINDOW * (len(count) + 1), CLASSES, np.int64)
+    classes[place] = buckets & (CLASSES - 1)
+    return classes, place
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _sides(model: dict, classes: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    return model["left"][classes[a - WINDOW:b]], model["right"][classes[a:b + WINDOW]]
 
 
-def class_log_probs(model: dict, classes: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Log-probability of the class at each place given the words on both sides: its high digit, then its low one."""
-    out = np.empty(len(place))
-    for at in range(0, len(place), BATCH):
-        here = place[at:at + BATCH]
-        h, target, rows = hidden(model, classes, here), classes[here], np.arange(len(here))
-        high = _log_softmax(h @ model["high"] + model["high_bias"])[rows, target // DIGIT]
-        low = _log_softmax((h + model["given"][target // DIGIT]) @ model["low"] + model["low_bias"])[rows, target % DIGIT]
-        out[at:at + BATCH] = high + low
+def hidden(model: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hidden layer of a stretch: words on both sides, weighted by their distance, and never the word itself."""
+    n = len(left) - WINDOW
+    x = np.repeat(model["bias"][None], n, axis=0)
+    for k in range(WINDOW):
+        x += model["near_left"][k] * left[WINDOW - 1 - k:WINDOW - 1 - k + n]
+        x += model["near_right"][k] * right[1 + k:1 + k + n]
+    return np.tanh(x, out=x)
+
+
+def _powers(model: dict, name: str, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of e of a digit's scores, a column for each place, and their sums."""
+    x = model[name].T @ h.T
+    x += model[name + "_bias"][:, None]
+    x -= x.max(0)
+    np.exp(x, out=x)
+    return x, x.sum(0)
+
+
+def _targets(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    real = classes < CLASSES
+    target = np.where(real, classes, 0)
+    return real.astype(np.float32), target // DIGIT, target % DIGIT
+
+
+def class_log_probs(model: dict, classes: np.ndarray) -> np.ndarray:
+    """Log-probability of the class at each place given the words on both sides: its high digit, then its low one; 0 at padding."""
+    out = np.zeros(len(classes))
+    for a in range(WINDOW, len(classes) - WINDOW, BATCH):
+        b = min(a + BATCH, len(classes) - WINDOW)
+        h = hidden(model, *_sides(model, classes, a, b))
+        real, top, bottom = _targets(classes[a:b])
+        rows = np.arange(b - a)
+        high, high_sum = _powers(model, "high", h)
+        h += model["given"][top]
+        low, low_sum = _powers(model, "low", h)
+        # an underflowing power would be a probability of zero
+        out[a:b] = np.where(real, np.log(np.maximum(high[top, rows] / high_sum, 1e-30)) + np.log(np.maximum(low[bottom, rows] / low_sum, 1e-30)), 0)
     return out
 
 
 def _spread(values: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the values of equal rows."""
-    order = np.argsort(rows, kind="stable")
-    some, first = np.unique(rows[order], return_index=True)
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    ordered = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     out = np.zeros((size, values.shape[1]), np.float32)
-    out[some] = np.add.reduceat(values[order], first, axis=0)
+    out[ordered[first]] = np.add.reduceat(values[order], first, axis=0)
     return out
 
 
-def learn(model: dict, squares: dict, classes: np.ndarray, place: np.ndarray) -> None:
-    """One step along the gradient of the log-probabilities at the places, with a rate for each weight."""
-    h, target, rows = hidden(model, classes, place), classes[place], np.arange(len(place))
-    top, bottom = target // DIGIT, target % DIGIT
-    high = np.exp(_log_softmax(h @ model["high"] + model["high_bias"]))
-    high[rows, top] -= 1
+def learn(model: dict, squares: dict, classes: np.ndarray, a: int, b: int) -> None:
+    """One step along the gradient of the log-probabilities of a stretch, with a rate for each weight."""
+    left, right = _sides(model, classes, a, b)
+    h = hidden(model, left, right)
+    n, rows = b - a, np.arange(b - a)
+    real, top, bottom = _targets(classes[a:b])
+    high, total = _powers(model, "high", h)
+    high *= real / total
+    high[top, rows] -= real
     given = h + model["given"][top]
-    low = np.exp(_log_softmax(given @ model["low"] + model["low_bias"]))
-    low[rows, bottom] -= 1
-    to_given = low @ model["low"].T
-    x = (to_given + high @ model["high"].T) * (1 - h * h)
-    slope = {"bias": x.sum(0), "high": h.T @ high, "high_bias": high.sum(0), "low": given.T @ low, "low_bias": low.sum(0), "given": _spread(to_given, top, DIGIT)}
+    low, total = _powers(model, "low", given)
+    low *= real / total
+    low[bottom, rows] -= real
+    to_given = low.T @ model["low"].T
+    x = (to_given + high.T @ model["high"].T) * (1 - h * h)
+    slope = {"bias": x.sum(0), "high": (high @ h).T, "high_bias": high.sum(1), "low": (low @ given).T, "low_bias": low.sum(1), "given": _spread(to_given, top, DIGIT)}
     # a word is a neighbour of several places: their slopes are added up where it stands, then by class
-    first = int(place[0]) - WINDOW
-    here = classes[first:int(place[-1]) + 1 + WINDOW]
-    for side, near, sign in (("left", "near_left", -1), ("right", "near_right", 1)):
-        standing = np.zeros((len(here), HIDDEN), np.float32)
-        weight = np.zeros(WINDOW, np.float32)
+    for side, near, standing_in, at in (
+            ("left", "near_left", left, [WINDOW - 1 - k for k in range(WINDOW)]), ("right", "near_right", right, [1 + k for k in range(WINDOW)])):
+        standing = np.zeros((n + WINDOW, HIDDEN), np.float32)
         for k in range(WINDOW):
-            at = place + sign * (1 + k)
-            standing[at - first] += model[near][k] * x
-            weight[k] = np.einsum("nh,nh->", x, model[side][classes[at]])
-        slope[side], slope[near] = _spread(standing, here, CLASSES + 1), weight
+            standing[at[k]:at[k] + n] += model[near][k] * x
+        slope[near] = np.array([np.vdot(x, standing_in[i:i + n]) for i in at])
+        slope[side] = _spread(standing, classes[a - WINDOW:b] if side == "left" else classes[a:b + WINDOW], CLASSES + 1)
+    words = max(1, int(real.sum()))
     for name, g in slope.items():
-        g = (g / len(place)).astype(np.float32)
+        g = (g / words).astype(np.float32)
         squares[name] += g * g
         model[name] -= RATE * g / (np.sqrt(squares[name]) + 1e-6)
 
@@ -154,19 +183,16 @@ def train(docs: DataFrame, text: str = "text") -> dict:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, coder = initial(), Coder()
+        model = initial()
         squares = {name: np.full(shape, 1e-8, np.float32) for name, shape in SHAPES.items()}
         counts, words = np.zeros(BUCKETS), 0
         for _, texts in slices(batches, text, 1_000_000):
-            found = [coder.buckets(t) for t in texts]
-            classes, place = joined(found)
-            for b in found:
-                counts += np.bincount(b, minlength=BUCKETS) if len(b) > BUCKETS // 8 else 0
-            small = [b for b in found if len(b) <= BUCKETS // 8]
-            counts += np.bincount(np.concatenate([*small, np.empty(0, np.int64)]), minlength=BUCKETS)
-            words += len(place)
-            for at in range(0, len(place), BATCH):
-                learn(model, squares, classes, place[at:at + BATCH])
+            buckets, count = buckets_of(texts)
+            classes, _ = padded(buckets, count)
+            counts += np.bincount(buckets, minlength=BUCKETS)
+            words += len(buckets)
+            for a in range(WINDOW, len(classes) - WINDOW, BATCH):
+                learn(model, squares, classes, a, min(a + BATCH, len(classes) - WINDOW))
         if words:
             values = np.concatenate([flat(model).astype(float) * words, counts, [words]])
             some = np.flatnonzero(values)
@@ -200,15 +226,12 @@ def score(docs: DataFrame, model: dict, text: str = "text", words: str = "n_word
     schema = T.StructType([*kept.schema.fields, T.StructField(words, T.LongType()), T.StructField(out, T.DoubleType())])
 
     def run(batches):
-        weights, finer, coder = sent.value["weights"], bucket_log_probs(sent.value["counts"]), Coder()
+        weights, finer = sent.value["weights"], bucket_log_probs(sent.value["counts"])
         for batch, texts in slices(batches, text, 1_000_000):
-            found = [coder.buckets(t) for t in texts]
-            classes, place = joined(found)
-            log_probs = class_log_probs(weights, classes, place) + (finer[np.concatenate(found)] if len(place) else 0)
-            ends = np.cumsum([len(b) for b in found])
-            sums = np.concatenate([[0.0], np.cumsum(log_probs)])
-            starts = ends - [len(b) for b in found]
-            more = {words: pa.array((ends - starts).astype(np.int64)), out: pa.array(sums[ends] - sums[starts])}
-            yield with_columns(batch, more)
+            buckets, count = buckets_of(texts)
+            classes, place = padded(buckets, count)
+            sums = np.concatenate([[0.0], np.cumsum(class_log_probs(weights, classes)[place] + finer[buckets])])
+            ends = np.cumsum(count)
+            yield with_columns(batch, {words: pa.array(count.astype(np.int64)), out: pa.array(sums[ends] - sums[ends - count])})
 
     return kept.mapInArrow(run, schema)

@@ -225,7 +225,11 @@ def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         f"lang is not null and doc_id is not null and length(text) <= {SAMPLE_CHARS}")
-    ranked = rows.select("doc_id", "lang").withColumn("rank", F.expr("row_number() over (partition by lang order by xxhash64(doc_id), doc_id)"))
+    # about four times the sample of each language is ranked, not all of it
+    keys = rows.select("doc_id", "lang", F.expr("pmod(xxhash64(doc_id), 1000000007)").alias("draw"))
+    share = keys.groupBy("lang").agg((F.lit(4.0 * SAMPLE * 1000000007) / F.count("*")).alias("most"))
+    drawn = keys.join(share, "lang").where("draw <= most")
+    ranked = drawn.withColumn("rank", F.expr("row_number() over (partition by lang order by draw, doc_id)"))
     chosen = ranked.where(f"rank <= {SAMPLE}").select("doc_id", "lang").distinct()
     found = rows.join(chosen, ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]).orderBy("lang", "doc_id")
     return [(r["text"], r["lang"]) for r in found.select("text", "lang").toLocalIterator()]

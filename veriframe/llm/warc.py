@@ -115,9 +115,11 @@ def parse(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
 
     Lengths decide where a record ends, whatever its block holds.
     """
-    for piece in pieces:
+    piece = next(pieces, None)
+    while piece is not None:
         piece = piece.lstrip(b"\r\n")
         if not piece:
+            piece = next(pieces, None)
             continue
         if not piece.startswith(b"WARC/"):
             raise ValueError("no record begins here")
@@ -129,9 +131,12 @@ def parse(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
             held += len(part)
             if held >= length:
                 break
-        if held != length and b"".join(parts)[length:].strip(b"\r\n") or held < length:
+        if held < length:
             raise ValueError("record is not as long as it says")
-        yield head, b"".join(parts)[:length]
+        block = b"".join(parts)
+        yield head, block[:length]
+        # a block that ends in a line end is cut two bytes early, and the next record's head follows at once
+        piece = block[length:].lstrip(b"\r\n") or next(pieces, None)
 
 
 _SEGMENT_COLUMNS = "origin string, number int, total long, type string, uri string, refers string, digest string, block binary"

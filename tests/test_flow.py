@@ -18,7 +18,7 @@ from veriframe.sources import generator as gen
 from veriframe.sources import tables
 
 LOAD_DATE = dt.date(2023, 8, 31)
-RULES = [audit.id_rule(), audit.Rule("broken_field", "key.val = 1")]
+RULES = [audit.id_rule(), audit.Rule("broken_field", "key.val = 1", optional=True)]
 
 
 def output_of(spark, spec, size=100):
@@ -111,3 +111,11 @@ def test_rule_warnings(spark):
     df = spark.createDataFrame([(1,)], "a int")
     usable, warnings = audit.resolve(df, [audit.Rule("ok", "a > 0"), audit.Rule("text", "a + 1"), audit.Rule("gone", "b.val > 0")])
     assert [r.name for r in usable] == ["ok"] and [w[0] for w in warnings] == ["text", "gone"]
+
+
+@pytest.mark.parametrize("rules", [[], [audit.Rule("gone", "no_such_column > 0")]])
+def test_an_audit_without_answers_publishes_nothing(spark, tmp_path, rules):
+    path = str(tmp_path / "out")
+    output = output_of(spark, gen.success_spec())
+    assert audit.audited_write(output, rules, path, "daily").first().job_sts == "FAILED"
+    assert audit.published(spark, path, output.schema).count() == 0

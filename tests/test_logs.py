@@ -131,7 +131,8 @@ def test_run_terminated(spark):
     )
     found = {r.run_id: r for r in runs.check_run_terminated(state, task_rows(spark)).collect()}
     assert {k: r.status for k, r in found.items()} == {1: "pass", 2: "fail", 3: "fail", 4: "fail"}
-    assert found[3].message == "Result life cycle state of run_name:n, run_id:3 is RUNNING." and found[2].message is None
+    assert found[3].message == "Result life cycle state of run_name:n, run_id:3 is RUNNING."
+    assert found[2].message.startswith("Result status of task_key:a, run_id:20, FAILED, boom. Result status of task_key:b")
 
 
 def test_log_counts(spark):
@@ -243,3 +244,28 @@ def test_results_append(spark, tmp_path):
     for _ in range(2):
         results.append_results(verdicts, path)
     assert spark.read.parquet(path).count() == 6
+
+
+def test_gate_counts_rules_that_never_reported(spark):
+    keys = "upstrm_pl string, dt date, snsr_rule string"
+    required = spark.createDataFrame([("p", dt.date(2024, 1, d), "r") for d in (1, 2, 3)], keys)
+    sensor = spark.createDataFrame(
+        [("p", dt.date(2024, 1, 1), "r", True, dt.datetime(2024, 1, 4), "x")], f"{keys}, is_ready boolean, result_ts timestamp, parent_run_id string"
+    )
+    found = {r.dt.day: r.is_ready for r in sensors.gate(sensor, dt.date(2024, 1, 1), dt.date(2024, 1, 3), required).collect()}
+    assert found == {1: True, 2: False, 3: False}
+    rules = sensors.check_sensor_rules(sensor, ["r"], ["upstrm_pl", "dt"], True, required).collect()
+    assert sorted((r.dt.day, r.status) for r in rules) == [(1, "pass"), (2, "fail"), (3, "fail")]
+
+
+def test_expected_keys_without_a_log_row_fail(spark):
+    log = spark.createDataFrame([("a", "disk full")], "run string, err_msg string")
+    expected = spark.createDataFrame([("a",), ("b",)], "run string")
+    found = logs.check_error_keyword(log, ["run"], "full", expected=expected).collect()
+    assert sorted((r.run, r.hits, r.status) for r in found) == [("a", 1, "pass"), ("b", 0, "fail")]
+
+
+def test_runs_without_the_listed_tasks_fail(spark):
+    tasks = spark.createDataFrame([(1, "t", "SKIPPED", "UPSTREAM_FAILED")], "run_id long, task_key string, life_cycle_state string, result_state string")
+    found = runs.check_downstream_skipped(tasks, ["t"], spark.range(1, 3).withColumnRenamed("id", "run_id")).collect()
+    assert sorted((r.run_id, r.missing, r.status) for r in found) == [(1, 0, "pass"), (2, 1, "fail")]

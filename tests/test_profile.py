@@ -114,7 +114,7 @@ def test_repository_round_trip_splits_large_keys(spark, tmp_path):
     path = str(tmp_path / "repo")
     write_metrics(metrics.withColumn("dataset_date", F.lit(4).cast("bigint")).limit(1), path, ["date", "table_name"])
     for _ in range(2):
-        write_metrics(metrics, path, ["date", "table_name"], per_document=10)
+        write_metrics(metrics, path, ["date", "table_name"])
     assert spark.read.json(path).count() > 3
     back = read_metrics(spark, path, ["date", "table_name"])
     assert back.where("dataset_date = 4").count() == 1

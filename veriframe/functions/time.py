@@ -25,8 +25,9 @@ def epoch_to_timestamp(epoch: Column) -> Column:
     digits = F.length(value.cast("string"))
     powers = F.array(*[F.lit(p).cast("bigint") for p in _POWERS])
     up = value * F.try_element_at(powers, F.greatest(F.lit(17) - digits, F.lit(1)))
-    down = F.floor(value / F.try_element_at(powers, F.greatest(digits - F.lit(15), F.lit(1))))
-    return F.timestamp_micros(F.when(digits <= 16, up).otherwise(down.cast("bigint")))
+    power = F.try_element_at(powers, F.greatest(digits - F.lit(15), F.lit(1)))
+    down = F.call_function("div", value - F.pmod(value, power), power)
+    return F.timestamp_micros(F.when(digits <= 16, up).otherwise(down))
 
 
 def seconds(milliseconds: Column) -> Column:

@@ -13,18 +13,20 @@ from veriframe.functions.text import list_text
 from veriframe.functions.time import day_text
 from veriframe.operators.row_checks import row_rule, run_row_checks
 from veriframe.sources.tables import write_partitioned
-from veriframe.sources.workspace import work_dir
+from veriframe.sources.workspace import remove, work_dir
 
 # Fixed value: keyword of an audit failure in the log.
 AUDIT_ERROR = "DeequAuditError"
+SUCCEEDED = "SUCCESS"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A named predicate in SQL text."""
+    """A named predicate in SQL text; an optional one that the table can't answer only warns."""
 
     name: str
     predicate: str
+    optional: bool = False
 
     def column(self) -> Column:
         return F.expr(self.predicate)
@@ -70,9 +72,16 @@ def audit_record(
 ) -> DataFrame:
     """One log row about an audit: status, error text, audited dates and warnings.
 
+    A rule that the table can't answer fails the audit unless it is optional, and
+    so does an audit without any rule that can be answered.
+
     The date list is as long as the calendar of the audited output.
     """
     usable, warnings = resolve(df, rules)
+    optional = {r.name for r in rules if r.optional}
+    unusable = [name for name, _ in warnings if name not in optional]
+    if not usable and not unusable:
+        unusable = ["no rule"]
     broken = [
         F.coalesce(F.sum((~F.coalesce(r.column(), F.lit(False))).cast("bigint")), F.lit(0))
         for r in usable
@@ -81,16 +90,19 @@ def audit_record(
     per_day = df.groupBy(day_text(F.col(date_column)).alias("day")).agg(
         F.count(F.lit(1)).alias("rows"), violations.cast("bigint").alias("violations")
     )
-    failed = F.col("violations") > 0
+    failed = (F.col("violations") > 0) | F.lit(bool(unusable))
+    reason = F.concat(F.col("violations").cast("string"), F.lit(" rule violations"))
+    if unusable:
+        reason = F.concat(reason, F.lit(f", not answered: {', '.join(unusable)}"))
     return per_day.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"),
         F.array_sort(F.collect_set("day")).alias("dt_list"),
     ).select(
         F.lit(task).alias("task_nm"),
-        F.when(failed, "FAILED").otherwise("SUCCESS").alias("job_sts"),
+        F.when(failed, "FAILED").otherwise(SUCCEEDED).alias("job_sts"),
         F.when(failed, F.concat(
-            F.lit(f"{AUDIT_ERROR}: "), F.col("violations").cast("string"), F.lit(" rule violations"),
+            F.lit(f"{AUDIT_ERROR}: "), reason,
         )).alias("err_msg"),
         "rows", "violations", "dt_list", list_text("dt_list").alias("dt_list_text"),
         warnings_column(warnings).alias("cstm_val"),
@@ -100,11 +112,12 @@ def audit_record(
 def audited_write(
     df: DataFrame, rules: Sequence[Rule], path: str, task: str, date_column: str = "dl_data_dt"
 ) -> DataFrame:
-    """Write ``df`` only if no rule is violated; return the log row either way.
+    """Write ``df`` only if the audit succeeds; return the log row either way.
 
     The output is computed once into a staging folder. The audit and the
     publishing copy read that folder, so neither repeats the transform, and a
-    lost executor costs no more than its own tasks.
+    lost executor costs no more than its own tasks. The staging folder is removed
+    whether or not the output is published.
     """
     spark = df.sparkSession
     staging = work_dir(spark, "staging")
@@ -113,8 +126,11 @@ def audited_write(
     record_path = work_dir(spark, "audit-record")
     audit_record(staged, rules, task, date_column).write.parquet(record_path)
     record = spark.read.parquet(record_path)
-    if record.first()["violations"] == 0:
-        write_partitioned(staged, path, [date_column])
+    try:
+        if record.first()["job_sts"] == SUCCEEDED:
+            write_partitioned(staged, path, [date_column])
+    finally:
+        remove(spark, staging)
     return record
 
 

@@ -169,19 +169,25 @@ def has_array_keyword(column: str, keyword: str, field: str = "val") -> Column:
 
 
 def check_array_keyword(
-    log: DataFrame, keys: Sequence[str], column: str, keyword: str, field: str = "val"
+    log: DataFrame, keys: Sequence[str], column: str, keyword: str, field: str = "val", expected: DataFrame | None = None
 ) -> DataFrame:
-    return _any_hit(log, keys, has_array_keyword(column, keyword, field))
+    """Some row per key holds the keyword in its array; expected keys without a row fail."""
+    return _any_hit(log, keys, has_array_keyword(column, keyword, field), expected)
 
 
-def check_error_keyword(log: DataFrame, keys: Sequence[str], keyword: str, column: str = "err_msg") -> DataFrame:
-    """Some log row of the run holds the keyword in its error text."""
-    return _any_hit(log, keys, F.coalesce(contains(column, keyword), F.lit(False)))
+def check_error_keyword(
+    log: DataFrame, keys: Sequence[str], keyword: str, column: str = "err_msg", expected: DataFrame | None = None
+) -> DataFrame:
+    """Some log row of the run holds the keyword in its error text; expected keys without a row fail."""
+    return _any_hit(log, keys, F.coalesce(contains(column, keyword), F.lit(False)), expected)
 
 
-def _any_hit(log: DataFrame, keys: Sequence[str], hit: Column) -> DataFrame:
-    hits = F.sum(hit.cast("bigint"))
-    return log.groupBy(*keys).agg(hits.alias("hits")).select(
+def _any_hit(log: DataFrame, keys: Sequence[str], hit: Column, expected: DataFrame | None) -> DataFrame:
+    hits = F.coalesce(F.sum("_hit"), F.lit(0))
+    marked = log.select(*keys, hit.cast("bigint").alias("_hit"))
+    if expected is not None:
+        marked = marked.unionByName(expected.select(*keys, F.lit(0).cast("bigint").alias("_hit")))
+    return marked.groupBy(*keys).agg(hits.alias("hits")).select(
         *keys, "hits", F.when(F.col("hits") > 0, PASS).otherwise(FAIL).alias("status")
     )
 

@@ -152,7 +152,9 @@ def histogram(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Bins, and one absolute and one relative metric per distinct value."""
     target = Metric("Histogram", (column,))
     counts = histogram_counts(df, column, by)
-    value = F.coalesce(F.col(column).cast("string"), F.lit(NULL_BIN))
+    # a text that spells the name of the null bin, or its escape, is told apart by a backslash
+    text = F.col(column).cast("string")
+    value = F.coalesce(F.when(text.rlike(rf"^\\*{NULL_BIN}$"), F.concat(F.lit("\\"), text)).otherwise(text), F.lit(NULL_BIN))
 
     def row(name: Column, measure: Column) -> Column:
         return F.struct(

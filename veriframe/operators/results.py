@@ -23,7 +23,8 @@ RUN_COLUMNS = {
 def with_run(results: DataFrame, runs: DataFrame | None, test_param: dict | None = None) -> DataFrame:
     """Result rows with the columns of their run, or the skip marker when there is no run.
 
-    Rows meet their run on ``run_id``.
+    Rows meet their run on ``run_id``. Rows without that column are results of the
+    one run given; more than one run fails the job.
     """
     param = F.lit(None).cast("string")
     if test_param:
@@ -33,7 +34,12 @@ def with_run(results: DataFrame, runs: DataFrame | None, test_param: dict | None
         blank = {c: F.lit(None).cast(t) for c, t in RUN_COLUMNS.items()}
         rows = results.withColumn("workflow_name", F.lit(NO_RUN)).withColumns(blank)
     else:
-        rows = results.join(run_information(runs), "run_id", "left")
+        information = run_information(runs)
+        if "run_id" in results.columns:
+            rows = results.join(information, "run_id", "left")
+        else:
+            one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("results belong to one run"))).otherwise(F.first(F.struct(*information.columns)))
+            rows = results.withColumn("_run", information.agg(one).scalar()).select("*", "_run.*").drop("_run")
     return rows.withColumn("test_param", param)
 
 

@@ -42,23 +42,25 @@ def check_tasks_complete(task_runs: DataFrame) -> DataFrame:
 
 
 def check_run_terminated(runs: DataFrame, task_runs: DataFrame) -> DataFrame:
-    """A run must be terminated first, and then each task successful."""
+    """A run must be terminated first, and then each task successful; the message names every task that failed, of which a run has few."""
     tasks = check_tasks_complete(task_runs).select("run_id", "not_successful")
+    named = failed_tasks(task_runs).groupBy("run_id").agg(F.array_join(F.array_sort(F.collect_list("message")), " ").alias("_failed"))
     ended = F.col("life_cycle_state").eqNullSafe(TERMINATED)
     failed = F.coalesce("not_successful", F.lit(0))
-    return runs.select("run_id", "run_name", "life_cycle_state").join(tasks, "run_id", "left").select(
+    return runs.select("run_id", "run_name", "life_cycle_state").join(tasks, "run_id", "left").join(named, "run_id", "left").select(
         "run_id", "life_cycle_state", failed.cast("bigint").alias("not_successful"),
         F.when(ended & (failed == 0), PASS).otherwise(FAIL).alias("status"),
         F.when(~ended, F.format_string(
             UNFINISHED_RUN, "run_name", "run_id", F.coalesce("life_cycle_state", F.lit("None"))
-        )).alias("message"),
+        )).otherwise(F.col("_failed")).alias("message"),
     )
 
 
-def check_downstream_skipped(task_runs: DataFrame, downstream: Sequence[str]) -> DataFrame:
+def check_downstream_skipped(task_runs: DataFrame, downstream: Sequence[str], runs: DataFrame | None = None) -> DataFrame:
     """Listed tasks that are present must be skipped because of an upstream failure.
 
-    A listed task that a run does not have does not fail it, but is counted.
+    A listed task that a run does not have does not fail it, but is counted. With
+    ``runs``, a frame of ``run_id``, runs without any listed task fail.
     """
     listed = task_runs.where(F.col("task_key").isin(*downstream))
     skipped = F.col("life_cycle_state").eqNullSafe(SKIPPED) & F.col("result_state").eqNullSafe(UPSTREAM_FAILED)
@@ -66,11 +68,18 @@ def check_downstream_skipped(task_runs: DataFrame, downstream: Sequence[str]) ->
     present = sum(
         [F.max((F.col("task_key") == name).cast("bigint")) for name in downstream], F.lit(0)
     )
-    return listed.groupBy("run_id").agg(
+    found = listed.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("present"),
         F.sum((~skipped).cast("bigint")).alias("not_skipped"),
         (F.lit(len(downstream)) - present).cast("bigint").alias("missing"),
-    ).withColumn("status", F.when(F.col("not_skipped") == 0, PASS).otherwise(FAIL))
+    )
+    if runs is not None:
+        found = runs.select("run_id").distinct().join(found, "run_id", "left").select(
+            "run_id", F.coalesce("present", F.lit(0)).alias("present"), F.coalesce("not_skipped", F.lit(0)).alias("not_skipped"),
+            F.coalesce("missing", F.lit(len(downstream))).cast("bigint").alias("missing"),
+        )
+    good = (F.col("not_skipped") == 0) & (F.col("present") > 0)
+    return found.withColumn("status", F.when(good, PASS).otherwise(FAIL))
 
 
 def task_durations(task_runs: DataFrame) -> DataFrame:

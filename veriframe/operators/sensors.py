@@ -39,11 +39,14 @@ def rules_with_flag(sensor: DataFrame, ready: bool) -> DataFrame:
 
 
 def check_sensor_rules(
-    sensor: DataFrame, expected_rules: Sequence[str], by: Sequence[str], ready: bool = False
+    sensor: DataFrame, expected_rules: Sequence[str], by: Sequence[str], ready: bool = False,
+    required: DataFrame | None = None,
 ) -> DataFrame:
-    """Rules with the given flag equal an expected set, per group."""
-    groups = sensor.select(*by).distinct()
-    expected = groups.withColumn("snsr_rule", F.explode(F.array(*[F.lit(r) for r in expected_rules])))
+    """Rows with the given flag equal an expected set, per group; required groups without any row miss all of it."""
+    groups = sensor.select(*by)
+    if required is not None:
+        groups = groups.unionByName(required.select(*by))
+    expected = groups.distinct().withColumn("snsr_rule", F.explode(F.array(*[F.lit(r) for r in expected_rules])))
     return check_sets(rules_with_flag(sensor, ready), expected, "snsr_rule", by)
 
 
@@ -59,18 +62,30 @@ def latest_sensor(sensor: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return latest_rows(sensor.where(F.col("dt").between(start, end)), SENSOR_KEYS, order)
 
 
-def gate(sensor: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def gate(sensor: DataFrame, start: dt.date, end: dt.date, required: DataFrame | None = None) -> DataFrame:
     """Readiness per pipeline and date: all newest results must be ready, unknown counts as not ready.
 
+    ``required`` lists pipelines, dates and rules of the period that must have
+    reported; one that did not counts as a rule that is not ready.
+
     A rule is ready when its newest ready result is later than its newest other
     one, so at the same moment not ready wins. Two maxima per rule need neither
     a sort nor the rows themselves.
     """
     ready, moment = F.coalesce("is_ready", F.lit(False)), F.col("result_ts")
-    rules = sensor.where(F.col("dt").between(start, end)).groupBy(*SENSOR_KEYS).agg(
-        F.max(F.when(ready, moment)).alias("_ready"), F.max(F.when(~ready, moment)).alias("_other")
+    reported = sensor.where(F.col("dt").between(start, end)).select(
+        *SENSOR_KEYS, F.when(ready, moment).alias("_ready"), F.when(~ready, moment).alias("_other"), F.lit(1).alias("_rows")
+    )
+    if required is not None:
+        never = F.lit(None).cast(reported.schema["_ready"].dataType)
+        reported = reported.unionByName(required.where(F.col("dt").between(start, end)).select(
+            *SENSOR_KEYS, never.alias("_ready"), never.alias("_other"), F.lit(0).alias("_rows")
+        ))
+    rules = reported.groupBy(*SENSOR_KEYS).agg(
+        F.max("_ready").alias("_ready"), F.max("_other").alias("_other"), F.max("_rows").alias("_rows")
     )
-    late = F.col("_other").isNotNull() & ~F.coalesce(F.col("_ready") > F.col("_other"), F.lit(False))
+    unready = F.col("_other").isNotNull() & ~F.coalesce(F.col("_ready") > F.col("_other"), F.lit(False))
+    late = unready | (F.col("_rows") == 0)
     return rules.groupBy("upstrm_pl", "dt").agg(
         F.count(F.lit(1)).alias("rules"), F.sum(late.cast("bigint")).alias("not_ready")
     ).select(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 from veriframe.functions.time import day_range
 from veriframe.operators.verdict import verdict_columns
@@ -174,13 +174,24 @@ def reconcile(left: DataFrame, right: DataFrame, columns: Sequence[str] | None =
 
 
 def schema_shape(schema: StructType, nullability: bool) -> list:
-    return [(f.name, f.dataType, f.nullable if nullability else None) for f in schema.fields]
+    return [(f.name, f.dataType if nullability else _nullable(f.dataType), f.nullable if nullability else None) for f in schema.fields]
+
+
+def _nullable(kind: DataType) -> DataType:
+    """The type with every nested field, element and value nullable."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _nullable(f.dataType)) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, MapType):
+        return MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    return kind
 
 
 def check_equality(left: DataFrame, right: DataFrame, nullability: bool = False) -> DataFrame:
     """Equal schemas in order, and equal rows as a multiset.
 
-    Saved tables read back nullable, so top-level nullability counts only on request.
+    Saved tables read back nullable, at every level, so nullability counts only on request.
     """
     if schema_shape(left.schema, nullability) != schema_shape(right.schema, nullability):
         return left.sparkSession.range(1).select(

@@ -49,7 +49,8 @@ MONTHLY = """
 # maximum keeps one candidate per task and needs no sort.
 BUSINESS = """
     SELECT uc_id AS customer_id, dl_data_dt,
-           max_by(class_source_product_sum_transactions_val_dly_v1, dl_load_ts) AS daily_transactions
+           max_by(class_source_product_sum_transactions_val_dly_v1,
+                  coalesce(dl_load_ts, TIMESTAMP '0001-01-01 00:00:00')) AS daily_transactions
     FROM {table} GROUP BY uc_id, dl_data_dt
 """
 

@@ -76,11 +76,15 @@ def audit_warnings(spark, folder):
     UNION ALL
     SELECT 'broken', 'FAILED', 'DeequAuditError: ' || CAST(count(*) AS VARCHAR) || ' rule violations', count(*), count(*),
            (SELECT dt_list_text FROM t), 0 FROM o
+    UNION ALL
+    SELECT 'unanswered', 'FAILED', 'DeequAuditError: 0 rule violations, not answered: gone, text', count(*), 0,
+           (SELECT dt_list_text FROM t), 0 FROM o
 """)
 def audit_gate(spark, folder):
     rules = [audit.id_rule(), audit.Rule("not_negative", f"{SUM_COLUMN} >= 0")]
     outcomes = []
-    for name, prefix in (("clean", gen.GOOD_PREFIX), ("broken", gen.BAD_PREFIX)):
+    unanswered = [audit.Rule("gone", "no_such_column > 0"), audit.Rule("text", "uc_id")]
+    for name, prefix, rules in (("clean", gen.GOOD_PREFIX, rules), ("broken", gen.BAD_PREFIX, rules), ("unanswered", gen.GOOD_PREFIX, unanswered)):
         output = daily_sum(st.transactions(spark, folder, prefix), _loaded(FIRST_LOAD))
         path = work_dir(spark, f"output-{name}")
         record = audit.audited_write(output, rules, path, "daily_sum")

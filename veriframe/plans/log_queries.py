@@ -156,15 +156,21 @@ def run_uri(spark, folder):
 
 @query("epoch_normalize", f"""
     WITH {st.EVENTS}, x AS (
-        SELECT event_id, CASE k % 4 WHEN 0 THEN epoch_us(ts) // 1000000 WHEN 1 THEN epoch_us(ts) // 1000
-                                    WHEN 2 THEN epoch_us(ts) ELSE epoch_us(ts) // 10000000 END AS epoch FROM ev)
+        SELECT event_id, CASE k % 7 WHEN 0 THEN epoch_us(ts) // 1000000 WHEN 1 THEN epoch_us(ts) // 1000
+                                    WHEN 2 THEN epoch_us(ts) WHEN 3 THEN epoch_us(ts) // 10000000
+                                    WHEN 4 THEN epoch_us(ts) * 10 + 9 WHEN 5 THEN epoch_us(ts) * 100 + 99
+                                    ELSE epoch_us(ts) * 1000 + 999 END AS epoch FROM ev)
     SELECT event_id, epoch,
-           make_timestamp(epoch * CAST(10 ** (16 - length(CAST(epoch AS VARCHAR))) AS BIGINT)) AS moment FROM x
+           make_timestamp(CASE WHEN length(CAST(epoch AS VARCHAR)) > 16 THEN epoch_us(ts)
+               ELSE epoch * CAST(10 ** (16 - length(CAST(epoch AS VARCHAR))) AS BIGINT) END) AS moment
+    FROM x JOIN ev USING (event_id)
 """)
 def epoch_normalize(spark, folder):
-    k, micros = F.col("k") % 4, st.epoch_micros(F.col("ts"))
-    divisor = F.when(k == 0, 1_000_000).when(k == 1, 1_000).when(k == 2, 1).otherwise(10_000_000)
-    rows = st.events(spark, folder).select("event_id", F.floor(micros / divisor).cast("bigint").alias("epoch"))
+    k, micros = F.col("k") % 7, st.epoch_micros(F.col("ts"))
+    divisor = F.when(k == 0, 1_000_000).when(k == 1, 1_000).when(k == 3, 10_000_000).otherwise(1)
+    factor = F.when(k == 4, 10).when(k == 5, 100).when(k == 6, 1_000).otherwise(1)
+    epoch = F.floor(micros / divisor).cast("bigint") * factor + factor - 1
+    rows = st.events(spark, folder).select("event_id", epoch.cast("bigint").alias("epoch"))
     return rows.withColumn("moment", st.utc_ntz(epoch_to_timestamp(F.col("epoch"))))
 
 
@@ -224,11 +230,15 @@ def failed_tasks(spark, folder):
 
 @query("check_run_terminated", f"""
     WITH {st.RUNS}, {TASK_VERDICT}
+    , bad AS (SELECT run_id, string_agg(m, ' ' ORDER BY m) AS failed FROM (
+        SELECT run_id, 'Result status of task_key:' || task_key || ', run_id:' || CAST(task_run_id AS VARCHAR) || ', ' ||
+               coalesce(result_state, 'None') || ', ' || coalesce(state_message, 'None') || '.' AS m
+        FROM tr WHERE result_state IS DISTINCT FROM 'SUCCESS') GROUP BY run_id)
     SELECT rn.run_id, rn.life_cycle_state, tv.not_successful,
            CASE WHEN rn.life_cycle_state = 'TERMINATED' AND tv.not_successful = 0 THEN 'pass' ELSE 'fail' END AS status,
            CASE WHEN rn.life_cycle_state <> 'TERMINATED' THEN 'Result life cycle state of run_name:' || run_name ||
-                ', run_id:' || CAST(rn.run_id AS VARCHAR) || ' is ' || rn.life_cycle_state || '.' END AS message
-    FROM rn JOIN tv ON rn.run_id = tv.run_id
+                ', run_id:' || CAST(rn.run_id AS VARCHAR) || ' is ' || rn.life_cycle_state || '.' ELSE bad.failed END AS message
+    FROM rn JOIN tv ON rn.run_id = tv.run_id LEFT JOIN bad ON rn.run_id = bad.run_id
 """)
 def check_run_terminated(spark, folder):
     tasks = st.task_runs(spark, folder)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from veriframe.functions.text import list_text
 from veriframe.functions.time import day_text
-from veriframe.operators.metrics import check_metric_date_list, check_metric_dates, check_profile_metrics
+from veriframe.operators.metrics import check_metric_date_list, check_metric_dates, check_profile_metrics, check_repository
 from veriframe.operators.profile import histogram_counts, metric, profile
 from veriframe.operators.sets import day_range
 from veriframe.operators.verdict import union_all
@@ -215,6 +215,13 @@ def _repository(spark, folder):
     return path
 
 
+def _second_table(spark, folder, path):
+    """Metrics of another table, written by a run of the same moment."""
+    events = load(spark, folder, "lineitem").withColumn("date", F.date_format("l_shipdate", "yyyy-MM"))
+    sizes = profile(events, [metric("Size")], ["date"]).withColumn("dataset_date", F.lit(FIRST_RUN))
+    write_metrics(sizes.withColumn("table_name", F.lit("lineitem")), path, ["date", "table_name"])
+
+
 REPOSITORY = f"""
     mo AS (SELECT strftime(o_orderdate, '%Y-%m') AS date, o_totalprice AS p FROM orders),
     repo AS (
@@ -238,17 +245,30 @@ def metrics_repository_scan(spark, folder):
 
 @query("metrics_repository_write", f"""
     WITH {REPOSITORY}
-    SELECT dataset_date, date, 'orders' AS table_name, instance, count(*) AS metrics
+    SELECT dataset_date, date, 'orders' AS table_name, instance, count(*) AS documents, count(*) AS metrics
     FROM repo GROUP BY dataset_date, date, instance
+    UNION ALL
+    SELECT DISTINCT {FIRST_RUN}::BIGINT, strftime(l_shipdate, '%Y-%m'), 'lineitem', '*', 1, 1 FROM lineitem
 """)
 def metrics_repository_write(spark, folder):
-    documents = spark.read.schema(DOCUMENT).json(_repository(spark, folder))
+    path = _repository(spark, folder)
+    _second_table(spark, folder, path)
+    documents = spark.read.schema(DOCUMENT).json(path)
     entries = F.col("analyzerContext.metricMap")
-    return documents.select(
+    return documents.groupBy(
         F.col("resultKey.dataSetDate").alias("dataset_date"), F.col("resultKey.tags.date").alias("date"),
-        F.col("resultKey.tags.table_name").alias("table_name"),
-        entries[0].metric.instance.alias("instance"), F.size(entries).cast("bigint").alias("metrics"),
-    )
+        F.col("resultKey.tags.table_name").alias("table_name"), entries[0].metric.instance.alias("instance"),
+    ).agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size(entries)).alias("metrics"))
+
+
+@query("check_repository", """
+    SELECT name AS repository, status FROM (VALUES ('written', 'pass'), ('empty', 'error')) v(name, status)
+    WHERE EXISTS (SELECT 1 FROM orders)
+""")
+def check_repository_query(spark, folder):
+    metrics = read_metrics(spark, _repository(spark, folder), ["date", "table_name"])
+    frames = {"written": metrics, "empty": metrics.where(F.col("date") == "1800-01")}
+    return union_all([check_repository(f).select(F.lit(n).alias("repository"), "status") for n, f in frames.items()])
 
 
 EXPECTED_METRICS = {"o_totalprice": ["Minimum", "Maximum", "Completeness", "Mean"], "*": ["Size"], "o_custkey": []}

@@ -80,7 +80,9 @@ def mixed_hash(row_id: Column, seed: int = 0) -> Column:
     engine with 64-bit integers gets the same numbers.
     """
     prime = F.lit(2147483647).cast("bigint")
-    first = ((row_id + F.lit(seed + 1)) % prime) * F.lit(48271).cast("bigint") % prime
+    # a seed other than zero is a multiplier of its own, so two seeds are no shifted copies of each other
+    factor = 48271 if not seed else pow(48271, 2 * seed + 1, 2147483647)
+    first = ((row_id + F.lit(1)) % prime) * F.lit(factor).cast("bigint") % prime
     return first * (first % F.lit(65521) + F.lit(1)) % prime
 
 

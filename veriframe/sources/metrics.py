@@ -10,8 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.sources.workspace import work_dir
-
 DOCUMENT = """
     resultKey struct<dataSetDate: bigint, tags: map<string, string>>,
     analyzerContext struct<metricMap: array<struct<
@@ -20,23 +18,28 @@ DOCUMENT = """
                        name: string, value: double>>>>
 """
 
-# Upper bound aimed at for the metrics held by one document.
-METRICS_PER_DOCUMENT = 10_000
-
 
 def read_metrics(
     spark: SparkSession, path: str, tags: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
     """Metrics as rows: entity, instance, name, value, dataset_date and one column per tag.
 
-    ``multi_line`` reads a file that holds one JSON array; documents written by
-    :func:`write_metrics` sit one per line, so large files split over tasks.
+    Folders written by :func:`write_metrics` are partitioned by the tags and the
+    moment of the run, so a filter on these columns leaves out whole folders.
+    ``multi_line`` reads files that hold one JSON array and take both from the
+    documents instead.
     """
-    documents = spark.read.schema(DOCUMENT).option("multiLine", multi_line).json(path)
-    return documents.select(
-        F.col("resultKey.dataSetDate").alias("dataset_date"),
-        *[F.col("resultKey.tags")[t].alias(t) for t in tags],
-        F.explode("analyzerContext.metricMap.metric").alias("metric"),
+    reader = spark.read.option("multiLine", multi_line)
+    if multi_line:
+        keyed = reader.schema(DOCUMENT).json(path).select(
+            F.col("resultKey.dataSetDate").alias("dataset_date"),
+            *[F.col("resultKey.tags")[t].alias(t) for t in tags], "analyzerContext",
+        )
+    else:
+        partitions = ", ".join([f"`{t}` string" for t in tags] + ["dataset_date bigint"])
+        keyed = reader.schema(f"{DOCUMENT}, {partitions}").json(path)
+    return keyed.select(
+        "dataset_date", *tags, F.explode("analyzerContext.metricMap.metric").alias("metric")
     ).select(
         F.col("metric.entity").alias("entity"),
         F.col("metric.instance").alias("instance"),
@@ -46,8 +49,8 @@ def read_metrics(
     )
 
 
-def metric_documents(metrics: DataFrame, tags: Sequence[str], chunks: int = 1) -> DataFrame:
-    """Long metric rows as result documents, ``chunks`` documents per result key and instance."""
+def metric_documents(metrics: DataFrame, tags: Sequence[str]) -> DataFrame:
+    """Long metric rows as result documents, one metric each, whatever the number of rows."""
     entry = F.struct(
         F.create_map(
             F.lit("analyzerName"), F.split("name", r"\.")[0], F.lit("column"), F.col("instance")
@@ -57,40 +60,24 @@ def metric_documents(metrics: DataFrame, tags: Sequence[str], chunks: int = 1) -
             F.col("value").cast("double").alias("value"),
         ).alias("metric"),
     )
-    chunk = F.pmod(F.xxhash64("instance", "name"), F.lit(chunks))
-    keyed = metrics.select("dataset_date", *tags, "instance", chunk.alias("chunk"), entry.alias("entry"))
     tag_map = F.create_map(*[x for t in tags for x in (F.lit(t), F.col(t).cast("string"))])
-    return (
-        keyed.groupBy("dataset_date", *tags, "instance", "chunk")
-        .agg(F.collect_list("entry").alias("entries"))
-        .select(
-            F.struct(F.col("dataset_date").alias("dataSetDate"), tag_map.alias("tags")).alias("resultKey"),
-            F.struct(F.col("entries").alias("metricMap")).alias("analyzerContext"),
-        )
+    return metrics.select(
+        F.struct(F.col("dataset_date").alias("dataSetDate"), tag_map.alias("tags")).alias("resultKey"),
+        F.struct(F.array(entry).alias("metricMap")).alias("analyzerContext"),
+        *[F.col(t).cast("string").alias(t) for t in tags], "dataset_date",
     )
 
 
-def write_metrics(
-    metrics: DataFrame, path: str, tags: Sequence[str], per_document: int = METRICS_PER_DOCUMENT
-) -> None:
+def write_metrics(metrics: DataFrame, path: str, tags: Sequence[str]) -> None:
     """Add the metrics of one or more runs to a repository folder, as JSON lines.
 
-    Documents lie in one partition per ``dataset_date``, the moment of the run;
-    writing a run again replaces it. Histogram metrics can hold one row per distinct value, so the largest
-    result key decides how many documents each key is spread over. The metrics
-    are computed once, into a written table that both steps read.
+    Documents lie in one partition per value of the tags and moment of the run.
+    Writing a run again replaces it and nothing else. The rebalance hint splits a
+    partition with many metrics over several files and merges small ones.
     """
-    spark = metrics.sparkSession
-    staging = work_dir(spark, "metrics")
-    metrics.write.parquet(staging)
-    staged = spark.read.schema(metrics.schema).parquet(staging)
-    largest = (
-        staged.groupBy("dataset_date", *tags, "instance").count().agg(F.max("count")).first()[0] or 0
-    )
-    chunks = -(-largest // per_document) or 1
-    documents = metric_documents(staged, tags, chunks)
+    keys = [*tags, "dataset_date"]
     (
-        documents.withColumn("dataset_date", F.col("resultKey.dataSetDate"))
+        metric_documents(metrics, tags).hint("rebalance", *keys)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dataset_date").json(path)
+        .partitionBy(*keys).json(path)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# How listings spell a null partition.
+# How listings spell a null partition; the short form is also a text that a string column may hold.
 NULL_PARTITION = ("__HIVE_DEFAULT_PARTITION__", "null")
 
 
@@ -33,7 +33,8 @@ def list_partitions(spark: SparkSession, table: str, column: str, data_type: str
     listing = spark.sql(f"SHOW PARTITIONS {table}")
     listed = F.str_to_map("partition", F.lit("/"), F.lit("="))[column]
     value = F.try_url_decode(F.replace(listed, F.lit("+"), F.lit("%2B")))
-    present = F.when(~value.isin(*NULL_PARTITION), value)
+    nulls = NULL_PARTITION[:1] if data_type == "string" else NULL_PARTITION
+    present = F.when(~value.isin(*nulls), value)
     return listing.select(present.cast(data_type).alias(column)).distinct()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,12 +22,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{_base(spark).rstrip('/')}/veriframe/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`work_dir` named and this library wrote."""
+    if "/veriframe/" not in path:
+        raise ValueError(f"{path} is no scratch folder")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _base(spark: SparkSession) -> str:
     global _local_base
     configured = spark.conf.get(SETTING, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="veriframe-")

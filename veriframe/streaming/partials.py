@@ -79,6 +79,8 @@ def on_days(column: str, days: Iterable[dt.date | None]) -> Column:
 
 
 def shifted(days: Iterable[dt.date | None], offsets: Iterable[int]) -> list[dt.date | None]:
-    """All given days moved by all given offsets; no day stays no day."""
-    moves = list(offsets)
-    return list({d if d is None else d + dt.timedelta(days=n) for d in days for n in moves})
+    """All given days moved by all given offsets, as far as the calendar goes; no day stays no day."""
+    days, moves = list(days), list(offsets)
+    first, last = dt.date.min.toordinal(), dt.date.max.toordinal()
+    known = {d.toordinal() + n for d in days if d is not None for n in moves}
+    return [dt.date.fromordinal(n) for n in sorted(known) if first <= n <= last] + [None] * (None in days)

@@ -41,8 +41,8 @@ def lines(docs: DataFrame) -> DataFrame:
     """``place, words`` of the lines that have a word, of ``doc, text``."""
     return (
         docs.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select(F.expr(f"cast(cast(doc * {_LINE} as decimal(38,0)) + line_no as decimal(38,0))").alias("place"), _words(F.col("line")).alias("words"))
-        .where(F.size("words") > 0))
+        .where(F.col("line").rlike(f"[^{SPACE[1:-2]}]"))
+        .select(F.expr(f"cast(cast(doc * {_LINE} as decimal(38,0)) + line_no as decimal(38,0))").alias("place"), _words(F.col("line")).alias("words")))
 
 
 def _halves() -> list[Column]:

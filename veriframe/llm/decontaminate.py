@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from veriframe.llm.shared import slices
 
 #: Edits allowed for each character of an item.
-BUDGET = 0.08
+BUDGET = 0.1
 #: Characters of benchmark text that are broadcast at once; a larger benchmark takes several passes.
 BLOCK_CHARS = 4_000_000
 #: Characters of the grams that are counted before a distance is computed.

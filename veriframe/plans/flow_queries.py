@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from veriframe.operators import audit
+from veriframe.operators.sets import check_date_coverage
 from veriframe.operators.transform import DAY, LOADED, SUM_COLUMN, create_views, daily_sum
 from veriframe.operators.verdict import union_all
 from veriframe.plans import standins as st
@@ -206,20 +207,50 @@ def _event_stream(spark, folder):
     return read_stream(spark, folder, "events").select("user_id", "value", "props", F.to_date("ts").alias("day"))
 
 
-@query("stream_daily_sum", f"""
+def _piecewise(spark, folder):
+    """The event stream in several batches that each hold rows of most days."""
+    path = work_dir(spark, "pieces")
+    load(spark, folder, "events").repartition(3, "event_id").write.parquet(f"{path}/events.parquet")
+    return read_stream(spark, path, "events", files_per_batch=1).select("user_id", "value", "props", F.to_date("ts").alias("day"))
+
+
+DAILY_STREAM = f"""
     WITH {st.TRANSACTIONS}, o AS (SELECT uc_id, dl_data_dt, CAST(sum(transactions) AS INTEGER) AS s FROM tx GROUP BY ALL)
     SELECT o.uc_id, o.s AS class_source_product_sum_transactions_val_dly_v1,
            o.s + coalesce(p.s, 0) AS class_source_product_added_transactions_val_dly_v1, o.dl_data_dt
     FROM o LEFT JOIN o p ON p.uc_id = o.uc_id AND p.dl_data_dt = o.dl_data_dt - 1
-""")
+"""
+
+
+@query("stream_daily_sum", DAILY_STREAM)
 def stream_daily_sum(spark, folder):
-    source = _event_stream(spark, folder).select(
+    return _daily_stream(spark, _event_stream(spark, folder)).drop(LOADED)
+
+
+@query("stream_daily_sum_batches", DAILY_STREAM)
+def stream_daily_sum_batches(spark, folder):
+    return _daily_stream(spark, _piecewise(spark, folder)).drop(LOADED)
+
+
+@query("stream_date_coverage", """
+    WITH x AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day),
+         g AS (SELECT day FROM x WHERE day NOT IN (SELECT CAST(ts AS DATE) FROM events))
+    SELECT 'dl_data_dt' AS target, count(*) AS violations, CAST(min(day) AS VARCHAR) AS observed,
+           CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status FROM g
+""")
+def stream_date_coverage(spark, folder):
+    sink = _daily_stream(spark, _piecewise(spark, folder))
+    return check_date_coverage(sink, DAY, dt.date(2024, 1, 1), dt.date(2024, 1, 31)).select("target", "violations", "observed", "status")
+
+
+def _daily_stream(spark, events):
+    source = events.select(
         F.concat(F.lit("11"), (F.lit(10 ** 9) + F.col("user_id")).cast("string")).alias("uc_id"),
         F.get_json_object("props", "$.k").try_cast("int").alias("transactions"), F.col("day").alias(DAY),
     )
     path = work_dir(spark, "stream-daily-sum")
     run_daily_sum(source, path, f"{path}/checkpoint")
-    return read_output(spark, path).drop(LOADED)
+    return read_output(spark, path)
 
 
 @query("stream_profile", f"""
@@ -255,3 +286,19 @@ def stream_sensor(spark, folder):
     path = work_dir(spark, "stream-sensor")
     run_sensor(_event_stream(spark, folder), "value", "day", path, f"{path}/checkpoint", "7", "daily")
     return read_sensor(spark, path)
+
+
+@query("stream_sensor_daily", f"""
+    WITH {st.EVENTS},
+         dm AS (SELECT day, name, value FROM (
+             UNPIVOT (SELECT day, min(value) AS "Minimum", max(value) AS "Maximum" FROM ev GROUP BY day)
+             ON "Minimum", "Maximum" INTO NAME name VALUE value))
+    SELECT '7' AS parent_run_id, 'daily_d1' AS upstrm_pl, a.day AS dt,
+           'AnomalyConstraint(Mean(value,Some(name=''' || a.name || ''' and instance=''value'')))' AS snsr_rule,
+           abs(a.value - b.value) <= 0.5 * abs(b.value) AS is_ready
+    FROM dm a LEFT JOIN dm b ON a.name = b.name AND b.day = a.day - 1
+""")
+def stream_sensor_daily(spark, folder):
+    path = work_dir(spark, "stream-sensor-daily")
+    run_sensor(_piecewise(spark, folder), "value", "day", path, f"{path}/checkpoint", "7", "daily", lookback=1, month_end=False)
+    return read_sensor(spark, path)

@@ -85,6 +85,20 @@ def profile_quantiles(spark, folder):
     return profile(load(spark, folder, "lineitem"), [metric(n, c) for n in names for c in QUANTILE_COLUMNS])
 
 
+CONTINUOUS = {"lineitem": "l_extendedprice", "orders": "o_totalprice"}
+
+
+@query("profile_quantiles_continuous", " UNION ALL ".join(
+    f"""SELECT 'Column' AS entity, '{c}' AS instance, unnest(['ApproxQuantiles-0.25', 'ApproxQuantiles-0.75']) AS name,
+               unnest([quantile_disc({c}, 0.25), quantile_disc({c}, 0.75)])::DOUBLE AS value FROM {t}"""
+    for t, c in CONTINUOUS.items()
+))
+def profile_quantiles_continuous(spark, folder):
+    # An accuracy of at least the number of rows makes the quantiles exact; beyond a million rows they are approximate.
+    names = ("ApproxQuantiles-0.25", "ApproxQuantiles-0.75")
+    return union_all([profile(load(spark, folder, t), [metric(n, c) for n in names], accuracy=1_000_000) for t, c in CONTINUOUS.items()])
+
+
 @query("profile_count_distinct", """
     SELECT 'Column' AS entity, 'o_custkey' AS instance, 'CountDistinct' AS name, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS value FROM orders
     UNION ALL

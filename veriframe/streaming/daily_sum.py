@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from veriframe.operators.transform import ADDED_COLUMN, DAY, KEY, LOADED, SUM_COLUMN, as_int
 from veriframe.sources.tables import write_partitioned
 from veriframe.streaming.partials import (
-    batch_days, on_days, read_partials, run_available, shifted, write_partials,
+    on_days, read_partials, run_available, shifted, write_partials,
 )
 
 PARTIAL_SCHEMA = f"{KEY} string, part bigint, {DAY} date, batch_id bigint"
@@ -54,12 +54,11 @@ def run_daily_sum(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        touched = batch_days(batch, DAY)
-        if not touched:
-            return
         spark = batch.sparkSession
         partials = batch.groupBy(KEY, DAY).agg(F.sum("transactions").alias("part"))
-        write_partials(partials, f"{folder}/partials", DAY, batch_id)
+        touched = write_partials(partials, f"{folder}/partials", DAY, batch_id)
+        if not touched:
+            return
         affected = shifted(touched, (0, 1))
         needed = shifted(affected, (-1, 0))
         parts = read_partials(spark, f"{folder}/partials", PARTIAL_SCHEMA, DAY, needed)

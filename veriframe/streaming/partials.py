@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -46,14 +46,19 @@ def run_available(
     return query
 
 
-def batch_days(batch: DataFrame, day: str) -> list[dt.date | None]:
-    """Days of a batch, at most one per calendar day; ``None`` for rows without one."""
-    return [row[0] for row in batch.select(day).distinct().collect()]
+def write_partials(partials: DataFrame, path: str, day: str, batch_id: int) -> list[dt.date | None]:
+    """Store a batch's partials, replacing those of an earlier attempt, and return their days.
 
-
-def write_partials(partials: DataFrame, path: str, day: str, batch_id: int) -> None:
-    """Store a batch's partials, replacing those of an earlier attempt."""
-    write_partitioned(partials.withColumn(BATCH, F.lit(batch_id).cast("bigint")), path, [day, BATCH])
+    The write itself notes the days, at most one per calendar day and ``None`` for
+    rows without one, so a batch is read once.
+    """
+    seen = Observation()
+    noted = partials.observe(
+        seen, F.array_join(F.array_sort(F.collect_set(F.col(day).cast("string"))), " ").alias("days"),
+        F.max(F.col(day).isNull()).alias("undated"),
+    )
+    write_partitioned(noted.withColumn(BATCH, F.lit(batch_id).cast("bigint")), path, [day, BATCH])
+    return [dt.date.fromisoformat(d) for d in seen.get["days"].split()] + [None] * bool(seen.get["undated"])
 
 
 def read_partials(

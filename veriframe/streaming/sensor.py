@@ -19,7 +19,7 @@ from veriframe.operators.anomaly import against_lookback, against_month_end
 from veriframe.operators.logs import latest_rows
 from veriframe.operators.sensors import SENSOR_KEYS, sensor_results
 from veriframe.sources.tables import write_partitioned
-from veriframe.streaming.partials import BATCH, batch_days, on_days, run_available, shifted, write_partials
+from veriframe.streaming.partials import BATCH, on_days, run_available, shifted, write_partials
 from veriframe.streaming.profile import day_states, read_profile
 
 RESULT_SCHEMA = (
@@ -42,36 +42,35 @@ def affected_days(
 
 
 def judge(
-    metrics: DataFrame, touched: Iterable[dt.date], run_id: str, pipeline: str, lookback: int, relative: float
+    metrics: DataFrame, touched: Iterable[dt.date], run_id: str, pipeline: str, lookback: int, relative: float,
+    month_end: bool = True,
 ) -> DataFrame:
-    """Sensor rows of both rules for the days that a batch affects."""
+    """Sensor rows of the lookback rule, and of the month end if asked, for the days that a batch affects."""
     near, month, _ = affected_days(touched, lookback)
     by_lookback = against_lookback(metrics, lookback, relative=relative).where(on_days("day", near))
+    rows = sensor_results(by_lookback, run_id, f"{pipeline}_d{lookback}")
+    if not month_end:
+        return rows
     by_month = against_month_end(metrics, relative=relative).where(on_days("day", month))
-    return sensor_results(by_lookback, run_id, f"{pipeline}_d{lookback}").unionByName(
-        sensor_results(by_month, run_id, f"{pipeline}_m1")
-    )
+    return rows.unionByName(sensor_results(by_month, run_id, f"{pipeline}_m1"))
 
 
 def run_sensor(
     source: DataFrame, column: str, day: str, folder: str, checkpoint: str,
     run_id: str, pipeline: str, names: Sequence[str] = ("Minimum", "Maximum"),
-    lookback: int = 3, relative: float = 0.5,
+    lookback: int = 3, relative: float = 0.5, month_end: bool = True,
 ) -> StreamingQuery:
-    """Judge a stream's day metrics into ``folder/results``."""
+    """Judge a stream's day metrics into ``folder/results``, by the days before and, unless left out, by the last month end."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        days = batch_days(batch, day)
-        if not days:
-            return
         spark = batch.sparkSession
-        write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
+        days = write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
         touched = [d for d in days if d is not None]
         if not touched:
             return
         needed = affected_days(touched, lookback)[2]
         metrics = read_profile(spark, folder, needed).where(F.col("name").isin(*names))
-        results = judge(metrics, touched, run_id, pipeline, lookback, relative)
+        results = judge(metrics, touched, run_id, pipeline, lookback, relative, month_end)
         write_partitioned(
             results.withColumn(BATCH, F.lit(batch_id).cast("bigint")), f"{folder}/results", [BATCH]
         )

@@ -96,3 +96,9 @@ def test_monthly_views_prune_partitions(spark, sf, large, tmp_path):
         assert "SubqueryBroadcast dynamicpruning" in final
         if kind == "business_monthly":
             assert final.index("HashAggregate") < final.index("BroadcastHashJoin")
+
+
+def test_distinct_metrics_of_five_columns_scan_once(spark, sf):
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    text = plan(profile(load(spark, sf, "orders"), [metric(n, c) for c in columns for n in ("CountDistinct", "Uniqueness")]))
+    assert text.count("FileScan") == 1

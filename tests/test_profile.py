@@ -190,3 +190,19 @@ def test_month_end_and_history(spark):
     assert found == {1: None, 2: True, 3: None}
     history = anomaly.against_history(metrics.where("month(day) = 3"), metrics.where("month(day) < 3"), absolute=0.4)
     assert (history.first().reference, history.first().is_ready) == (10.5, False)
+
+
+def test_distinct_metrics_of_overlapping_sets(spark):
+    data = [("x", 1, "a"), ("x", 1, "b"), ("x", None, "b"), ("y", 2, None), (None, None, None)]
+    df = spark.createDataFrame(data, "g string, n int, t string")
+    asked = [("n",), ("t",), ("n", "t"), ("t", "n"), ("g", "n")]
+
+    def found(rows):
+        return {(r["instance"], *[r[c] for c in rows.columns if c == "g"]): r["value"] for r in rows.collect()}
+
+    wanted = [metric("CountDistinct", *c) for c in asked]
+    assert found(profile(df, wanted)) == {("n",): 2, ("t",): 2, ("n,t",): 2, ("t,n",): 2, ("g,n",): 2}
+    assert found(profile(df.limit(0), wanted)) == {(",".join(c),): 0 for c in asked}
+    assert found(profile(df, wanted[:4], ["g"])) == {
+        ("n", "x"): 1, ("t", "x"): 2, ("n,t", "x"): 2, ("t,n", "x"): 2, ("n", "y"): 1, ("t", "y"): 0, ("n,t", "y"): 0, ("t,n", "y"): 0,
+        ("n", None): 0, ("t", None): 0, ("n,t", None): 0, ("t,n", None): 0}

@@ -22,6 +22,20 @@ def value_counts(df: DataFrame, columns: Columns) -> DataFrame:
     return df.groupBy(*_names(columns)).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def counts_by_set(df: DataFrame, sets: Sequence[Sequence[str]], by: Sequence[str] = ()) -> tuple[DataFrame, list[Column]]:
+    """Rows per distinct value of several column sets from one scan, and for each set what tells its rows apart."""
+    keys = list(dict.fromkeys([*by, *(c for names in sets for c in names)]))
+    wanted = list(dict.fromkeys(tuple(k for k in keys if k in names or k in by) for names in sets))
+    counted = df.groupingSets([list(s) for s in wanted], *keys).agg(
+        F.count(F.lit(1)).alias("row_count"), F.grouping_id(*keys).alias("_set")
+    )
+
+    def number(names: Sequence[str]) -> int:
+        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in names and k not in by)
+
+    return counted, [F.col("_set") == number(names) for names in sets]
+
+
 def duplicates(df: DataFrame, columns: Columns) -> DataFrame:
     """Values that occur more than once, with their row count."""
     return value_counts(df, columns).where(F.col("row_count") > 1)
@@ -42,9 +56,9 @@ def check_unique(df: DataFrame, columns: Columns) -> DataFrame:
     )
 
 
-def distinct_measures(columns: Sequence[str]) -> dict[str, Column]:
-    """The four distinct metrics over a frame of value counts; nulls are left out."""
-    present = all_present(columns)
+def distinct_measures(columns: Sequence[str], counted: Column | None = None) -> dict[str, Column]:
+    """The four distinct metrics over a frame of value counts; nulls are left out, and so are rows that don't count."""
+    present = all_present(columns) if counted is None else all_present(columns) & counted
     total = F.sum(F.when(present, F.col("row_count")))
     values = F.count(F.when(present, F.lit(1)))
     single = F.count(F.when(present & (F.col("row_count") == 1), F.lit(1)))

@@ -2,7 +2,8 @@
 
 Metrics that are plain aggregates share one pass over the table, quantiles
 another: their sketches would take the plain ones out of generated code.
-Distinct metrics and histograms take one grouped count per column. Every
+Distinct metrics of all columns share one pass of grouped counts; histograms
+take one per column. Every
 requested metric yields a row; a metric that is undefined for the data holds
 null.
 """
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.operators.distinct import all_present, distinct_measures, value_counts
+from veriframe.operators.distinct import all_present, counts_by_set, distinct_measures, value_counts
 from veriframe.operators.verdict import union_all
 
 # Metric names.
@@ -69,7 +70,8 @@ def profile(
         else:
             raise ValueError(f"unknown metric {m.name}")
     frames += [_fused(df, wanted, by, accuracy) for wanted in (fused, sketched) if wanted]
-    frames += [_distinct(df, wanted, by) for wanted in distinct.values()]
+    if distinct:
+        frames.append(_distinct(df, distinct, by))
     return union_all(frames)
 
 
@@ -125,11 +127,12 @@ def _fused(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str], accuracy
     return _long(df, metrics, measures, by)
 
 
-def _distinct(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str]) -> DataFrame:
+def _distinct(df: DataFrame, wanted: dict[tuple[str, ...], list[Metric]], by: Sequence[str]) -> DataFrame:
     """Nulls are left out, and so is their share of the denominator."""
-    columns = metrics[0].columns
-    measures = distinct_measures(columns)
-    return _long(value_counts(df, [*by, *columns]), metrics, [measures[m.name] for m in metrics], by)
+    counted, of_set = counts_by_set(df, list(wanted), by)
+    metrics = [m for of_columns in wanted.values() for m in of_columns]
+    measures = [distinct_measures(columns, own)[m.name] for (columns, asked), own in zip(wanted.items(), of_set) for m in asked]
+    return _long(counted, metrics, measures, by)
 
 
 def histogram_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

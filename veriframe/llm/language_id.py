@@ -17,6 +17,8 @@ from veriframe.llm.shared import slices, with_columns
 UNKNOWN = "und"
 #: Rows of each language that a model is fitted on at most, and characters of a text that may be among them.
 SAMPLE, SAMPLE_CHARS = 250, 20_000
+#: Parts in which the rows of a language are ranked first.
+PARTS = 64
 #: Hashed features, words of a language in the lexicon, words of a chain.
 SIZE, LEXICON, SPAN = 1 << 15, 150, 128
 #: Code-switched training chains, their words, passes over them and the first learning rate.
@@ -225,12 +227,13 @@ def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         f"lang is not null and doc_id is not null and length(text) <= {SAMPLE_CHARS}")
-    # about four times the sample of each language is ranked, not all of it
-    keys = rows.select("doc_id", "lang", F.expr("pmod(xxhash64(doc_id), 1000000007)").alias("draw"))
-    share = keys.groupBy("lang").agg((F.lit(4.0 * SAMPLE * 1000000007) / F.count("*")).alias("most"))
-    drawn = keys.join(share, "lang").where("draw <= most")
-    ranked = drawn.withColumn("rank", F.expr("row_number() over (partition by lang order by draw, doc_id)"))
-    chosen = ranked.where(f"rank <= {SAMPLE}").select("doc_id", "lang").distinct()
+    # each language is ranked in parts first, so that the last ranking has a bounded number of rows
+    keys = rows.select("doc_id", "lang").distinct().select(
+        "doc_id", "lang", F.expr("pmod(xxhash64(doc_id), 1000000007)").alias("draw"), F.expr(f"pmod(xxhash64(doc_id, 1), {PARTS})").alias("part"))
+    chosen = keys
+    for group in ("lang, part", "lang"):
+        chosen = chosen.withColumn("rank", F.expr(f"row_number() over (partition by {group} order by draw, doc_id)")).where(f"rank <= {SAMPLE}").drop("rank")
+    chosen = chosen.select("doc_id", "lang")
     found = rows.join(chosen, ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]).orderBy("lang", "doc_id")
     return [(r["text"], r["lang"]) for r in found.select("text", "lang").toLocalIterator()]
 

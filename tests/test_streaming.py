@@ -12,7 +12,7 @@ from veriframe.operators.profile import metric, profile
 from veriframe.operators.sets import check_date_coverage, check_schema, reconcile
 from veriframe.operators.transform import ADDED_COLUMN, DAY, LOADED, SUM_COLUMN, daily_sum
 from veriframe.streaming import partials
-from veriframe.streaming.daily_sum import day_and_previous, read_output, run_daily_sum
+from veriframe.streaming.daily_sum import PARTIAL_SCHEMA, day_and_previous, merge_parts, read_output, run_daily_sum
 from veriframe.streaming.profile import read_profile, run_profile
 from veriframe.streaming.sensor import affected_days, judge, read_sensor, run_sensor
 
@@ -49,7 +49,8 @@ def test_daily_sum_in_pieces_equals_batch(spark, pieces, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
     stream = sums(source(partials.read_stream(spark, pieces, "events", files_per_batch=1)))
     run_daily_sum(stream, out, checkpoint, F.lit(MOMENT).cast("timestamp"))
-    assert spark.read.parquet(f"{out}/partials").select("batch_id").distinct().count() == 3
+    before = {r.batch_id for r in spark.read.parquet(f"{out}/partials").select("batch_id").distinct().collect()}
+    assert before == {-2, 0, 1, 2}
 
     batch = sums(source(spark.read.parquet(f"{pieces}/events.parquet")))
     expected = daily_sum(batch).select("uc_id", SUM_COLUMN, DAY)
@@ -59,7 +60,7 @@ def test_daily_sum_in_pieces_equals_batch(spark, pieces, tmp_path):
 
     # Nothing new: a second run changes nothing.
     run_daily_sum(stream, out, checkpoint, F.lit(MOMENT).cast("timestamp"))
-    assert spark.read.parquet(f"{out}/partials").select("batch_id").distinct().count() == 3
+    assert {r.batch_id for r in spark.read.parquet(f"{out}/partials").select("batch_id").distinct().collect()} == before
 
     assert check_date_coverage(read_output(spark, out), DAY, dt.date(2024, 1, 1), dt.date(2024, 1, 30)).first().status == "pass"
     declared = {"uc_id": "string", SUM_COLUMN: "int", ADDED_COLUMN: "int", DAY: "date", LOADED: "timestamp"}
@@ -79,6 +80,31 @@ def test_a_replayed_batch_overwrites_its_partials(spark, tmp_path):
     assert partials.read_partials(spark, path, schema, DAY).count() == 2
 
 
+def test_current_partials():
+    assert partials.current([]) == []
+    assert partials.current([1, 0]) == [0, 1]
+    assert partials.current([-2, 0, 1, 2]) == [-2, 2]
+    assert partials.current([-3, -2, 2, 3, 4]) == [-3, 3, 4]
+
+
+def test_merged_batches_are_counted_once_and_removed(spark, tmp_path):
+    """Also where a batch is replayed after its merge, and for rows without a day."""
+    path = str(tmp_path / "p")
+    for batch in (0, 1, 2, 3, 3, 4, 5, 5):
+        rows = [("a", 10 ** batch, dt.date(2024, 1, 1)), ("a", 10 ** batch, None)]
+        if batch == 2:
+            rows.append(("b", 7, dt.date(2024, 1, 2)))
+        part = spark.createDataFrame(rows, f"uc_id string, part bigint, {DAY} date")
+        days = partials.write_partials(part, path, DAY, batch)
+        partials.fold_partials(spark, path, PARTIAL_SCHEMA, DAY, days, batch, merge_parts)
+        found = partials.read_partials(spark, path, PARTIAL_SCHEMA, DAY).groupBy(DAY).agg(F.sum("part").alias("n")).collect()
+        total = int("1" * (batch + 1))
+        assert {r[DAY]: r.n for r in found} == {dt.date(2024, 1, 1): total, None: total} | ({dt.date(2024, 1, 2): 7} if batch > 1 else {})
+        stored = spark.read.parquet(path).groupBy(DAY).agg(F.countDistinct("batch_id").alias("n")).collect()
+        assert max(r.n for r in stored) <= 4
+    assert partials.read_partials(spark, str(tmp_path / "none"), PARTIAL_SCHEMA, DAY).count() == 0
+
+
 def test_affected_days():
     near, month, needed = affected_days([dt.date(2024, 1, 31)], 3)
     assert near == {dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 2), dt.date(2024, 2, 3)}

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from veriframe.operators.transform import ADDED_COLUMN, DAY, KEY, LOADED, SUM_COLUMN, as_int
 from veriframe.sources.tables import write_partitioned
 from veriframe.streaming.partials import (
-    on_days, read_partials, run_available, shifted, write_partials,
+    fold_partials, on_days, read_partials, run_available, shifted, write_partials,
 )
 
 PARTIAL_SCHEMA = f"{KEY} string, part bigint, {DAY} date, batch_id bigint"
@@ -45,6 +45,11 @@ def day_and_previous(daily: DataFrame) -> DataFrame:
     )
 
 
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """One part per key and day."""
+    return parts.groupBy(KEY, DAY).agg(F.sum("part").alias("part"))
+
+
 def run_daily_sum(
     source: DataFrame, folder: str, checkpoint: str, loaded_at: Column | None = None
 ) -> StreamingQuery:
@@ -59,6 +64,7 @@ def run_daily_sum(
         touched = write_partials(partials, f"{folder}/partials", DAY, batch_id)
         if not touched:
             return
+        fold_partials(spark, f"{folder}/partials", PARTIAL_SCHEMA, DAY, touched, batch_id, merge_parts)
         affected = shifted(touched, (0, 1))
         needed = shifted(affected, (-1, 0))
         parts = read_partials(spark, f"{folder}/partials", PARTIAL_SCHEMA, DAY, needed)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from veriframe.streaming.partials import read_partials, run_available, write_partials
+from veriframe.streaming.partials import fold_partials, read_partials, run_available, write_partials
 
 STATE_SCHEMA = (
     "instance string, n bigint, present bigint, total double, low double, high double, "
@@ -66,11 +66,18 @@ def state_metrics(merged: DataFrame) -> DataFrame:
     return merged.select("day", "instance", F.inline(F.array(*rows)))
 
 
+def store_states(batch: DataFrame, column: str, day: str, path: str, batch_id: int) -> list[dt.date | None]:
+    """Store a batch's states, merge those before it, and return the batch's days."""
+    days = write_partials(day_states(batch, column, day), path, "day", batch_id)
+    fold_partials(batch.sparkSession, path, STATE_SCHEMA, "day", days, batch_id, merge_states)
+    return days
+
+
 def run_profile(source: DataFrame, column: str, day: str, folder: str, checkpoint: str) -> StreamingQuery:
     """Profile a stream into states below ``folder``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
+        store_states(batch, column, day, f"{folder}/states", batch_id)
 
     return run_available(source, handle, checkpoint)
 

@@ -19,8 +19,8 @@ from veriframe.operators.anomaly import against_lookback, against_month_end
 from veriframe.operators.logs import latest_rows
 from veriframe.operators.sensors import SENSOR_KEYS, sensor_results
 from veriframe.sources.tables import write_partitioned
-from veriframe.streaming.partials import BATCH, on_days, run_available, shifted, write_partials
-from veriframe.streaming.profile import day_states, read_profile
+from veriframe.streaming.partials import BATCH, on_days, run_available, shifted
+from veriframe.streaming.profile import read_profile, store_states
 
 RESULT_SCHEMA = (
     "parent_run_id string, upstrm_pl string, dt date, snsr_rule string, is_ready boolean, batch_id bigint"
@@ -64,7 +64,7 @@ def run_sensor(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        days = write_partials(day_states(batch, column, day), f"{folder}/states", "day", batch_id)
+        days = store_states(batch, column, day, f"{folder}/states", batch_id)
         touched = [d for d in days if d is not None]
         if not touched:
             return

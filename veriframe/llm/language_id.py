@@ -227,14 +227,15 @@ def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         f"lang is not null and doc_id is not null and length(text) <= {SAMPLE_CHARS}")
-    # each language is ranked in parts first, so that the last ranking has a bounded number of rows
+    # each language is ranked in parts, then in fewer, so that no task ranks more than PARTS / 8 times the sample after the first
     keys = rows.select("doc_id", "lang").distinct().select(
         "doc_id", "lang", F.expr("pmod(xxhash64(doc_id), 1000000007)").alias("draw"), F.expr(f"pmod(xxhash64(doc_id, 1), {PARTS})").alias("part"))
     chosen = keys
-    for group in ("lang, part", "lang"):
+    for group in ("lang, part", "lang, pmod(part, 8)", "lang"):
         chosen = chosen.withColumn("rank", F.expr(f"row_number() over (partition by {group} order by draw, doc_id)")).where(f"rank <= {SAMPLE}").drop("rank")
     chosen = chosen.select("doc_id", "lang")
-    found = rows.join(chosen, ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]).orderBy("lang", "doc_id")
+    # at most SAMPLE keys a language, the rows that the driver gets next: sent out, so that no text is shuffled
+    found = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]).orderBy("lang", "doc_id")
     return [(r["text"], r["lang"]) for r in found.select("text", "lang").toLocalIterator()]
 
 

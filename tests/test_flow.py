@@ -65,7 +65,7 @@ def test_audit_of_nothing(spark):
 
 @pytest.mark.parametrize("spec, ready", [(gen.success_spec(), True), (gen.anomaly_failure_spec(100), False)])
 def test_anomaly_gate(spark, spec, ready):
-    history = gen.metric_history_seed(spark, SUM_COLUMN, dt.date(2023, 8, 30), "agg", 1692796585789)
+    history = gen.metric_history_seed(spark, SUM_COLUMN, dt.date(2023, 8, 30), "agg", 1700000000000)
     today = profile(output_of(spark, spec), [metric("Minimum", SUM_COLUMN), metric("Maximum", SUM_COLUMN)], [DAY])
     judged = against_history(today.withColumnRenamed(DAY, "day"), history)
     results = sensors.sensor_results(judged, "1", "daily_sum").withColumn("result_ts", F.current_timestamp())

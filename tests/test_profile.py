@@ -128,14 +128,14 @@ def test_repository_round_trip_splits_large_keys(spark, tmp_path):
 def test_repository_reads_one_json_array(spark, tmp_path):
     path = tmp_path / "result.json"
     path.write_text("""[
-      {"resultKey": {"dataSetDate": 1692796585789, "tags": {"date": "2023-08-30", "table_name": "t"}},
+      {"resultKey": {"dataSetDate": 1700000000000, "tags": {"date": "2023-08-30", "table_name": "t"}},
        "analyzerContext": {"metricMap": [
          {"analyzer": {"analyzerName": "Maximum", "column": "c"},
           "metric": {"metricName": "DoubleMetric", "entity": "Column", "instance": "c", "name": "Maximum", "value": 1.0}},
          {"analyzer": {"analyzerName": "Minimum", "column": "c"},
           "metric": {"metricName": "DoubleMetric", "entity": "Column", "instance": "c", "name": "Minimum", "value": 1.0}}]}}]""")
     found = read_metrics(spark, str(path), ["date", "table_name"], multi_line=True)
-    seed = gen.metric_history_seed(spark, "c", dt.date(2023, 8, 30), "t", 1692796585789)
+    seed = gen.metric_history_seed(spark, "c", dt.date(2023, 8, 30), "t", 1700000000000)
     assert {tuple(r) for r in found.select(seed.columns).collect()} == {tuple(r) for r in seed.collect()}
 
 

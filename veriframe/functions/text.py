@@ -45,10 +45,14 @@ def list_text(column: str | Column) -> Column:
     return F.concat(F.lit("['"), F.array_join(_col(column), "', '"), F.lit("']"))
 
 
-def run_uri(workspace_url: Column, job_id: Column, task_run_id: Column) -> Column:
-    """Address of one task run inside a workspace."""
-    # Host prefix to drop and the address layout.
-    workspace_id = F.replace(F.split(workspace_url, r"\.")[0], F.lit("adb-"), F.lit(""))
+# Fixed value: what stands before the workspace id in a host name.
+HOST_PREFIX = "adb-"
+
+
+def run_uri(workspace_url: Column, job_id: Column, task_run_id: Column, host_prefix: str = HOST_PREFIX) -> Column:
+    """Address of one task run inside a workspace, whose id is the first part of the host name but for the prefix."""
+    # Fixed value: the address layout.
+    workspace_id = F.replace(F.split(workspace_url, r"\.")[0], F.lit(host_prefix), F.lit(""))
     return F.concat(
         workspace_url, F.lit("/?o="), workspace_id,
         F.lit("#job/"), job_id.cast("string"),

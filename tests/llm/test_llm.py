@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -243,6 +245,21 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(frame.limit(3), frame.limit(1), 10).count() == 2
 
 
+def test_top_k_of_large_components_equals_brute_force(spark):
+    draw = np.random.default_rng(7)
+    sizes = [1.0, 40_000.0, 5e9, 1e20]
+    vectors = [(k, [float(np.float32(x)) for x in draw.normal(size=6) * sizes[k % 7 % 4]]) for k in range(60)]
+    vectors += [(100, [40_000.0] + [0.0] * 5), (101, [-40_000.25] + [0.0] * 5), (102, [1.7e308] * 6), (103, [-1.7e308] * 6), (104, [float("inf")] * 6), (105, [0.1] * 6)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(frame, frame.where("vec_id % 5 = 0"), 4).orderBy("query_id", "rank").collect()]
+    good = {i: [math.floor(1024 * Fraction(x)) for x in v] for i, v in vectors if np.isfinite(v).all()}
+    want = []
+    for q in sorted(i for i in good if i % 5 == 0):
+        best = sorted((-sum(x * y for x, y in zip(good[q], v)), i) for i, v in good.items() if i != q)[:4]
+        want += [(q, n, i, -s if abs(s) < 1 << 63 else None) for n, (s, i) in enumerate(best, 1)]
+    assert got == want
+
+
 def test_bounds_never_pass_the_distance():
     draw = np.random.default_rng(6)
     a, b = draw.integers(-500, 500, (20, 13)), draw.integers(-500, 500, (20, 13))

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from veriframe.llm.shared import stored
 
 SCALE = 1024
-#: Larger components take no part, so that scores of up to 8192 components fit a long.
+#: Vectors with larger components travel as doubles instead of whole numbers and are scored by ``best_of_large``.
 LARGEST = 1 << 15
+#: Where squares of the norm stay below it, no sum of products passes a long.
+SQUARE = 1 << 62
+#: Added to a score beyond a long, so that its digits sort like the score.
+_SHIFT = 1 << 2200
 #: Rows in a block of queries and of candidates, on average.
 QUERY_BLOCK, BLOCK = 1024, 4096
 #: Numbers of segments, coarse to fine.
@@ -19,12 +23,18 @@ LEVELS = (2, 8, 32)
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """``vec_id, v``: distinct rows with whole components floor(1024 * x); unusable vectors are left out."""
-    good = F.expr("v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) <= %d)" % LARGEST)
+    """``vec_id, v, w``: distinct rows with whole components floor(1024 * x), as they are in ``v`` or, of
+    vectors with a component over ``LARGEST``, divided by 1024 in ``w``; unusable vectors are left out."""
+    good = F.expr("v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))")
+    small = f"forall(v, x -> abs(x) <= {LARGEST})"
+    # from 2^52 on a double is a whole number
+    whole = f"if(abs(x) < {1 << 52}, floor({SCALE} * if(abs(x) < {1 << 52}, x, 0D)) / {SCALE}D, x)"
     return (
         vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
         .where("vec_id is not null").where(good)
-        .select("vec_id", F.expr(f"transform(v, x -> cast(floor({SCALE} * x) as int))").alias("v"))
+        .select("vec_id", F.expr(f"if({small}, transform(v, x -> cast(floor({SCALE} * if(abs(x) <= {LARGEST}, x, 0D)) as int)), null)").alias("small"),
+                F.expr(f"if({small}, null, transform(v, x -> {whole}))").alias("w"))
+        .select("vec_id", F.col("small").alias("v"), "w")
         .distinct())
 
 
@@ -91,6 +101,77 @@ def best_in_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, r
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
+def _whole(x: float) -> int:
+    return int(x * SCALE) if abs(x) < 1e300 else int(x) * SCALE
+
+
+def best_of_large(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """``query_id, vec_id, score``: the k best rows of each query, of components divided by 1024 and of any finite size.
+
+    Products of doubles, with what rounding may add or take, say which rows can be
+    among the k best; these are scored in whole numbers of any length.
+    """
+    if not len(query_ids) or not len(ids):
+        return []
+    scaled = np.ldexp(rows, -int(np.frexp(np.abs(rows).max())[1]))
+    lengths = np.sqrt((scaled * scaled).sum(1))
+    whole: dict[int, list[int]] = {}
+    out = []
+    for query_id, query in zip(query_ids.tolist(), queries):
+        own = np.flatnonzero(ids != query_id)
+        if not len(own):
+            continue
+        near = np.ldexp(query, -int(np.frexp(np.abs(query).max())[1]))
+        score = scaled[own] @ near
+        off = (len(near) + 8) * 2.0 ** -50 * lengths[own] * np.sqrt((near * near).sum()) + 1e-150
+        least = np.sort(score - off)[-k] if len(own) > k else -np.inf
+        wanted = [_whole(x) for x in query.tolist()]
+        found = []
+        for r in own[score + off >= least].tolist():
+            if r not in whole:
+                whole[r] = [_whole(x) for x in rows[r].tolist()]
+            found.append((-sum(x * y for x, y in zip(wanted, whole[r])), int(ids[r])))
+        out += [(query_id, i, -s) for s, i in sorted(found)[:k]]
+    return out
+
+
+def _told(found: list[tuple[int, int, int]]) -> pd.DataFrame:
+    """Rows of scores: those beyond a long are null, with the side and digits that sort like them."""
+    fits = [-(1 << 63) <= s < 1 << 63 for _, _, s in found]
+    return pd.DataFrame({
+        "query_id": pd.array([q for q, _, _ in found], "Int64"), "vec_id": pd.array([i for _, i, _ in found], "Int64"),
+        "score": pd.array([s if ok else None for (_, _, s), ok in zip(found, fits)], "Int64"),
+        "beyond": pd.array([0 if ok else 1 if s > 0 else -1 for (_, _, s), ok in zip(found, fits)], "Int32"),
+        "digits": pd.Series([None if ok else f"{s + _SHIFT:0552x}" for (_, _, s), ok in zip(found, fits)], dtype=object)})
+
+
+def _split(vectors: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which rows have a square that surely fits; their components as whole numbers, those of all rows divided by 1024."""
+    small = vectors["v"].notna().to_numpy()
+    length = [np.abs(np.asarray(v, np.int64)).max() if ok else 0 for v, ok in zip(vectors["v"], small)]
+    small &= np.array([len(v) * int(m) ** 2 < SQUARE if ok else False for v, m, ok in zip(vectors["v"], length, small)], bool)
+    whole = _stack(vectors["v"][small]) if small.any() else np.empty((0, 0), np.int64)
+    parts = np.empty((0, 0)) if small.all() else np.array([np.asarray(w, float) if w is not None else np.asarray(v, float) / SCALE for v, w in zip(vectors["v"], vectors["w"])])
+    return small, whole, parts
+
+
+def best_of_any(query_ids: np.ndarray, wanted: pd.DataFrame, ids: np.ndarray, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best scores of each query among the rows whose products fit a long, and the k best among all other pairs."""
+    q_small, q_whole, q_parts = _split(wanted)
+    r_small, r_whole, r_parts = _split(candidates)
+    out = []
+    if q_small.any() and r_small.any():
+        best = best_in_block(query_ids[q_small], q_whole, ids[r_small], r_whole, k).astype("int64")
+        out.append(best.assign(beyond=0, digits=None))
+    if not (q_small.all() and r_small.all()):
+        q_parts = q_parts if len(q_parts) else q_whole / SCALE
+        r_parts = r_parts if len(r_parts) else r_whole / SCALE
+        found = best_of_large(query_ids[~q_small], q_parts[~q_small], ids, r_parts, k)
+        found += best_of_large(query_ids[q_small], q_parts[q_small], ids[~r_small], r_parts[~r_small], k)
+        out.append(_told(found))
+    return out[0] if len(out) == 1 else pd.concat([o.astype({"query_id": "Int64", "vec_id": "Int64", "score": "Int64", "beyond": "Int32", "digits": object}) for o in out])
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k rows of greatest inner product with each query, ``query_id, rank, vec_id, score``.
 
@@ -100,25 +181,29 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "ve
     without an id; rows that repeat an id and its vector are one. Only vectors of
     equal length meet. Other columns are not read.
 
+    Components may have any finite size: where the norms don't prove that the products fit a
+    long, rows are scored in whole numbers of any length. A score beyond a long is
+    null, its rank is right.
+
     Rows are dealt by hash to blocks of about ``BLOCK``, queries to blocks of about
     ``QUERY_BLOCK``, and each pair of blocks is one small task; of every block a query
     gets at most k rows, which are ranked at the end.
     """
-    rows = stored(usable(vectors, vec_id, vector).withColumn("n", F.size("v")), "vectors")
-    asked = stored(usable(queries, vec_id, vector).withColumn("n", F.size("v")), "asked")
+    rows = stored(usable(vectors, vec_id, vector).withColumn("n", F.expr("if(v is null, size(w), size(v))")), "vectors")
+    asked = stored(usable(queries, vec_id, vector).withColumn("n", F.expr("if(v is null, size(w), size(v))")), "asked")
     blocks = max(1, -(-rows.count() // BLOCK))
     query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    left = rows.select("n", "vec_id", "v", F.expr(f"cast(pmod(xxhash64(vec_id, v), {blocks}) as int)").alias("block"),
+    left = rows.select("n", "vec_id", "v", "w", F.expr(f"cast(pmod(xxhash64(vec_id, v, w), {blocks}) as int)").alias("block"),
                        F.explode(F.expr(f"sequence(0, {query_blocks - 1})")).alias("query_block"))
-    right = asked.select("n", "vec_id", "v", F.expr(f"cast(pmod(xxhash64(vec_id, v), {query_blocks}) as int)").alias("query_block"),
+    right = asked.select("n", "vec_id", "v", "w", F.expr(f"cast(pmod(xxhash64(vec_id, v, w), {query_blocks}) as int)").alias("query_block"),
                          F.explode(F.expr(f"sequence(0, {blocks - 1})")).alias("block"))
 
     def compare(candidates: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(candidates) or not len(wanted):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        return best_in_block(wanted["vec_id"].to_numpy(), _stack(wanted["v"]), candidates["vec_id"].to_numpy(), _stack(candidates["v"]), k).astype("int64")
+            return _told([])
+        return best_of_any(wanted["vec_id"].to_numpy(), wanted, candidates["vec_id"].to_numpy(), candidates, k)
 
     key = ["n", "block", "query_block"]
-    met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score long")
-    ranked = met.withColumn("rank", F.expr("row_number() over (partition by query_id order by score desc, vec_id)"))
+    met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score long, beyond int, digits string")
+    ranked = met.withColumn("rank", F.expr("row_number() over (partition by query_id order by beyond desc, score desc, digits desc, vec_id)"))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -442,6 +442,14 @@ def test_one_document_of_each_group_stays(spark, odd, empty):
     assert simhash.one_of_each(empty).collect() == [] and simhash.near_duplicates(empty).collect() == []
 
 
+def test_rows_without_id_and_of_one_id_are_judged_one_by_one(spark):
+    rng = np.random.default_rng(9)
+    a, b, c, d, e = (" ".join(f"w{k}" for k in rng.integers(0, 1000, 60)) for _ in range(5))
+    rows = [(None, a), (None, b), (7, c), (7, d), (7, c), (3, d), (None, d), (None, a), (None, None), (8, e), (8, e)]
+    kept = simhash.one_of_each(texts(spark, rows)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, a), (None, b), (7, c), (3, d), (None, None), (8, e)]))
+
+
 def test_blocks_of_words_overlap(monkeypatch):
     text = " ".join(f"w{k}" for k in range(500))
     whole = simhash.fingerprint(text)

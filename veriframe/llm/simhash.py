@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,6 +193,14 @@ def links(prints: DataFrame, radius: int = 2, parts: int | None = None, column:
     return dealt.repartition("cell").sortWithinPartitions("cell").mapInPandas(run, "a long, b long")
 
 
+def _rooted(prints: DataFrame, row: str, radius: int) -> DataFrame:
+    """``fingerprint, least, root`` of the distinct fingerprints; ``least`` is the smallest value of the column ``row``."""
+    nodes = prints.groupBy("fingerprint").agg(F.min(row).alias("least"))
+    roots = components(links(nodes, radius))
+    return nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2, shingle: int = 3) -> DataFrame:
     """One row per document: ``doc_id, fingerprint`` (16 hex digits) and ``component_id``.
 
@@ -204,25 +212,39 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     other). Other columns are not read. An empty table gives no row.
     """
     prints = stored(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle).select("doc_id", "fingerprint"), "prints")
-    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    roots = components(links(nodes, radius))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+    rooted = _rooted(prints, "doc_id", radius)
     classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = rooted.join(classes, "root").select("fingerprint", "component_id")
     return prints.join(of_print, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_of(doc_id: str, text: str) -> Column:
+    """What a row is told apart and ordered by: its id, rows without one last, then hashes of its text."""
+    return F.expr(f"named_struct('none', `{doc_id}` is null, 'id', `{doc_id}`, 'one', xxhash64(`{text}`), 'other', xxhash64(1, `{text}`))")
+
+
+def only(docs: DataFrame, rows: DataFrame, first: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents whose ``row`` is among the first ones, of rows that repeat id and text one; ``rows`` has that of all."""
+    wanted = rows.groupBy("row").agg(F.count("*").alias("rows")).join(first.select("row"), "row", "left_semi")
+    kept = stored(wanted.select("rows", "row.id", "row.one", "row.other"), "kept")
+    hashed = docs.withColumns({"_one": F.xxhash64(text), "_other": F.xxhash64(F.lit(1), text)})
+
+    def among(part: DataFrame) -> DataFrame:
+        same = (hashed["_one"] == part["one"]) & (hashed["_other"] == part["other"]) & hashed[doc_id].eqNullSafe(part["id"])
+        return hashed.join(part, same, "left_semi")
+
+    single, several = among(kept.where("rows = 1")), among(kept.where("rows > 1"))
+    return single.unionAll(several.dropDuplicates([doc_id, "_one", "_other"])).drop("_one", "_other")
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2, shingle: int = 3) -> DataFrame:
-    """The documents whose id is that of their component; of rows that repeat this id, one stays.
+    """One document of each component: that of the least id, then of the least hash of its text; those without an id come last.
 
-    Documents without an id can't be told apart by it: they stay only if their
-    component has no document with an id, one of them for all such components.
+    Rows are judged one by one, so rows that share an id but not the text, and rows
+    without an id, each stay if their component has no earlier row.
     """
-    found = near_duplicates(docs, doc_id, text, radius, shingle)
-    kept = stored(found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.expr("doc_id <=> component_id").cast("int")).alias("keep")).where("keep = 1").select(F.col("doc_id").alias("kept_id"), "rows"), "kept")
-    single = kept.where("rows = 1")
-    several = kept.where("rows > 1")
-    same = docs[doc_id].eqNullSafe(F.col("kept_id"))
-    return docs.join(single, same, "left_semi").unionAll(docs.join(several, same, "left_semi").dropDuplicates([doc_id]))
+    rows = docs.select(row_of(doc_id, text).alias("row"), F.col(text).alias("text"))
+    prints = stored(fingerprints(rows, "text", shingle).select("row", "fingerprint"), "prints")
+    first = _rooted(prints, "row", radius).groupBy("root").agg(F.min("least").alias("row"))
+    return only(docs, prints, first, doc_id, text)

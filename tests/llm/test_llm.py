@@ -17,7 +17,7 @@ import xxhash
 
 import corpus_pipeline
 from compare import difference, oracle_connection, oracle_rows, spark_rows
-from veriframe.llm import byte_bpe, components, decontaminate, language_id, line_dedup, masked_lm, pii, queries, simhash, topk, toxicity, warc
+from veriframe.llm import byte_bpe, components, decontaminate, language_id, line_dedup, masked_lm, pii, queries, similar, simhash, topk, toxicity, warc
 
 ODD = [None, "", " \n\t", "é😀 \x00x", "word " * 30_000, "same line of text here\nsame line of text here", "x" * 40_000]
 
@@ -450,6 +450,38 @@ def test_rows_without_id_and_of_one_id_are_judged_one_by_one(spark):
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, a), (None, b), (7, c), (3, d), (None, None), (8, e)]))
 
 
+def test_near_copies_by_five_words_equal_brute_force(spark, odd, empty, monkeypatch):
+    monkeypatch.setattr(similar, "GROUP", 3)  # so that groups are dealt out
+    rng = np.random.default_rng(10)
+    rows = []
+    for k in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 120)]
+        for copy in range(6):
+            words = list(base)
+            for at in rng.choice(120, (0, 1, 2, 3, 5, 8)[copy], replace=False):
+                words[at] = f"v{rng.integers(5000)}"
+            rows.append((100 * copy + k if copy != 4 else None, " ".join(words)))
+    rows += [(2000 + k, t) for k, t in enumerate(ODD)] + [(1, "a B c"), (3000, "A b  c"), (3001, rows[5][1]), (None, "alone")]
+
+    def grams(text):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
+        return {tuple(words[k:k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+    sets = [grams(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] == sets[j] or 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    left = corpus_pipeline.without_near_duplicates(spark, texts(spark, rows), "").collect()
+    where = {(i, t): g for (i, t), g in zip(rows, group)}
+    assert sorted(where[tuple(r)] for r in left) == sorted(set(group))
+    for r in left:
+        ids = [i for (i, _), g in zip(rows, group) if g == where[tuple(r)] and i is not None]
+        assert r["doc_id"] == (min(ids) if ids else None)
+    assert similar.one_of_each(odd).columns == odd.columns and similar.one_of_each(empty).collect() == []
+
+
 def test_blocks_of_words_overlap(monkeypatch):
     text = " ".join(f"w{k}" for k in range(500))
     whole = simhash.fingerprint(text)

@@ -206,3 +206,13 @@ def test_distinct_metrics_of_overlapping_sets(spark):
     assert found(profile(df, wanted[:4], ["g"])) == {
         ("n", "x"): 1, ("t", "x"): 2, ("n,t", "x"): 2, ("t,n", "x"): 2, ("n", "y"): 1, ("t", "y"): 0, ("n,t", "y"): 0, ("t,n", "y"): 0,
         ("n", None): 0, ("t", None): 0, ("n,t", None): 0, ("t,n", None): 0}
+
+
+def test_exact_quantiles_of_more_rows_than_the_accuracy(spark):
+    from veriframe.plans.profile_queries import exact_quantiles
+
+    frame = spark.range(0, 5003).selectExpr("cast((id * 7919) % 5003 as double) / 4 as x").unionAll(spark.sql("select cast(null as double)"))
+    for shares in ((0.25, 0.75), (0.01, 0.999)):
+        got = {r["name"]: r["value"] for r in exact_quantiles(frame, "x", shares, accuracy=50).collect()}
+        assert got == {f"ApproxQuantiles-{s}": (math.ceil(s * 5003) - 1) / 4 for s in shares}
+    assert [r["value"] for r in exact_quantiles(frame.limit(0), "x", (0.25,)).collect()] == [None]

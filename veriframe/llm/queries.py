@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriframe.llm import byte_bpe, decontaminate, language_id, line_dedup, masked_lm, pii, simhash, topk, toxicity, warc
+from veriframe.llm import alignment, byte_bpe, decontaminate, language_id, lexical, line_dedup, masked_lm, pii, quality, simhash, topk, toxicity, warc
 from veriframe.llm.shared import stored
 from veriframe.sources.workspace import work_dir
 
@@ -164,3 +164,77 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     warc.write_archives(table(spark, folder, "pages"), path)
     pages = stored(warc.read_archives(spark, path).withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload"), "read")
     return warc.resolved(pages)
+
+
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_lexical_search", f"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS terms FROM documents WHERE text IS NOT NULL),
+    s AS (SELECT count(*)::BIGINT AS nn, sum(len(terms))::BIGINT AS ll FROM d WHERE len(terms) > 0),
+    i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+    p AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY doc_id, term),
+    w AS (SELECT term, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, nn),
+    m AS (SELECT doc_id, 10 + (90 * len(terms)::BIGINT * nn) // ll AS m FROM d, s WHERE len(terms) > 0),
+    r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+          FROM i JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+    k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.search(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"), 10)
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """How two tokenizers cut every text, and how common the pairs are that they make."""
+    found = alignment.align(
+        table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+_GRADES = {
+    "symbols": "1000 * n_symbols // greatest(1, n_words) // 10",
+    "short_words": "(1000 - 100 * word_chars // greatest(1, n_words)) // 10",
+    "long_words": "(100 * word_chars // greatest(1, n_words) - 400) // 10",
+    "repeated_lines": "1000 * n_dup_lines // greatest(1, n_lines) // 10",
+    "repeated_words": "1000 * n_repeat_words // greatest(1, n_words) // 10",
+}
+
+
+@query("op13_quality", f"""
+    WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+    a AS (SELECT *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+    g AS (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, words[k], words[k + 1], words[k + 2]) AS times
+          FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS k FROM a)),
+    c AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) AS place FROM g WHERE times > 1) GROUP BY doc_id),
+    m AS (SELECT a.doc_id, lang, text, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                 (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                 coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines FROM a LEFT JOIN c ON a.doc_id = c.doc_id),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+    l AS (SELECT doc_id, min(quality = 1) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+    h AS (SELECT lang, text, min(good) AS good, any_value(n_words) AS n_words, any_value(word_chars) AS word_chars, any_value(n_symbols) AS n_symbols,
+                 any_value(n_dup_lines) AS n_dup_lines, any_value(n_repeat_words) AS n_repeat_words, any_value(n_lines) AS n_lines
+          FROM b JOIN l ON b.doc_id = l.doc_id WHERE NOT base_failed GROUP BY lang, text),
+    e AS ({" UNION ALL ".join(f"SELECT lang, good, '{rule}' AS rule, greatest(0, least(200, {sql})) AS grade FROM h" for rule, sql in _GRADES.items())}),
+    n AS (SELECT lang, count(*) FILTER (good) AS n FROM h GROUP BY lang),
+    k AS (SELECT lang, n, unnest(range(0, floor(n * 0.01)::BIGINT + 1)) AS k FROM n),
+    t AS (SELECT lang, k, sum(exp(lgamma(n + 1) - CASE WHEN k > 0 THEN lgamma(k + 1) ELSE 0 END - lgamma(n - k + 1) + k * ln(0.01) + (n - k) * ln(0.99)))
+                 OVER (PARTITION BY lang ORDER BY k) AS tail FROM k WHERE n > 0),
+    x AS (SELECT lang, max(k) AS most FROM t WHERE tail <= 0.05 / (5 * (SELECT count(*) FROM n)) GROUP BY lang),
+    u AS (SELECT e.lang, e.rule, e.grade, (SELECT count(*) FILTER (o.good) FROM e o WHERE o.lang IS NOT DISTINCT FROM e.lang AND o.rule = e.rule AND o.grade >= e.grade) AS good,
+                 (SELECT count(*) FILTER (NOT o.good) FROM e o WHERE o.lang IS NOT DISTINCT FROM e.lang AND o.rule = e.rule AND o.grade >= e.grade) AS bad
+          FROM (SELECT DISTINCT lang, rule, grade FROM e WHERE grade > 0) e),
+    best AS (SELECT u.lang, rule, max({{'gain': bad - good, 'grade': grade}}).grade AS cut
+             FROM u JOIN x ON u.lang IS NOT DISTINCT FROM x.lang WHERE good <= most AND bad > good GROUP BY u.lang, rule),
+    v AS ({" UNION ALL ".join(f"SELECT doc_id FROM b JOIN best ON b.lang IS NOT DISTINCT FROM best.lang AND rule = '{rule}' WHERE greatest(0, least(200, {sql})) >= cut" for rule, sql in _GRADES.items())})
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM v) AS kept FROM b""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of every document and whether it stays, by cutoffs learnt from the quality labels of each language."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return quality.keep_good(docs, table(spark, folder, "labels")).select(
+        "row.doc_id", *[m for m in quality.MEASURES if m != "n_lines"], "base_failed", "kept")

@@ -36,6 +36,21 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def _flat(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens' sizes, their places in all bytes one after another, and those bytes."""
+    size = np.array([len(t) for t in tokens])
+    return size, np.cumsum(size) - size, np.frombuffer(b"".join(tokens), np.uint8)
+
+
+def spells(ids: np.ndarray, size: np.ndarray, start: np.ndarray, everything: np.ndarray, want: np.ndarray) -> bool:
+    """Whether the tokens' bytes, one after another, are the wanted ones."""
+    sizes = size[ids]
+    ends = np.cumsum(sizes)
+    if (ends[-1] if len(ends) else 0) != len(want):
+        return False
+    return bool((everything[np.repeat(start[ids] - (ends - sizes), sizes) + np.arange(len(want))] == want).all())
+
+
 class Aligner:
     """Both tokenizers, and the bytes of their tokens by id."""
 
@@ -54,8 +69,8 @@ class Aligner:
         self.b_bytes = [
             bytes([int(self.b.id_to_piece(k)[3:5], 16)]) if self.b.is_byte(k) else self.b.id_to_piece(k).replace("▁", " ").encode()
             for k in range(self.b.get_piece_size())]
-        self.a_size = np.array([len(t) for t in self.a_bytes])
-        self.b_size = np.array([len(t) for t in self.b_bytes])
+        self.a_size, self.a_start, self.a_all = _flat(self.a_bytes)
+        self.b_size, self.b_start, self.b_all = _flat(self.b_bytes)
         # A token's id as text with what follows it: in its group, at the end of A's part, at the end of the group.
         last = max(len(self.a_bytes), len(self.b_bytes))
         self.texts = [f"{k}{sign}" for sign in ",|;" for k in range(last)]
@@ -65,11 +80,11 @@ class Aligner:
         """The ids of a space and each text; both empty where the bytes of either are others."""
         a = self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
         b = self.b.encode(texts, num_threads=1)
-        out = []
+        out, none = [], np.zeros(0, np.int64)
         for text, left, right in zip(texts, a, b):
-            left, want = left.ids, b" " + text.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, left)) == want == b"".join(map(self.b_bytes.__getitem__, right))
-            out.append((np.array(left if same else [], np.int64), np.array(right if same else [], np.int64)))
+            left, right, want = np.array(left.ids, np.int64), np.array(right, np.int64), np.frombuffer(b" " + text.encode(), np.uint8)
+            same = spells(left, self.a_size, self.a_start, self.a_all, want) and spells(right, self.b_size, self.b_start, self.b_all, want)
+            out.append((left, right) if same else (none, none))
         return out
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray, np.ndarray]:
@@ -82,16 +97,21 @@ class Aligner:
         if not len(a):
             return "", 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
         a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        cuts = np.union1d(a_ends, b_ends)
-        pairs, links = np.unique(a[np.searchsorted(a_ends, cuts)] * PAIR + b[np.searchsorted(b_ends, cuts)], return_counts=True)
-        ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        a_group, b_group = np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends)
-        a_before = np.searchsorted(b_group, a_group)  # tokens of B in earlier groups
-        b_before = np.searchsorted(a_group, b_group, "right")  # tokens of A up to this group
+        ends = np.zeros(a_ends[-1] + 1, np.uint8)  # by byte: 1 where a token of A ends, 2 where one of B does
+        ends[a_ends] = 1
+        ends[b_ends] |= 2
+        cuts = ends[np.flatnonzero(ends)]
+        in_a, in_b, both = (cuts & 1) != 0, cuts >= 2, cuts == 3
+        a_of, b_of, group = (np.cumsum(x) - x for x in (in_a, in_b, both))
+        linked = np.sort(a[a_of] * PAIR + b[b_of])
+        first = np.flatnonzero(np.append(True, linked[1:] != linked[:-1]))
+        links = np.diff(first, append=len(linked))
+        # A group's tokens of A come first: each is moved on by B's of earlier groups, each of B by A's up to its group.
+        a_shift, b_shift = b_of[np.flatnonzero(both)], a_of[np.flatnonzero(both)] + 1
         codes = np.empty(len(a) + len(b), np.int64)
-        codes[np.arange(len(a)) + a_before] = a + self.stride * np.append(a_group[1:] != a_group[:-1], True)
-        codes[np.arange(len(b)) + b_before] = b + 2 * self.stride * np.append(b_group[1:] != b_group[:-1], True)
-        return "".join(map(self.texts.__getitem__, codes.tolist()))[:-1], len(ends), pairs, links
+        codes[np.arange(len(a)) + np.append(0, a_shift + 1)[group[in_a]]] = a + self.stride * both[in_a]
+        codes[np.arange(len(b)) + b_shift[group[in_b]]] = b + 2 * self.stride * both[in_b]
+        return "".join(map(self.texts.__getitem__, codes.tolist()))[:-1], len(b_shift), linked[first], links
 
 
 @lru_cache(maxsize=1)

@@ -208,11 +208,41 @@ def test_distinct_metrics_of_overlapping_sets(spark):
         ("n", None): 0, ("t", None): 0, ("n,t", None): 0, ("t,n", None): 0}
 
 
-def test_exact_quantiles_of_more_rows_than_the_accuracy(spark):
-    from veriframe.plans.profile_queries import exact_quantiles
-
-    frame = spark.range(0, 5003).selectExpr("cast((id * 7919) % 5003 as double) / 4 as x").unionAll(spark.sql("select cast(null as double)"))
-    for shares in ((0.25, 0.75), (0.01, 0.999)):
-        got = {r["name"]: r["value"] for r in exact_quantiles(frame, "x", shares, accuracy=50).collect()}
-        assert got == {f"ApproxQuantiles-{s}": (math.ceil(s * 5003) - 1) / 4 for s in shares}
-    assert [r["value"] for r in exact_quantiles(frame.limit(0), "x", (0.25,)).collect()] == [None]
+@pytest.mark.parametrize("seed", range(2))
+def test_exact_quantiles_of_odd_values(spark, seed):
+    draw = random.Random(seed)
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 5e-324, -1.5, 1e300, None]
+    data = [(draw.choice(["a", "b", None]), draw.choice([*odd, draw.gauss(0, 1e6), draw.gauss(0, 1)])) for _ in range(700)] + [("none", None)]
+    shares = (0.0, 0.25, 0.5, 0.999, 1.0)
+    wanted = [metric(f"ApproxQuantiles-{s}", "x") for s in shares]
+
+    def slow(rows, share):
+        held = sorted((v for v in rows if v is not None), key=lambda v: (math.isnan(v), v))
+        return held[max(1, math.ceil(share * len(held))) - 1] if held else None
+
+    def plain(value):
+        return "NaN" if value is not None and math.isnan(value) else value
+
+    df = spark.createDataFrame(data, "g string, x double")
+    found = {(r.g, r.name): plain(r.value) for r in profile(df, wanted, ["g"], exact=True).collect()}
+    assert found == {(g, f"ApproxQuantiles-{s}"): plain(slow([x for k, x in data if k == g], s)) for g in ("a", "b", None, "none") for s in shares}
+    whole = {r.name: plain(r.value) for r in profile(df, wanted, exact=True).collect()}
+    assert whole == {f"ApproxQuantiles-{s}": plain(slow([x for _, x in data], s)) for s in shares}
+    counted = df.groupBy("g", "x").agg(F.count("*").alias("n"))
+    assert {r.name: plain(r.value) for r in profile(counted, wanted, exact=True, weight="n").collect()} == whole
+    assert [r.value for r in profile(df.limit(0), wanted, exact=True).collect()] == [None] * len(shares)
+
+
+def test_nan_is_above_every_quantile_of_the_rest(spark):
+    df = spark.createDataFrame([(float(k),) for k in range(10)] + [(float("nan"),)] * 2, "x double")
+    found = values(profile(df, [metric("ApproxQuantiles-0.25", "x"), metric("ApproxQuantiles-0.75", "x")], exact=True))
+    assert found == {("x", "ApproxQuantiles-0.25"): 2.0, ("x", "ApproxQuantiles-0.75"): 8.0}
+
+
+def test_counted_metrics_of_weighted_rows(spark):
+    df = spark.createDataFrame([("x", 1), ("x", 1), ("x", None), ("y", 2), (None, 2), ("y", 2)], "a string, b int")
+    wanted = [metric("CountDistinct", "a"), metric("Uniqueness", "b"), metric("MutualInformation", "a", "b"), metric("Histogram", "a"), metric("Histogram", "b")]
+    counted = df.groupBy("a", "b").agg(F.count("*").alias("n"))
+    assert values(profile(counted, wanted, weight="n")) == pytest.approx(values(profile(df, wanted)))
+    with pytest.raises(ValueError):
+        profile(counted, [metric("Mean", "b")], weight="n")

@@ -17,23 +17,28 @@ def _names(columns: Columns) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def value_counts(df: DataFrame, columns: Columns) -> DataFrame:
-    """Rows per distinct value; map-side partial counts absorb hot values."""
-    return df.groupBy(*_names(columns)).agg(F.count(F.lit(1)).alias("row_count"))
+def value_counts(df: DataFrame, columns: Columns, weight: str | None = None) -> DataFrame:
+    """Rows per distinct value; map-side partial counts absorb hot values. ``weight`` names how many rows a row stands for."""
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*_names(columns)).agg(rows.alias("row_count"))
 
 
-def counts_by_set(df: DataFrame, sets: Sequence[Sequence[str]], by: Sequence[str] = ()) -> tuple[DataFrame, list[Column]]:
-    """Rows per distinct value of several column sets from one scan, and for each set what tells its rows apart."""
-    keys = list(dict.fromkeys([*by, *(c for names in sets for c in names)]))
-    wanted = list(dict.fromkeys(tuple(k for k in keys if k in names or k in by) for names in sets))
-    counted = df.groupingSets([list(s) for s in wanted], *keys).agg(
-        F.count(F.lit(1)).alias("row_count"), F.grouping_id(*keys).alias("_set")
-    )
+def counts_by_set(df: DataFrame, sets: Sequence[tuple[Sequence[str], Sequence[str]]], by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """``*by, set_number, filled, row_count``: rows per distinct value of several column sets, from one scan.
 
-    def number(names: Sequence[str]) -> int:
-        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in names and k not in by)
+    A set is ``(columns, required)``; rows where a required column is null, or one of the columns, are counted
+    together with ``filled`` false. What is shuffled for a value is the number of its
+    set and 128 bits of hash, however wide and many the columns are.
+    """
+    def tagged(number: int, columns: Sequence[str], required: Sequence[str]) -> Column:
+        present = all_present([*columns, *required])
+        halves = [F.when(present, F.xxhash64(F.lit(seed), *columns)).alias(name) for seed, name in ((1, "one"), (2, "other"))]
+        return F.struct(F.lit(number).alias("set_number"), *halves)
 
-    return counted, [F.col("_set") == number(names) for names in sets]
+    rows = [F.lit(1).cast("long").alias("row_count") if weight is None else F.col(weight).alias("row_count")]
+    narrow = df.select(*by, *rows, F.inline(F.array(*[tagged(n, *s) for n, s in enumerate(sets)])))
+    counted = narrow.groupBy(*by, "set_number", "one", "other").agg(F.sum("row_count").alias("row_count"))
+    return counted.select(*by, "set_number", F.col("one").isNotNull().alias("filled"), "row_count")
 
 
 def duplicates(df: DataFrame, columns: Columns) -> DataFrame:
@@ -56,12 +61,11 @@ def check_unique(df: DataFrame, columns: Columns) -> DataFrame:
     )
 
 
-def distinct_measures(columns: Sequence[str], counted: Column | None = None) -> dict[str, Column]:
-    """The four distinct metrics over a frame of value counts; nulls are left out, and so are rows that don't count."""
-    present = all_present(columns) if counted is None else all_present(columns) & counted
-    total = F.sum(F.when(present, F.col("row_count")))
-    values = F.count(F.when(present, F.lit(1)))
-    single = F.count(F.when(present & (F.col("row_count") == 1), F.lit(1)))
+def distinct_measures(counted: Column) -> dict[str, Column]:
+    """The four distinct metrics over the rows of a frame of value counts that are ``counted``."""
+    total = F.sum(F.when(counted, F.col("row_count")))
+    values = F.count(F.when(counted, F.lit(1)))
+    single = F.count(F.when(counted & (F.col("row_count") == 1), F.lit(1)))
     return {
         "CountDistinct": values.cast("double"),
         "Distinctness": F.try_divide(values.cast("double"), total.cast("double")),

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veriframe.functions.text import list_text
@@ -96,27 +94,19 @@ CONTINUOUS = {"lineitem": "l_extendedprice", "orders": "o_totalprice"}
     for t, c in CONTINUOUS.items()
 ))
 def profile_quantiles_continuous(spark, folder):
-    return union_all([exact_quantiles(load(spark, folder, t), c, (0.25, 0.75)) for t, c in CONTINUOUS.items()])
-
-
-def exact_quantiles(df, column, shares, accuracy=1_000_000):
-    """Profile rows of the least values that at least a share of the rows does not exceed, exact for any number of rows.
-
-    A sketch brackets each quantile by twice its rank error; only the values in
-    between, about 4 rows in ``accuracy``, are counted and ranked.
-    """
-    values = df.select(F.col(column).alias("v")).where("v is not null")
-    rows, found = values.count(), []
-    for share in shares:
-        ends = [min(1.0, max(0.0, share + off / accuracy)) for off in (-2, 2)]
-        low, high = values.agg(*[F.percentile_approx("v", F.lit(e), F.lit(accuracy)) for e in ends]).first()
-        rank = max(1, math.ceil(share * rows))
-        near = values.where(F.col("v").between(low, high)).groupBy("v").agg(F.count("*").alias("n"))
-        below = values.where(F.col("v") < low).count() if rows else 0
-        upto = near.select("v", (F.sum("n").over(Window.orderBy("v")) + below).alias("upto"))
-        found.append(upto.where(F.col("upto") >= rank).agg(F.min("v").cast("double").alias("value")).select(
-            F.lit("Column").alias("entity"), F.lit(column).alias("instance"), F.lit(f"ApproxQuantiles-{share}").alias("name"), "value"))
-    return union_all(found)
+    names = ("ApproxQuantiles-0.25", "ApproxQuantiles-0.75")
+    return union_all([profile(load(spark, folder, t), [metric(n, c) for n in names], exact=True) for t, c in CONTINUOUS.items()])
+
+
+@query("profile_quantiles_by_group", """
+    SELECT l_returnflag, 'Column' AS entity, c AS instance, 'ApproxQuantiles-' || s AS name, v AS value FROM (
+        SELECT l_returnflag, unnest(['l_extendedprice', 'l_extendedprice', 'l_extendedprice', 'l_discount']) AS c, unnest(['0.01', '0.5', '0.999', '0.5']) AS s,
+               unnest([quantile_disc(l_extendedprice, 0.01), quantile_disc(l_extendedprice, 0.5), quantile_disc(l_extendedprice, 0.999), quantile_disc(l_discount, 0.5)])::DOUBLE AS v
+        FROM lineitem GROUP BY l_returnflag)
+""")
+def profile_quantiles_by_group(spark, folder):
+    wanted = [metric(f"ApproxQuantiles-{s}", "l_extendedprice") for s in ("0.01", "0.5", "0.999")] + [metric("ApproxQuantiles-0.5", "l_discount")]
+    return profile(load(spark, folder, "lineitem"), wanted, ["l_returnflag"], exact=True)
 
 
 @query("profile_count_distinct", """

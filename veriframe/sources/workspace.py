@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -40,3 +40,10 @@ def _base(spark: SparkSession) -> str:
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="veriframe-")
     return _local_base
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared scratch space and read again: what several readers of a small result share."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

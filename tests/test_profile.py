@@ -14,7 +14,8 @@ from veriframe.operators.metrics import (
 from veriframe.operators.profile import histogram_counts, metric, profile
 from veriframe.operators.transform import DAY, KEY, SUM_COLUMN, daily_sum
 from veriframe.sources import generator as gen
-from veriframe.sources.metrics import read_metrics, write_metrics
+from veriframe.sources import metrics as repository
+from veriframe.sources.metrics import fold_metrics, read_documents, read_metrics, write_metrics
 
 LOAD_DATE = dt.date(2023, 8, 31)
 
@@ -115,7 +116,7 @@ def test_repository_round_trip_splits_large_keys(spark, tmp_path):
     write_metrics(metrics.withColumn("dataset_date", F.lit(4).cast("bigint")).limit(1), path, ["date", "table_name"])
     for _ in range(2):
         write_metrics(metrics, path, ["date", "table_name"])
-    assert spark.read.json(path).count() > 3
+    assert read_documents(spark, path, ["date", "table_name"]).count() > 3
     back = read_metrics(spark, path, ["date", "table_name"])
     assert back.where("dataset_date = 4").count() == 1
     back = back.where("dataset_date = 5")
@@ -125,6 +126,65 @@ def test_repository_round_trip_splits_large_keys(spark, tmp_path):
     }
 
 
+TAGS = ["date", "table_name"]
+
+
+def repository_rows(spark, data):
+    return spark.createDataFrame(
+        [("Column", "c", name, float(value), moment, day, table) for name, value, moment, day, table in data],
+        "entity string, instance string, name string, value double, dataset_date bigint, date string, table_name string")
+
+
+def kept(spark, path, **more):
+    return sorted(((r.name, r.value, r.dataset_date, r.date, r.table_name) for r in read_metrics(spark, path, TAGS, **more).collect()), key=str)
+
+
+def test_repository_keeps_the_newest_write_of_each_run_through_folds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(repository, "LOG_WRITES", 3)
+    path, draw, expected = str(tmp_path / "repo"), random.Random(1), {}
+    for step in range(8):
+        runs = {(draw.choice([1, 2]), draw.choice(["2024-01-05", "2024-02-06", "2024-02-07", None]), draw.choice(["t", "u", None])) for _ in range(3)}
+        data = [(name, step, *run) for run in runs for name in draw.sample(["Mean", "Sum", "Size"], 2)]
+        for run in runs:
+            expected[run] = [r for r in data if r[2:] == run]
+        write_metrics(repository_rows(spark, data), path, TAGS)
+        assert kept(spark, path) == sorted((r for rows in expected.values() for r in rows), key=str)
+    parts = {p.parent for p in (tmp_path / "repo" / "fold").rglob("part-*.json")}
+    assert len(list((tmp_path / "repo" / "log").iterdir())) <= 5
+    assert len({(p.parent.name, p.name) for p in parts}) <= 9 and all(len(list(p.glob("part-*.json"))) == 1 for p in parts)
+    january = sorted((r for run, rows in expected.items() if run[1] == "2024-01-05" for r in rows), key=str)
+    assert kept(spark, path, months=["2024-01"]) == january
+
+
+@pytest.mark.parametrize("lost", ["log", "fold"])
+def test_repository_outlives_a_writer_that_dies(spark, tmp_path, monkeypatch, lost):
+    path = str(tmp_path / "repo")
+    write_metrics(repository_rows(spark, [("Mean", 1, 1, "2024-01-05", "t")]), path, TAGS)
+    fold_metrics(spark, path, TAGS)
+    write_metrics(repository_rows(spark, [("Mean", 2, 1, "2024-01-05", "t")]), path, TAGS)
+    good = kept(spark, path)
+    if lost == "log":  # the documents are there, the list of runs is not
+        repository.metric_documents(repository_rows(spark, [("Mean", 9, 1, "2024-01-05", "t")]), TAGS).write.json(f"{path}/log/number=99")
+    else:  # the new generation is there, the manifest is not
+        folder = repository._Folder(spark, path, TAGS)
+        folder.log().select("resultKey", "analyzerContext", F.lit("2024-01").alias("fold_month"), F.lit("t").alias("fold_table_name")).write.partitionBy(
+            "fold_month", "fold_table_name").json(f"{path}/fold/number=99")
+    assert kept(spark, path) == good == [("Mean", 2.0, 1, "2024-01-05", "t")]
+    for _ in range(2):
+        fold_metrics(spark, path, TAGS)
+        assert kept(spark, path) == good
+    write_metrics(repository_rows(spark, [("Sum", 3, 2, "2024-01-05", "t")]), path, TAGS)
+    fold_metrics(spark, path, TAGS)
+    assert kept(spark, path) == sorted([*good, ("Sum", 3.0, 2, "2024-01-05", "t")], key=str)
+
+
+def test_profile_metric_check_reads_the_repository_once(spark, tmp_path):
+    path = str(tmp_path / "repo")
+    write_metrics(repository_rows(spark, [("Mean", 1, 1, "2024-01-05", "t")]), path, TAGS)
+    plan = check_profile_metrics(read_metrics(spark, path, TAGS), {"c": ["Mean"]})._jdf.queryExecution().toString()
+    assert "FileScan json" not in plan
+
+
 def test_repository_reads_one_json_array(spark, tmp_path):
     path = tmp_path / "result.json"
     path.write_text("""[

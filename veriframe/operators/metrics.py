@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veriframe.functions.text import text_list
 from veriframe.operators.sets import SUPERSET, check_sets
 from veriframe.operators.verdict import ERROR, FAIL, PASS, verdict_columns
+from veriframe.sources.workspace import written
 
 
 def latest_metrics(metrics: DataFrame) -> DataFrame:
@@ -24,12 +25,17 @@ def check_profile_metrics(
     """Metric names of the newest run equal an expected set, per data date and instance.
 
     ``expected`` maps an instance to its names; an empty set is allowed. With a
-    data date only that date is judged, whether or not it has metrics.
+    data date only that date is judged, whether or not it has metrics. The names
+    are written once, so the repository is read once.
     """
+    asked = F.col("instance").isin(*expected)
+    if data_date is not None:
+        metrics = metrics.where(F.col("date") == data_date)
+    metrics = written(metrics.select(
+        "date", "dataset_date", *[F.when(asked, F.col(c)).alias(c) for c in ("instance", "name")]).distinct(), "names")
     if data_date is None:
         dates = metrics.select("date").distinct()
     else:
-        metrics = metrics.where(F.col("date") == data_date)
         dates = metrics.sparkSession.range(1).select(F.lit(data_date).alias("date"))
     # A null name on both sides keeps instances without any name in the result.
     sets = [

@@ -14,7 +14,7 @@ from veriframe.operators.sets import day_range
 from veriframe.operators.verdict import union_all
 from veriframe.plans import standins as st
 from veriframe.plans.registered import query
-from veriframe.sources.metrics import DOCUMENT, read_metrics, write_metrics
+from veriframe.sources.metrics import fold_metrics, read_documents, read_metrics, write_metrics
 from veriframe.sources.tables import load
 from veriframe.sources.workspace import work_dir
 
@@ -267,6 +267,26 @@ def metrics_repository_scan(spark, folder):
     return _rounded(read_metrics(spark, _repository(spark, folder), ["date", "table_name"]), 4)
 
 
+@query("metrics_repository_folded", f"""
+    WITH {REPOSITORY},
+         s AS (SELECT * FROM repo WHERE dataset_date = {SECOND_RUN} UNION ALL
+               SELECT entity, instance, name, CASE name WHEN 'Mean' THEN value + 1 ELSE value END, dataset_date, date FROM repo WHERE dataset_date = {FIRST_RUN}
+               UNION ALL SELECT 'Column', 'o_totalprice', 'Sum', sum(p), {SECOND_RUN} + 60000, date FROM mo GROUP BY date)
+    SELECT entity, instance, name, round(value, 4) AS value, dataset_date, date, 'orders' AS table_name FROM s
+""")
+def metrics_repository_folded(spark, folder):
+    """Two runs folded, one of them then replaced and another added in the log, folded again and added to."""
+    path, tags = _repository(spark, folder), ["date", "table_name"]
+    fold_metrics(spark, path, tags)
+    first = read_metrics(spark, path, tags).where(F.col("dataset_date") == FIRST_RUN)
+    write_metrics(first.withColumn("value", F.col("value") + F.when(F.col("name") == "Mean", 1).otherwise(0)), path, tags)
+    fold_metrics(spark, path, tags)
+    orders = load(spark, folder, "orders").withColumn("date", F.date_format("o_orderdate", "yyyy-MM"))
+    third = profile(orders, [metric("Sum", "o_totalprice")], ["date"])
+    write_metrics(third.withColumn("dataset_date", F.lit(SECOND_RUN + 60000)).withColumn("table_name", F.lit("orders")), path, tags)
+    return _rounded(read_metrics(spark, path, tags), 4)
+
+
 @query("metrics_repository_write", f"""
     WITH {REPOSITORY}
     SELECT dataset_date, date, 'orders' AS table_name, instance, count(*) AS documents, count(*) AS metrics
@@ -277,7 +297,7 @@ def metrics_repository_scan(spark, folder):
 def metrics_repository_write(spark, folder):
     path = _repository(spark, folder)
     _second_table(spark, folder, path)
-    documents = spark.read.schema(DOCUMENT).json(path)
+    documents = read_documents(spark, path, ["date", "table_name"])
     entries = F.col("analyzerContext.metricMap")
     return documents.groupBy(
         F.col("resultKey.dataSetDate").alias("dataset_date"), F.col("resultKey.tags.date").alias("date"),

@@ -15,7 +15,7 @@ from veriframe.operators.profile import metric, profile
 from veriframe.operators.sets import check_schema
 from veriframe.operators.transform import DAY, KEY, SUM_COLUMN, create_views, daily_sum
 from veriframe.sources import generator as gen
-from veriframe.sources import tables
+from veriframe.sources import publish, tables
 
 LOAD_DATE = dt.date(2023, 8, 31)
 RULES = [audit.id_rule(), audit.Rule("broken_field", "key.val = 1", optional=True)]
@@ -119,3 +119,74 @@ def test_an_audit_without_answers_publishes_nothing(spark, tmp_path, rules):
     output = output_of(spark, gen.success_spec())
     assert audit.audited_write(output, rules, path, "daily").first().job_sts == "FAILED"
     assert audit.published(spark, path, output.schema).count() == 0
+
+
+def days_of(spark, path):
+    found = {r[DAY]: r["count"] for r in spark.read.parquet(path).groupBy(DAY).count().collect()}
+    assert set(found) - {None} <= {r.day for r in publish.loaded_days(spark, path).collect()}
+    return found
+
+
+def load_of(spark, days, size):
+    return spark.range(size).select(
+        F.format_string("11%010d", "id").alias(KEY), F.lit(1).alias(SUM_COLUMN),
+        F.element_at(F.array(*[F.lit(d).cast("date") for d in days]), (F.col("id") % len(days) + 1).cast("int")).alias(DAY))
+
+
+@pytest.mark.parametrize("dies", ["before the audit", "before the switch", "at the first rename", "within the switch"])
+def test_a_lost_driver_publishes_all_or_nothing(spark, tmp_path, monkeypatch, dies):
+    path, rules = str(tmp_path / "out"), [audit.id_rule()]
+    first, second = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None], [dt.date(2024, 1, 2), dt.date(2024, 1, 3), None]
+    audit.audited_write(load_of(spark, first, 30), rules, path, "load")
+    before = {d: 10 for d in first}
+    assert days_of(spark, path) == before
+
+    class Lost(Exception):
+        pass
+
+    def lost(*args, **more):
+        raise Lost
+
+    with monkeypatch.context() as patch:
+        if dies == "before the audit":
+            patch.setattr(audit, "audit_record", lost)
+        elif dies == "before the switch":
+            patch.setattr(audit, "switch", lost)
+        else:
+            names, real = iter([dies == "within the switch"]), publish._path
+
+            def path_of(session, name):
+                if name.startswith(f"{path}/{DAY}=") and not next(names, False):
+                    raise Lost
+                return real(session, name)
+
+            patch.setattr(publish, "_path", path_of)
+        with pytest.raises(Lost):
+            audit.audited_write(load_of(spark, second, 60), rules, path, "load")
+    publish.recover(spark, path)
+    after = {dt.date(2024, 1, 1): 10, dt.date(2024, 1, 2): 20, dt.date(2024, 1, 3): 20, None: 20}
+    assert days_of(spark, path) == (before if dies == "before the audit" else after)
+    assert not (tmp_path / "out" / publish.STAGING).exists()
+    audit.audited_write(load_of(spark, second, 60), rules, path, "load")
+    assert days_of(spark, path) == after
+
+
+def test_a_partition_set_aside_comes_back_with_the_load(spark, tmp_path):
+    path = str(tmp_path / "out")
+    day = dt.date(2024, 1, 2)
+    audit.audited_write(load_of(spark, [day], 5), [audit.id_rule()], path, "load")
+    staged = publish.stage(load_of(spark, [day], 7), path, DAY)
+    publish.approve(spark, staged)
+    (tmp_path / "out" / publish.STAGING / staged.rsplit("/", 1)[1] / publish.ASIDE).mkdir()
+    (tmp_path / "out" / f"{DAY}={day}").rename(f"{staged}/{publish.ASIDE}/{DAY}={day}")
+    publish.recover(spark, path)
+    assert days_of(spark, path) == {day: 7}
+
+
+def test_the_register_merges_its_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "REGISTER_FILES", 3)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in range(9)]
+    for day in days:
+        publish.register_days(spark, str(tmp_path), [day, days[0], None])
+    assert sorted(r.day for r in publish.loaded_days(spark, str(tmp_path)).collect()) == days
+    assert len(list((tmp_path / publish.REGISTER).glob("part-*"))) <= 4

@@ -13,6 +13,7 @@ from veriframe.operators.distinct import check_unique
 from veriframe.operators.profile import metric, profile
 from veriframe.operators.transform import DAY, create_views, daily_sum
 from veriframe.plans import standins as st
+from veriframe.sources.publish import REGISTER, write_registered
 from veriframe.sources.tables import load, write_partitioned
 
 
@@ -98,6 +99,22 @@ def test_monthly_views_prune_partitions(spark, sf, large, tmp_path):
             assert final.index("HashAggregate") < final.index("BroadcastHashJoin")
 
 
+def test_monthly_views_take_month_ends_from_the_register(spark, sf, tmp_path):
+    path = str(tmp_path / "out")
+    write_registered(daily_sum(st.transactions(spark, sf)), path, [DAY])
+    spark.read.parquet(path).createOrReplaceTempView("registered_output")
+    names = create_views(spark, "registered_output", temporary=True, days=f"parquet.`{path}/{REGISTER}`")
+    ends = {(d.year, d.month): d for d in sorted(p[0] for p in spark.read.parquet(path).select(DAY).distinct().collect())}.values()
+    for kind in ("technical_monthly", "business_monthly"):
+        view = spark.table(names[kind])
+        assert {r[DAY] for r in view.select(DAY).distinct().collect()} == set(ends)
+        view.collect()
+        # the table is scanned once, with run-time pruning; the month ends are read from the register
+        final = plan(view).split("== Initial Plan ==")[0]
+        scans = [line for line in final.splitlines() if "FileScan" in line and REGISTER not in line]
+        assert all("dynamicpruning" in line for line in scans)
+
+
 def test_distinct_metrics_of_five_columns_scan_once(spark, sf):
     columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     text = plan(profile(load(spark, sf, "orders"), [metric(n, c) for c in columns for n in ("CountDistinct", "Uniqueness")]))

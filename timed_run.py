@@ -25,6 +25,7 @@ from veriframe.operators.profile import metric, profile
 from veriframe.operators.transform import DAY, KEY, SUM_COLUMN, create_views, daily_sum
 from veriframe.sources import generator as gen
 from veriframe.sources.metrics import read_metrics, write_metrics
+from veriframe.sources.publish import REGISTER
 from veriframe.sources.tables import write_partitioned
 
 LOAD_DATE = dt.date(2023, 7, 31)
@@ -71,7 +72,7 @@ def main(rows: int, folder: str) -> None:
         sensors.gate(results, LOAD_DATE, LOAD_DATE).collect()
     written.createOrReplaceTempView("output")
     counts = {}
-    for kind, name in create_views(spark, "output", temporary=True).items():
+    for kind, name in create_views(spark, "output", temporary=True, days=f"parquet.`{folder}/output/{REGISTER}`").items():
         with step(f"view_{kind}"):
             counts[kind] = spark.table(name).count()
     spark.stop()

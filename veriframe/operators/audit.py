@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from veriframe.functions.text import list_text
 from veriframe.functions.time import day_text
 from veriframe.operators.row_checks import row_rule, run_row_checks
-from veriframe.sources.tables import write_partitioned
-from veriframe.sources.workspace import remove, work_dir
+from veriframe.sources.publish import approve, drop, recover, stage, staged_rows, switch
+from veriframe.sources.workspace import work_dir
 
 # Fixed value: keyword of an audit failure in the log.
 AUDIT_ERROR = "DeequAuditError"
@@ -114,23 +114,23 @@ def audited_write(
 ) -> DataFrame:
     """Write ``df`` only if the audit succeeds; return the log row either way.
 
-    The output is computed once into a staging folder. The audit and the
-    publishing copy read that folder, so neither repeats the transform, and a
-    lost executor costs no more than its own tasks. The staging folder is removed
-    whether or not the output is published.
+    Each row is written once, into a staging folder of the output in its final
+    layout; the audit reads it there, and publishing renames its partitions into
+    place. A driver lost before the verdict leaves a load that the next call
+    drops, one lost after it a load whose remaining partitions the next call publishes. A load that fails
+    its audit is removed.
     """
     spark = df.sparkSession
-    staging = work_dir(spark, "staging")
-    df.write.parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
+    recover(spark, path)
+    staged = stage(df, path, date_column)
     record_path = work_dir(spark, "audit-record")
-    audit_record(staged, rules, task, date_column).write.parquet(record_path)
+    audit_record(staged_rows(spark, staged, df.schema), rules, task, date_column).write.parquet(record_path)
     record = spark.read.parquet(record_path)
-    try:
-        if record.first()["job_sts"] == SUCCEEDED:
-            write_partitioned(staged, path, [date_column])
-    finally:
-        remove(spark, staging)
+    if record.first()["job_sts"] == SUCCEEDED:
+        approve(spark, staged)
+        switch(spark, staged)
+    else:
+        drop(spark, staged)
     return record
 
 

@@ -36,12 +36,13 @@ TECHNICAL = "SELECT * FROM {table}"
 # Rows of each month's last loaded day. The month ends are broadcast whatever the
 # table's size: they hold one date per calendar month, 120,000 at the very most.
 # That carries the join below a view's aggregate, and together with the filter on
-# the day, which is always true, lets Spark prune partitions at run time.
+# the day, which is always true, lets Spark prune partitions at run time. With a
+# register of loaded days the table's other partitions are not opened at all.
 MONTHLY = """
     SELECT /*+ BROADCAST(m) */ v.* FROM {view} v
     LEFT SEMI JOIN (
-        SELECT max(dl_data_dt) AS dl_data_dt FROM {table}
-        WHERE dl_data_dt >= DATE '0001-01-01' GROUP BY trunc(dl_data_dt, 'MM')
+        SELECT max({day}) AS dl_data_dt FROM {days}
+        WHERE {day} >= DATE '0001-01-01' GROUP BY trunc({day}, 'MM')
     ) m ON v.dl_data_dt = m.dl_data_dt
 """
 
@@ -55,14 +56,15 @@ BUSINESS = """
 """
 
 
-def view_queries(table: str, prefix: str = "") -> dict[str, str]:
-    """SQL text of the four views; the monthly ones read the daily ones."""
+def view_queries(table: str, prefix: str = "", days: str | None = None) -> dict[str, str]:
+    """SQL text of the four views; the monthly ones read the daily ones, and their month ends from ``days`` if there is one."""
     names = view_names(table, prefix)
+    months = {"days": days or table, "day": "day" if days else "dl_data_dt"}
     return {
         names["technical"]: TECHNICAL.format(table=table),
-        names["technical_monthly"]: MONTHLY.format(view=names["technical"], table=table),
+        names["technical_monthly"]: MONTHLY.format(view=names["technical"], **months),
         names["business"]: BUSINESS.format(table=table),
-        names["business_monthly"]: MONTHLY.format(view=names["business"], table=table),
+        names["business_monthly"]: MONTHLY.format(view=names["business"], **months),
     }
 
 
@@ -77,9 +79,13 @@ def view_names(table: str, prefix: str = "") -> dict[str, str]:
     }
 
 
-def create_views(spark: SparkSession, table: str, temporary: bool = False) -> dict[str, str]:
-    """Create the four views over a table and return their names."""
+def create_views(spark: SparkSession, table: str, temporary: bool = False, days: str | None = None) -> dict[str, str]:
+    """Create the four views over a table and return their names.
+
+    ``days`` names a table, view or ``parquet.`folder` `` with the column ``day``, such as the
+    register that publishing keeps; without it the month ends come from a scan of the table.
+    """
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
-    for name, query in view_queries(table).items():
+    for name, query in view_queries(table, days=days).items():
         spark.sql(f"CREATE OR REPLACE {kind} {name} AS {query}")
     return view_names(table)

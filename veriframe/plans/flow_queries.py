@@ -13,7 +13,8 @@ from veriframe.operators.verdict import union_all
 from veriframe.plans import standins as st
 from veriframe.plans.registered import query
 from veriframe.sources import generator as gen
-from veriframe.sources.tables import load, write_partitioned
+from veriframe.sources.publish import loaded_days, write_registered
+from veriframe.sources.tables import load
 from veriframe.sources.workspace import work_dir
 from veriframe.streaming.daily_sum import read_output, run_daily_sum
 from veriframe.streaming.partials import read_stream
@@ -126,11 +127,12 @@ def _view(spark, folder, kind):
     source = st.transactions(spark, folder)
     again = source.where("dl_data_dt >= '2024-01-20'").withColumn("transactions", F.col("transactions") * 2)
     path = work_dir(spark, "view-output")
-    write_partitioned(daily_sum(source, _loaded(FIRST_LOAD)).unionByName(daily_sum(again, _loaded(SECOND_LOAD))), path, [DAY])
+    write_registered(daily_sum(source, _loaded(FIRST_LOAD)).unionByName(daily_sum(again, _loaded(SECOND_LOAD))), path, [DAY])
     table = "output_" + path.rsplit("-", 1)[-1]
     schema = f"uc_id string, {SUM_COLUMN} int, {LOADED} timestamp_ntz, {DAY} date"
     spark.read.schema(schema).parquet(path).createOrReplaceTempView(table)
-    return spark.table(create_views(spark, table, temporary=True)[kind])
+    loaded_days(spark, path).createOrReplaceTempView(f"{table}_days")
+    return spark.table(create_views(spark, table, temporary=True, days=f"{table}_days")[kind])
 
 
 @query("view_technical", f"WITH {OUTPUT} SELECT * FROM output")

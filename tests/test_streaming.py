@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import shutil
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from veriframe.operators.profile import metric, profile
 from veriframe.operators.sets import check_date_coverage, check_schema, reconcile
 from veriframe.operators.transform import ADDED_COLUMN, DAY, LOADED, SUM_COLUMN, daily_sum
+from veriframe.streaming import metrics as stream_metrics
 from veriframe.streaming import partials
 from veriframe.streaming.daily_sum import PARTIAL_SCHEMA, day_and_previous, merge_parts, read_output, run_daily_sum
 from veriframe.streaming.profile import read_profile, run_profile
@@ -186,3 +188,38 @@ def test_a_batch_without_rows(spark, tmp_path):
     run_profile(named, "transactions", "day", str(tmp_path / "profile"), str(tmp_path / "ck2"))
     assert read_profile(spark, str(tmp_path / "profile")).count() == 0
     run_sensor(named, "transactions", "day", str(tmp_path / "sensor"), str(tmp_path / "ck3"), "7", "p")
+
+
+def test_all_metrics_in_pieces_equal_batch(spark, tmp_path):
+    """Three batches with odd values, a day that comes twice and one that is null."""
+    draw, rows = random.Random(2), []
+    for _ in range(300):
+        value = draw.choice([None, float("nan"), 0.0, -0.0, draw.gauss(1e6, 1.0)])
+        rows.append((draw.choice([dt.date(2024, 1, 1), dt.date(2024, 1, 2), None]), draw.choice(["a", "b", "NullValue", None]), draw.randint(0, 9), draw.gauss(1e7, 1), value))
+    schema = "day date, t string, k int, x double, y double"
+    folder = tmp_path / "in" / "odd.parquet"
+    folder.mkdir(parents=True)
+    for part in range(3):
+        spark.createDataFrame(rows[part * 100:part * 100 + 100], schema).coalesce(1).write.parquet(str(tmp_path / f"p{part}"))
+        shutil.copy(next((tmp_path / f"p{part}").glob("part-*")), folder / f"{part}.parquet")
+    plain = [
+        metric("Size"), metric("Mean", "x"), metric("StandardDeviation", "x"), metric("Completeness", "k"), metric("Correlation", "x", "k"),
+        metric("CountDistinct", "y"), metric("UniqueValueRatio", "k", "t"), metric("Histogram", "t"), metric("Histogram", "k"),
+        metric("MutualInformation", "t", "k"), metric("ApproxQuantiles-0.5", "y"), metric("ApproxQuantiles-0.9", "x")]
+    stream = partials.read_stream(spark, str(tmp_path / "in"), "odd", files_per_batch=1)
+    stream_metrics.run_metrics(stream, plain, "day", str(tmp_path / "out"), str(tmp_path / "ck"))
+    batch = spark.createDataFrame(rows, schema)
+
+    def values_of(df):
+        return {(r.day, r.entity, r.instance, r.name): "NaN" if r.value is not None and r.value != r.value else r.value for r in df.collect()}
+
+    want = values_of(profile(batch, plain, ["day"], exact=True))
+    found = values_of(stream_metrics.read_metrics(spark, str(tmp_path / "out"), plain))
+    assert found.keys() == want.keys()
+    assert all(found[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9) if not isinstance(want[k], str) else found[k] == want[k] for k in want)
+    some = values_of(stream_metrics.read_metrics(spark, str(tmp_path / "out"), plain, days=[dt.date(2024, 1, 2)]))
+    assert some and {k[0] for k in some} == {dt.date(2024, 1, 2)} and all(found[k] == pytest.approx(v) if not isinstance(v, str) else True for k, v in some.items())
+    # the last batch again: it replaces its own states
+    stream_metrics.store_states(spark.createDataFrame(rows[200:], schema), plain, "day", str(tmp_path / "out" / "states"), 2)
+    again = values_of(stream_metrics.read_metrics(spark, str(tmp_path / "out"), plain))
+    assert again.keys() == found.keys() and all(again[k] == pytest.approx(v, rel=1e-9, abs=1e-9) if not isinstance(v, str) else True for k, v in found.items())

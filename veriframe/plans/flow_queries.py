@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from veriframe.operators import audit
 from veriframe.operators.sets import check_date_coverage
+from veriframe.operators.profile import metric
 from veriframe.operators.transform import DAY, LOADED, SUM_COLUMN, create_views, daily_sum
 from veriframe.operators.verdict import union_all
 from veriframe.plans import standins as st
@@ -18,6 +19,7 @@ from veriframe.sources.tables import load
 from veriframe.sources.workspace import work_dir
 from veriframe.streaming.daily_sum import read_output, run_daily_sum
 from veriframe.streaming.partials import read_stream
+from veriframe.streaming.metrics import read_metrics, run_metrics
 from veriframe.streaming.profile import read_profile, run_profile
 from veriframe.streaming.sensor import read_sensor, run_sensor
 
@@ -206,14 +208,14 @@ def gen_weighted(spark, folder):
 
 
 def _event_stream(spark, folder):
-    return read_stream(spark, folder, "events").select("user_id", "value", "props", F.to_date("ts").alias("day"))
+    return read_stream(spark, folder, "events").select("user_id", "event_type", "value", "props", F.to_date("ts").alias("day"))
 
 
 def _piecewise(spark, folder):
     """The event stream in several batches that each hold rows of most days."""
     path = work_dir(spark, "pieces")
     load(spark, folder, "events").repartition(3, "event_id").write.parquet(f"{path}/events.parquet")
-    return read_stream(spark, path, "events", files_per_batch=1).select("user_id", "value", "props", F.to_date("ts").alias("day"))
+    return read_stream(spark, path, "events", files_per_batch=1).select("user_id", "event_type", "value", "props", F.to_date("ts").alias("day"))
 
 
 DAILY_STREAM = f"""
@@ -269,6 +271,42 @@ def stream_profile(spark, folder):
     return read_profile(spark, path).withColumn("value", F.round("value", 6))
 
 
+STREAMED = [
+    metric("Size"), metric("Mean", "value"), metric("StandardDeviation", "value"), metric("Completeness", "value"),
+    metric("Correlation", "value", "user_id"), metric("CountDistinct", "user_id"), metric("Uniqueness", "user_id"), metric("Distinctness", "user_id"),
+    metric("UniqueValueRatio", "user_id", "event_type"), metric("Histogram", "event_type"), metric("MutualInformation", "user_id", "event_type"),
+    metric("ApproxQuantiles-0.25", "value"), metric("ApproxQuantiles-0.75", "value"),
+]
+
+
+@query("stream_profile_metrics", f"""
+    WITH {st.EVENTS},
+    d AS (SELECT day, count(*)::DOUBLE AS n, avg(value) AS mean, stddev_pop(value) AS sd, count(value) / count(*) AS filled, corr(value, user_id) AS r,
+                 quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM ev GROUP BY day),
+    u AS (SELECT day, user_id, count(*) AS c FROM ev GROUP BY ALL), ud AS (SELECT day, count(*)::DOUBLE AS v, count(*) FILTER (c = 1) AS one, sum(c) AS n FROM u GROUP BY day),
+    p AS (SELECT day, user_id, event_type, count(*) AS c FROM ev GROUP BY ALL), pd AS (SELECT day, count(*) FILTER (c = 1) / count(*) AS ratio FROM p GROUP BY day),
+    t AS (SELECT day, event_type, count(*) AS c FROM ev GROUP BY ALL),
+    mi AS (SELECT p.day, sum(p.c / d.n * ln(p.c * d.n / (u.c * t.c))) AS value
+           FROM p JOIN u USING (day, user_id) JOIN t USING (day, event_type) JOIN d USING (day) GROUP BY p.day)
+    SELECT day, entity, instance, name, round(value, 6) AS value FROM (
+        SELECT day, 'Dataset' AS entity, '*' AS instance, 'Size' AS name, n AS value FROM d
+        UNION ALL SELECT day, 'Column', 'value', unnest(['Mean', 'StandardDeviation', 'Completeness', 'ApproxQuantiles-0.25', 'ApproxQuantiles-0.75']),
+                         unnest([mean, sd, filled, q1, q3]) FROM d
+        UNION ALL SELECT day, 'Multicolumn', 'value,user_id', 'Correlation', r FROM d
+        UNION ALL SELECT day, 'Column', 'user_id', unnest(['CountDistinct', 'Uniqueness', 'Distinctness']), unnest([v, one / n, v / n]) FROM ud
+        UNION ALL SELECT day, 'Multicolumn', 'user_id,event_type', 'UniqueValueRatio', ratio FROM pd
+        UNION ALL SELECT day, 'Multicolumn', 'user_id,event_type', 'MutualInformation', value FROM mi
+        UNION ALL SELECT day, 'Column', 'event_type', 'Histogram.bins', count(*) FROM t GROUP BY day
+        UNION ALL SELECT day, 'Column', 'event_type', 'Histogram.abs.' || event_type, c FROM t
+        UNION ALL SELECT day, 'Column', 'event_type', 'Histogram.ratio.' || event_type, c / n FROM t JOIN d USING (day))
+""")
+def stream_profile_metrics(spark, folder):
+    """All kinds of metrics from the states of several batches."""
+    path = work_dir(spark, "stream-metrics")
+    run_metrics(_piecewise(spark, folder), STREAMED, "day", path, f"{path}/checkpoint")
+    return read_metrics(spark, path, STREAMED).withColumn("value", F.round("value", 6))
+
+
 @query("stream_sensor", f"""
     WITH {st.EVENTS},
          dm AS (SELECT day, name, value FROM (

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriframe.operators import sets
@@ -116,3 +117,36 @@ def test_feature_registry(spark):
     assert service.where("in_actual <> in_expected").count() == 0 and service.count() == 3
     named = columns_frame(table).selectExpr("'s' AS service", "column")
     assert check_feature_services(registry, services, named).first().status == "pass"
+
+
+ODD_ROWS = [(1, None, 0.0, ("a", None), [1, None]), (None, 1, -0.0, (None, "a"), [None, 1]), (1, None, float("nan"), None, []), (None, None, None, ("a", None), None)]
+ODD_SCHEMA = "a int, b int, x double, s struct<p: string, q: string>, l array<int>"
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 4096])
+def test_reconcile_by_digests_equals_counting(spark, buckets):
+    draw = random.Random(buckets)
+    left = [draw.choice(ODD_ROWS) for _ in range(60)] + [(k, k % 3, k / 7, ("p", str(k)), [k]) for k in range(200)]
+    right = [draw.choice(ODD_ROWS) for _ in range(55)] + [(k, k % 3, k / 7, ("p", str(k)), [k]) for k in range(203) if k != 50] + [left[-1]]
+    plain = lambda row: repr(row).replace("-0.0", "0.0")
+    counts = {k: (sum(plain(r) == k for r in left), sum(plain(r) == k for r in right)) for k in {plain(r) for r in left + right}}
+    frames = [spark.createDataFrame(rows, ODD_SCHEMA) for rows in (left, right)]
+    found = {plain((r.a, r.b, r.x, tuple(r.s) if r.s else None, list(r.l) if r.l is not None else None)): (r.left_rows, r.right_rows)
+             for r in sets.reconcile(*frames, buckets=buckets).collect()}
+    assert found == {k: v for k, v in counts.items() if v[0] != v[1]}
+
+
+def test_compensating_changes_in_one_bucket_are_found(spark):
+    left = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "k int, v int")
+    for rows in ([(1, 20), (2, 10), (3, 30)], [(1, 10), (1, 10), (3, 30)], [(1, 11), (2, 19), (3, 30)]):
+        right = spark.createDataFrame(rows, "k int, v int")
+        assert sets.differing_buckets(left, right, ["k", "v"], 1) == [0]
+        assert sets.check_equality(left, right).first().status == "fail"
+    assert sets.differing_buckets(left, left.orderBy(F.desc("k")), ["k", "v"], 1) == []
+
+
+def test_equal_tables_are_not_compared_row_by_row(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    plan = sets.reconcile(orders, orders.repartition(5))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+    assert sets.check_equality(orders, orders.repartition(5)).first().status == "pass"

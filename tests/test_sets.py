@@ -150,3 +150,17 @@ def test_equal_tables_are_not_compared_row_by_row(spark, sf):
     plan = sets.reconcile(orders, orders.repartition(5))._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan
     assert sets.check_equality(orders, orders.repartition(5)).first().status == "pass"
+
+
+def test_date_gaps_of_long_ranges_cross_numbers(spark):
+    start, end = D(2023, 1, 1), D(2024, 12, 31)
+    size, draw = (end - start).days + 1, random.Random(4)
+    held = {k: set(draw.sample(range(size), n)) for k, n in (("a", 5), ("b", 400), ("c", size), ("d", 0))}
+    held["e"] = set(range(size)) - {0, 62, 63, 64, 125, 126, size - 1}
+    data = [(k, start + dt.timedelta(days=d)) for k, days in held.items() for d in days] + [("d", None)]
+    found = {}
+    for r in sets.date_gaps(spark.createDataFrame(data, "k string, day date"), "day", ["k"], start, end).collect():
+        found.setdefault(r.k, []).append(((r.gap_start - start).days, (r.gap_end - start).days, r.days))
+    for k, days in held.items():
+        edges = sorted(days | {-1, size})
+        assert sorted(found.get(k, [])) == [(a + 1, b - 1, b - a - 1) for a, b in zip(edges, edges[1:]) if b - a > 1]

@@ -32,6 +32,11 @@ def against_history(
     return _judged(current.join(mean, KEYS, "left"), "reference", absolute, relative)
 
 
+def against_running(current: DataFrame, means: DataFrame, absolute: float = 0.0, relative: float = 0.0) -> DataFrame:
+    """Each new metric against a running mean, as ``history_means`` keeps it: no history is read."""
+    return _judged(current.join(means.select(*KEYS, "reference"), KEYS, "left"), "reference", absolute, relative)
+
+
 def against_lookback(
     metrics: DataFrame, days: int = 3, absolute: float = 0.0, relative: float = 0.0
 ) -> DataFrame:

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructField, StructType
 
@@ -128,32 +128,45 @@ def date_gaps(
 ) -> DataFrame:
     """Missing day ranges per group: first day, last day and length of each gap.
 
-    Works from neighbouring loaded days, so rows exist only for real gaps. A
-    group's window holds its distinct days, at most one row per day of the range.
+    Each group is one bit a day, 63 days to a number, which every task or-merges
+    before the shuffle; gaps are read off the bits, so no day is ever a row and
+    nothing is sorted. Groups without a day in the range are one gap.
     """
-    # Rows outside the range count as the day before it, so that groups without
-    # a day in the range are kept.
-    day, before = F.col(column).cast("date"), F.date_sub(F.lit(start), 1)
-    in_range = F.when(day.between(start, end), day).otherwise(before)
-    days = Window.partitionBy(*by).orderBy("day")
-    earlier, later = F.lag("day", 1).over(days), F.lead("day", 1).over(days)
-
-    def gap(first: Column, last: Column) -> Column:
-        return F.struct(first.alias("gap_start"), last.alias("gap_end"))
-
-    return (
-        df.select(*by, in_range.alias("day")).distinct()
-        .select(*by, "day", earlier.alias("earlier"), later.alias("later"))
-        .select(*by, F.inline(F.array(
-            gap(F.coalesce(F.date_add("earlier", 1), F.lit(start)), F.date_sub("day", 1)),
-            gap(F.date_add("day", 1), F.when(F.col("later").isNull(), F.lit(end))),
-        )))
-        .where(F.col("gap_start") <= F.col("gap_end"))
-        .select(
-            *by, "gap_start", "gap_end",
-            (F.datediff("gap_end", "gap_start") + 1).cast("bigint").alias("days"),
-        )
-    )
+    size = max(0, (end - start).days + 1)
+    numbers = max(1, -(-size // DAY_BITS))
+    held = day_bits(df, column, by, start, end).select(*by, F.array(*[F.col(f"bits{k}") for k in range(numbers)]).alias("bits"))
+    return bit_gaps(held, by, start, size)
+
+
+#: Days in one number of a bitmap.
+DAY_BITS = 63
+
+
+def day_bits(df: DataFrame, column: str, by: Sequence[str], start: dt.date, end: dt.date) -> DataFrame:
+    """``*by, bits0, bits1, ...``: one bit for each day of the closed range on which a group has a row."""
+    size = max(0, (end - start).days + 1)
+    offset = F.datediff(F.col(column).cast("date"), F.lit(start))
+    place = F.when(offset.between(0, size - 1), offset)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(DAY_BITS)))
+    words = [
+        F.coalesce(F.bit_or(F.when(F.floor(place / DAY_BITS) == k, bit)), F.lit(0).cast("bigint")).alias(f"bits{k}")
+        for k in range(max(1, -(-size // DAY_BITS)))]
+    return df.groupBy(*by).agg(*words) if by else df.agg(*words)
+
+
+def bit_gaps(held: DataFrame, by: Sequence[str], start: dt.date, size: int) -> DataFrame:
+    """Runs of zero bits among the first ``size`` of the array ``bits``."""
+    def missing(day: Column) -> Column:
+        word = F.element_at("bits", (F.floor(day / DAY_BITS) + 1).cast("int"))
+        return F.call_function("shiftright", word, (day % DAY_BITS).cast("int")).bitwiseAND(F.lit(1)) == 0
+
+    days = F.sequence(F.lit(0), F.lit(size - 1)) if size else F.array().cast("array<int>")
+    first = F.filter(days, lambda d: missing(d) & ((d == 0) | ~missing(F.greatest(d - 1, F.lit(0)))))
+    last = F.filter(days, lambda d: missing(d) & ((d == size - 1) | ~missing(F.least(d + 1, F.lit(max(size - 1, 0))))))
+    runs = held.select(*by, F.inline(F.arrays_zip(first.alias("first"), last.alias("last"))).alias("first", "last"))
+    return runs.select(
+        *by, F.date_add(F.lit(start), F.col("first")).alias("gap_start"), F.date_add(F.lit(start), F.col("last")).alias("gap_end"),
+        (F.col("last") - F.col("first") + 1).cast("bigint").alias("days"))
 
 
 #: Buckets of the digests: at most so many rows leave a task, and come to the driver.

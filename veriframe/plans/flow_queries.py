@@ -17,7 +17,7 @@ from veriframe.sources import generator as gen
 from veriframe.sources.publish import loaded_days, write_registered
 from veriframe.sources.tables import load
 from veriframe.sources.workspace import work_dir
-from veriframe.streaming.daily_sum import read_output, run_daily_sum
+from veriframe.streaming.daily_sum import read_days, read_output, run_daily_sum
 from veriframe.streaming.partials import read_stream
 from veriframe.streaming.metrics import read_metrics, run_metrics
 from veriframe.streaming.profile import read_profile, run_profile
@@ -243,18 +243,23 @@ def stream_daily_sum_batches(spark, folder):
            CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status FROM g
 """)
 def stream_date_coverage(spark, folder):
-    sink = _daily_stream(spark, _piecewise(spark, folder))
-    return check_date_coverage(sink, DAY, dt.date(2024, 1, 1), dt.date(2024, 1, 31)).select("target", "violations", "observed", "status")
+    """Coverage of the sink, from the days that the stream has registered."""
+    path = _run_daily_stream(spark, _piecewise(spark, folder))
+    return check_date_coverage(read_days(spark, path), DAY, dt.date(2024, 1, 1), dt.date(2024, 1, 31)).select("target", "violations", "observed", "status")
 
 
-def _daily_stream(spark, events):
+def _run_daily_stream(spark, events):
     source = events.select(
         F.concat(F.lit("11"), (F.lit(10 ** 9) + F.col("user_id")).cast("string")).alias("uc_id"),
         F.get_json_object("props", "$.k").try_cast("int").alias("transactions"), F.col("day").alias(DAY),
     )
     path = work_dir(spark, "stream-daily-sum")
     run_daily_sum(source, path, f"{path}/checkpoint")
-    return read_output(spark, path)
+    return path
+
+
+def _daily_stream(spark, events):
+    return read_output(spark, _run_daily_stream(spark, events))
 
 
 @query("stream_profile", f"""

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from veriframe.functions import text
 from veriframe.functions.time import day_text, epoch_to_timestamp, resolve_load_date
 from veriframe.operators import logs, results, runs, sensors
-from veriframe.operators.anomaly import against_history, against_lookback, against_month_end
+from veriframe.operators.anomaly import against_history, against_lookback, against_month_end, against_running
 from veriframe.operators.profile import metric, profile
 from veriframe.plans import standins as st
 from veriframe.plans.registered import query
 from veriframe.sources.files import read_log_lines
+from veriframe.sources.history import append_history, history_means
 from veriframe.sources.runs import flatten_tasks, read_runs
 from veriframe.sources.tables import load
 from veriframe.sources.workspace import work_dir
@@ -463,6 +464,24 @@ def anomaly_mean_history(spark, folder):
     ))
 
 
+@query("anomaly_mean_running", f"""
+    WITH {ORDER_METRICS},
+         h AS (SELECT a.day, a.instance, a.name, a.value,
+                      (SELECT avg(value) FROM od b WHERE b.name = a.name AND b.day < DATE '2001-01-01') AS reference
+               FROM od a WHERE a.day >= DATE '2001-01-01')
+    {_judged_sql('h', 0.25)}
+""")
+def anomaly_mean_running(spark, folder):
+    """The history comes in three runs, of which one came with other values first."""
+    metrics, path = _order_metrics(spark, folder), work_dir(spark, "history")
+    second = metrics.where("day >= '1997-01-01' and day < '1999-01-01'")
+    append_history(metrics.where("day < '1997-01-01'"), path, 1)
+    append_history(second.where("name <> 'Sum'").withColumn("value", F.col("value") + 1000), path, 2)
+    append_history(metrics.where("day >= '1999-01-01' and day < '2001-01-01'"), path, 3)
+    append_history(second, path, 2)
+    return _rounded(against_running(metrics.where("day >= '2001-01-01'"), history_means(spark, path), relative=0.25))
+
+
 @query("sensor_results", f"""
     WITH {st.EVENTS}, {DAY_METRICS}, {LOOKBACK}
     SELECT '7' AS parent_run_id, 'daily' AS upstrm_pl, day AS dt,

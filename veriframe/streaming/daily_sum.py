@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from veriframe.operators.transform import ADDED_COLUMN, DAY, KEY, LOADED, SUM_COLUMN, as_int
-from veriframe.sources.tables import write_partitioned
+from veriframe.sources.publish import loaded_days, write_registered
 from veriframe.streaming.partials import (
     fold_partials, on_days, read_partials, run_available, shifted, write_partials,
 )
@@ -70,7 +70,7 @@ def run_daily_sum(
         parts = read_partials(spark, f"{folder}/partials", PARTIAL_SCHEMA, DAY, needed)
         rebuilt = day_and_previous(parts).where(on_days(DAY, affected))
         stamped = rebuilt.withColumn(LOADED, F.current_timestamp() if loaded_at is None else loaded_at)
-        write_partitioned(stamped, f"{folder}/output", [DAY])
+        write_registered(stamped, f"{folder}/output", [DAY])
 
     return run_available(source, handle, checkpoint)
 
@@ -79,3 +79,8 @@ def read_output(spark, folder: str) -> DataFrame:
     return spark.read.schema(OUTPUT_SCHEMA).parquet(f"{folder}/output").select(
         KEY, SUM_COLUMN, ADDED_COLUMN, DAY, LOADED
     )
+
+
+def read_days(spark, folder: str) -> DataFrame:
+    """The days of the output, from the register that the stream keeps: no file of the output is opened."""
+    return loaded_days(spark, f"{folder}/output").withColumnRenamed("day", DAY)

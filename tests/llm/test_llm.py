@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import collections
 import hashlib
 import math
 import re
@@ -14,6 +15,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import difference, oracle_connection, oracle_rows, spark_rows
@@ -274,36 +276,82 @@ def test_bounds_never_pass_the_distance():
 
 # language model
 
-def test_log_probs_equal_slow_sums(spark, odd, empty):
-    docs = texts(spark, [(1, "the cat sat on the mat"), (2, "one"), (3, "the dog sat on the log")])
-    model = masked_lm.train(docs)
-    got = {r["doc_id"]: r for r in masked_lm.score(docs, model).collect()}
-    w, finer = model["weights"], masked_lm.bucket_log_probs(model["counts"])
-    for doc, text in [(1, "the cat sat on the mat"), (2, "one"), (3, "the dog sat on the log")]:
-        buckets, _ = masked_lm.buckets_of([text])
-        classes = [int(b) & (masked_lm.CLASSES - 1) for b in buckets]
+def slow_log_probs(w, hashes):
+    """Log-probabilities of the classes of a text's words, one by one."""
+    classes = [int(c) for c in masked_lm.classes_of(hashes)]
+    out = []
+    for t, c in enumerate(classes):
+        at = lambda i: classes[i] if 0 <= i < len(classes) else masked_lm.CLASSES
+        x = w["bias"].astype(float)
+        for k in range(masked_lm.WINDOW):
+            x = x + w["near_left"][k] * w["left"][at(t - 1 - k)] + w["near_right"][k] * w["right"][at(t + 1 + k)]
+        h = np.tanh(x)
         total = 0.0
-        for t, c in enumerate(classes):
-            at = lambda i: classes[i] if 0 <= i < len(classes) else masked_lm.CLASSES
-            x = w["bias"].astype(float)
-            for k in range(masked_lm.WINDOW):
-                x = x + w["near_left"][k] * w["left"][at(t - 1 - k)] + w["near_right"][k] * w["right"][at(t + 1 + k)]
-            h = np.tanh(x)
-            for digit, name, z in ((c // masked_lm.DIGIT, "high", h), (c % masked_lm.DIGIT, "low", h + w["given"][c // masked_lm.DIGIT])):
-                s = z @ w[name] + w[name + "_bias"]
-                total += s[digit] - np.log(np.exp(s).sum())
-            total += finer[buckets[t]]
-        assert got[doc]["n_words"] == len(classes) and got[doc]["log_prob"] == pytest.approx(total, rel=1e-4)
-    assert model["counts"].sum() == 13
-    found = masked_lm.score(odd, model, out="score").collect()
-    assert [(r["n_words"], r["score"]) for r in found[:3]] == [(0, 0.0)] * 3 and len(found) == 10
+        for digit, name, z in ((c // masked_lm.DIGIT, "high", h), (c % masked_lm.DIGIT, "low", h + w["given"][c // masked_lm.DIGIT])):
+            s = z @ w[name] + w[name + "_bias"]
+            total += s[digit] - np.log(np.exp(s).sum())
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("frequent", [1 << 20, 4])
+def test_log_probs_equal_slow_sums(spark, odd, empty, monkeypatch, frequent):
+    monkeypatch.setattr(masked_lm, "FREQUENT", frequent)  # with 4, only words that are more than a quarter of all
+    rows = [(1, "the cat sat on the mat"), (2, "one"), (3, "the dog sat on the log"), (4, "The the")]
+    docs = texts(spark, rows)
+    model = masked_lm.train(docs)
+    n = collections.Counter(w for _, t in rows for w in t.lower().split())
+    assert sorted(r["n"] for r in model["counts"].collect()) == sorted(n.values())
+    of = {w: int(masked_lm.classes_of(masked_lm.hashes_of([w])[0])[0]) for w in [*n, "bird"]}
+    assert len(masked_lm.frequent_words(model)[0]) == (len(n) if frequent > 4 else sum(c * 4 > sum(n.values()) for c in n.values()))
+    scored = [*rows, (5, "the bird sat"), (5, "the bird sat")]
+    got = masked_lm.score(texts(spark, scored), model).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted(scored)
+    for r in got:
+        words = r["text"].lower().split()
+        total = sum(slow_log_probs(model["weights"], masked_lm.hashes_of([r["text"]])[0]))
+        for w in words:
+            same = [v for v in n if of[v] == of[w]]
+            total += math.log((n[w] + 1) / (sum(n[v] for v in same) + len(same) + 1))
+        assert r["n_words"] == len(words) and r["log_prob"] == pytest.approx(total, rel=1e-4)
+    found = masked_lm.score(odd, model, out="score")
+    assert found.columns == [c for c in odd.columns if c != "score"] + ["n_words", "score"] and found.count() == odd.count()
+    assert {r["score"] for r in found.where("text is null or text = ''").collect()} == {0.0}
+    assert "text" not in masked_lm.score(odd, model, carry=False).columns
     assert masked_lm.score(empty, masked_lm.train(empty)).collect() == []
 
 
+def test_the_model_does_not_depend_on_the_split(spark, sf, monkeypatch):
+    monkeypatch.setattr(masked_lm, "UNIT_WORDS", 3000)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    answers = []
+    for split in (docs.coalesce(1), docs.repartition(4), docs.orderBy(F.desc("doc_id")).repartition(13, "doc_id")):
+        model = masked_lm.train(split, spread=["doc_id"])
+        scores = {r["doc_id"]: r["log_prob"] for r in masked_lm.score(split, model, carry=False).collect()}
+        answers.append((masked_lm.flat(model["weights"]), scores))
+    for weights, scores in answers[1:]:
+        assert (weights == answers[0][0]).all()
+        assert scores == pytest.approx(answers[0][1], rel=1e-6)  # single precision in the network
+    plain = masked_lm.initial()
+    assert sum(answers[0][1].values()) > sum(r["log_prob"] for r in masked_lm.score(docs, {**model, "weights": plain}, carry=False).collect())
+
+
+def test_copies_are_likelier_than_texts_of_their_kind(spark):
+    draw = np.random.default_rng(9)
+    word = lambda: "".join(draw.choice(list("abcdefghij"), 7))
+    common = [word() for _ in range(40)]
+    made = [" ".join(draw.choice(common) if draw.random() < 0.5 else word() for _ in range(60)) for _ in range(300)]
+    rows = list(enumerate(made)) + [(1000 + k, made[k]) for k in range(30)]
+    docs = texts(spark, rows)
+    scores = {r["doc_id"]: r["log_prob"] / r["n_words"] for r in masked_lm.score(docs, masked_lm.train(docs, spread=["doc_id"])).collect()}
+    copies, others = [scores[k] for k in range(30)], [scores[k] for k in range(30, 300)]
+    assert sum(c > o for c in copies for o in others) > 0.95 * len(copies) * len(others)
+
+
 def test_learning_follows_the_slope():
     model = masked_lm.initial()
     squares = {n: np.full(s, 1e-8, np.float32) for n, s in masked_lm.SHAPES.items()}
-    classes, place = masked_lm.padded(*masked_lm.buckets_of(["a b c d e f g h"] * 200))
+    classes, place = masked_lm.padded(*masked_lm.hashes_of(["a b c d e f g h"] * 200))
     before = masked_lm.class_log_probs(model, classes)[place].sum()
     for _ in range(30):
         masked_lm.learn(model, squares, classes, masked_lm.WINDOW, len(classes) - masked_lm.WINDOW)

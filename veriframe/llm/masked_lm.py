@@ -1,23 +1,36 @@
-"""Masked pseudo-likelihood of texts by a small window network that sees both sides of every word."""
+"""Masked pseudo-likelihood of texts by a small window network that sees both sides of every word.
+
+The network predicts a word's class. How often each word occurs is a table that grows
+with the corpus; it tells the words of a class apart and meets the texts in a join.
+Training doesn't depend on how the input is split: a text's unit and its place in it
+are drawn from its content, and sums are in whole numbers.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.shared import slices, with_columns
+from veriframe.llm.shared import slices, stored, with_columns
 
 #: Words on either side, size of the hidden layer.
-WINDOW, HIDDEN = 3, 16
-#: A word's class is a pair of digits, its bucket a class and a finer number.
-DIGIT, CLASSES, BUCKETS = 32, 1024, 1 << 16
+WINDOW, HIDDEN = 3, 24
+#: A word's class is a pair of digits of its hash.
+DIGIT, CLASSES = 32, 1024
 RATE, BATCH = 0.05, 8192
+#: Words of a unit, which is trained in one go, about; each of the rounds takes its share of the units, and ends with their average.
+UNIT_WORDS, ROUNDS = 1_000_000, 4
+#: Characters of a unit's texts that are turned into one stretch.
+STRETCH = 1_000_000
+#: Words that make up more than one in so many go to the tasks by broadcast: there are fewer of them than this.
+FREQUENT = 1 << 20
+#: Fractions of a weight, and of a log, in which sums are taken; words in one part of a unit's weight.
+PARTS, LOG_PARTS, WEIGHT_WORDS = 1 << 24, 1 << 30, 1024
 #: Multipliers by which the bytes of a word are told apart by place; they come round after so many bytes.
 _PLACES = 1 << 12
 #: Names and shapes of the weights, in the order in which they travel.
@@ -54,11 +67,11 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def buckets_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the words of all texts in a row, and the number of words of each text.
+def hashes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in a row, and the number of words of each text.
 
-    Words are runs without ASCII white space in lower case; the bucket is a hash of
-    their bytes, and its low bits are the class.
+    Words are runs without ASCII white space in lower case; a hash is 64 bits of
+    their bytes.
     """
     parts = [t.lower().encode() + b" " for t in texts]
     data = np.frombuffer(b"".join(parts), np.uint8)
@@ -75,14 +88,18 @@ def buckets_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(byte)) - np.repeat(first, size)
     hashed = np.add.reduceat((byte + np.uint64(1)) * _FACTOR[place & (_PLACES - 1)], first)
     hashed = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return (hashed >> np.uint64(48)).astype(np.int64), count
+    return hashed.view(np.int64), count
+
 
+def classes_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> 48) & (CLASSES - 1)
 
-def padded(buckets: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def padded(hashes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes of several texts in a row with padding around each, and the places of the words."""
-    place = np.arange(len(buckets)) + WINDOW * (1 + np.repeat(np.arange(len(count)), count))
-    classes = np.full(len(buckets) + WINDOW * (len(count) + 1), CLASSES, np.int64)
-    classes[place] = buckets & (CLASSES - 1)
+    place = np.arange(len(hashes)) + WINDOW * (1 + np.repeat(np.arange(len(count)), count))
+    classes = np.full(len(hashes) + WINDOW * (len(count) + 1), CLASSES, np.int64)
+    classes[place] = classes_of(hashes)
     return classes, place
 
 
@@ -172,66 +189,162 @@ def learn(model: dict, squares: dict, classes: np.ndarray, a: int, b: int) -> No
         model[name] -= RATE * g / (np.sqrt(squares[name]) + 1e-6)
 
 
-def train(docs: DataFrame, text: str = "text") -> dict:
-    """A model of all texts: weights and counts of the word buckets.
-
-    Every task makes one pass over its texts from the same first weights, and counts
-    its words; weights are averaged by the number of words, counts added, both on the
-    executors. The driver receives one number for each weight and bucket, however
-    large the corpus is. Null and empty texts add nothing; an empty corpus gives the
-    first weights.
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``word`` (a hash), ``n``: how often each word occurs in all texts; one row a distinct word, written."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches, text):
+            words, n = np.unique(hashes_of(texts)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    return stored(docs.select(F.col(f"`{text}`").alias(text)).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+class _Unit:
+    """Training of one unit from given weights, a stretch of texts at a time."""
+
+    def __init__(self, start: dict):
+        self.model = {name: w.copy() for name, w in start.items()}
+        self.squares = {name: np.full(shape, 1e-8, np.float32) for name, shape in SHAPES.items()}
+        self.words, self.texts, self.held = 0, [], 0
+
+    def add(self, text: str) -> None:
+        self.texts.append(text)
+        self.held += len(text)
+        if self.held >= STRETCH:
+            self.learn()
+
+    def learn(self) -> None:
+        hashes, count = hashes_of(self.texts)
+        classes, _ = padded(hashes, count)
+        self.words += len(hashes)
+        for a in range(WINDOW, len(classes) - WINDOW, BATCH):
+            learn(self.model, self.squares, classes, a, min(a + BATCH, len(classes) - WINDOW))
+        self.texts, self.held = [], 0
+
+    def result(self) -> Iterator[pa.RecordBatch]:
+        """The weights in whole numbers, times the unit's share."""
+        self.learn()
+        if self.words:
+            share = -(-self.words // WEIGHT_WORDS)
+            values = np.append(np.rint(flat(self.model).astype(float) * PARTS).astype(np.int64) * share, share)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["number", "value"])
+
+
+def _round(texts: DataFrame, weights) -> np.ndarray | None:
+    """The average of the weights after each unit of ``unit, text`` has been learnt from, in its own order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, current = None, None
+        for batch in batches:
+            of, texts = batch.column(0), batch.column(1)
+            for k in range(batch.num_rows):
+                number = of[k].as_py()
+                if number != current:
+                    if unit:
+                        yield from unit.result()
+                    unit, current = _Unit(unflat(weights.value)), number
+                unit.add(texts[k].as_py())
+        if unit:
+            yield from unit.result()
+
+    got = texts.mapInArrow(run, "number int, value long").groupBy("number").agg(F.sum("value").alias("value")).toPandas()
+    if not len(got):
+        return None
+    values = got.sort_values("number")["value"].to_numpy(np.int64)
+    return values[:-1] / (PARTS * float(values[-1]))
+
+
+def train(docs: DataFrame, text: str = "text", spread: Sequence[str] = ()) -> dict:
+    """A model of all texts: ``weights`` of the network, ``counts`` of every word as a frame, words and distinct words of each class.
+
+    Texts are dealt to units of about ``UNIT_WORDS`` words by a hash, so the number of units grows with the
+    corpus; ``spread`` names columns that go into the hash, which deal out copies of one text. Each text is learnt from once: in each of
+    ``ROUNDS`` rounds a part of the units starts from the same weights, and their
+    results are averaged by their words. A unit is a stream of texts in the order of their hash,
+    so neither the weights, bit by bit, nor the memory depend on the partitions. The driver receives
+    one number for each weight and class, however large the corpus is. Null and empty
+    texts add nothing; an empty corpus gives the first weights.
     """
+    counts = word_counts(docs, text)
+    of_class = counts.groupBy(F.shiftright("word", 48).bitwiseAND(F.lit(CLASSES - 1)).cast("int").alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("distinct"))
+    totals = np.zeros((CLASSES, 2), np.int64)
+    for number, n, distinct in of_class.collect():
+        totals[number] = n, distinct
+    units = ROUNDS * max(1, -(-int(totals[:, 0].sum()) // (UNIT_WORDS * ROUNDS)))
+    columns = [F.col(f"`{c}`") for c in (text, *spread)]
+    placed = docs.where(F.col(f"`{text}`") != "").select(
+        F.pmod(F.xxhash64(*columns), F.lit(units)).cast("int").alias("unit"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.lit(1), *columns).alias("place"))
+    weights = flat(initial()).astype(float)
+    for number in range(ROUNDS):
+        mine = placed.where(F.pmod("unit", F.lit(ROUNDS)) == number).repartition(max(1, min(units // ROUNDS, 4096)), "unit")
+        ordered = mine.sortWithinPartitions("unit", "place", "text").select("unit", "text")
+        found = _round(ordered, docs.sparkSession.sparkContext.broadcast(weights))
+        weights = weights if found is None else found
+    return {"weights": unflat(weights), "counts": counts, "classes": totals}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = initial()
-        squares = {name: np.full(shape, 1e-8, np.float32) for name, shape in SHAPES.items()}
-        counts, words = np.zeros(BUCKETS), 0
-        for _, texts in slices(batches, text, 1_000_000):
-            buckets, count = buckets_of(texts)
-            classes, _ = padded(buckets, count)
-            counts += np.bincount(buckets, minlength=BUCKETS)
-            words += len(buckets)
-            for a in range(WINDOW, len(classes) - WINDOW, BATCH):
-                learn(model, squares, classes, a, min(a + BATCH, len(classes) - WINDOW))
-        if words:
-            values = np.concatenate([flat(model).astype(float) * words, counts, [words]])
-            some = np.flatnonzero(values)
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(values[some])], names=["number", "value"])
-
-    sums = docs.select(F.col(text)).mapInArrow(run, "number int, value double").groupBy("number").agg(F.sum("value").alias("value"))
-    values = np.zeros(WEIGHTS + BUCKETS + 1)
-    got = sums.toPandas()
-    values[got["number"].to_numpy(np.int64)] = got["value"].to_numpy()
-    weights = unflat(values[:WEIGHTS] / values[-1]) if values[-1] else initial()
-    return {"weights": weights, "counts": values[WEIGHTS:-1]}
-
-
-def bucket_log_probs(counts: np.ndarray) -> np.ndarray:
-    """Log-probability of each bucket given its class, by the corpus's counts and one more."""
-    of_class = np.zeros(CLASSES)
-    np.add.at(of_class, np.arange(BUCKETS) & (CLASSES - 1), counts + 1)
-    return np.log((counts + 1) / of_class[np.arange(BUCKETS) & (CLASSES - 1)])
-
-
-def score(docs: DataFrame, model: dict, text: str = "text", words: str = "n_words", out: str = "log_prob") -> DataFrame:
+
+def frequent_words(model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The words that are more than one in ``FREQUENT`` of all, sorted, and their counts: fewer than ``FREQUENT``."""
+    got = model["counts"].where(F.col("n") * FREQUENT > int(model["classes"][:, 0].sum())).toPandas()
+    got = got.sort_values("word")
+    return got["word"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+
+
+def class_bases(classes: np.ndarray) -> np.ndarray:
+    """Log of what divides a word's count and one, by class: its words, distinct words and one."""
+    return np.log(classes.sum(1) + 1.0)
+
+
+def log_parts(n: np.ndarray) -> np.ndarray:
+    return np.rint(np.log(n + 1.0) * LOG_PARTS).astype(np.int64)
+
+
+def score(docs: DataFrame, model: dict, text: str = "text", words: str = "n_words", out: str = "log_prob", carry: bool = True) -> DataFrame:
     """The rows with the number of words and the sum of their conditional log-probabilities.
 
     Each word is predicted from ``WINDOW`` words on either side, as a class by the
-    network and as a bucket of its class by the corpus's counts. Null and empty texts
-    have no word and 0. Rows are independent; columns of the names given for the
-    results are replaced.
+    network, and as itself within its class by its count in the corpus and one. Frequent words are looked up
+    in the tasks, all others joined with the table of counts; a word that the corpus
+    doesn't have counts as none. Null and empty texts have no word and 0. Rows are
+    independent; columns of the names given for the results are replaced. The text is left out unless ``carry``, since
+    the rows are written on the way.
     """
+    spark = docs.sparkSession
     kept = docs.drop(words, out)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*kept.schema.fields, T.StructField(words, T.LongType()), T.StructField(out, T.DoubleType())])
+    names = [c for c in kept.columns if carry or c != text]
+    packed = kept.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("kept") if names else F.struct(F.lit(1)).alias("kept"),
+        F.col(f"`{text}`").alias("text"))
+    sent = spark.sparkContext.broadcast((model["weights"], model["classes"], *frequent_words(model)))
+    schema = T.StructType([f for f in packed.schema.fields if f.name != "text"] + [
+        T.StructField("n", T.LongType()), T.StructField("classes", T.DoubleType()), T.StructField("frequent", T.LongType()),
+        T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        weights, finer = sent.value["weights"], bucket_log_probs(sent.value["counts"])
-        for batch, texts in slices(batches, text, 1_000_000):
-            buckets, count = buckets_of(texts)
-            classes, place = padded(buckets, count)
-            sums = np.concatenate([[0.0], np.cumsum(class_log_probs(weights, classes)[place] + finer[buckets])])
+        weights, totals, common, n_common = sent.value
+        base, value = class_bases(totals), log_parts(n_common)
+        for batch, texts in slices(batches, "text", 1_000_000):
+            hashes, count = hashes_of(texts)
+            classes, place = padded(hashes, count)
             ends = np.cumsum(count)
-            yield with_columns(batch, {words: pa.array(count.astype(np.int64)), out: pa.array(sums[ends] - sums[ends - count])})
-
-    return kept.mapInArrow(run, schema)
+            at = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
+            known = common[at] == hashes if len(common) else np.zeros(len(hashes), bool)
+            by_class = np.append(0.0, np.cumsum(class_log_probs(weights, classes)[place] - base[classes_of(hashes)]))
+            by_count = np.append(0, np.cumsum(np.where(known, value[at], 0) if len(common) else np.zeros(len(hashes), np.int64)))
+            # the others by text, each once with how often it occurs
+            of_text = np.repeat(np.arange(len(count)), count)[~known]
+            order = np.lexsort((hashes[~known], of_text))
+            word, owner = hashes[~known][order], of_text[order]
+            first = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (owner[1:] != owner[:-1]))) if len(word) else np.zeros(0, np.int64)
+            offsets = np.searchsorted(owner[first], np.arange(len(count) + 1)).astype(np.int32)
+            yield with_columns(batch.drop_columns(["text"]), {
+                "n": pa.array(count.astype(np.int64)), "classes": pa.array(by_class[ends] - by_class[ends - count]), "frequent": pa.array(by_count[ends] - by_count[ends - count]),
+                "rare": pa.ListArray.from_arrays(offsets, pa.array(word[first])),
+                "times": pa.ListArray.from_arrays(offsets, pa.array(np.diff(first, append=len(word)).astype(np.int32)))})
+
+    rows = stored(packed.mapInArrow(run, schema), "scored")
+    others = rows.select("row", F.inline(F.arrays_zip("rare", "times"))).toDF("row", "word", "times")
+    counted = others.join(model["counts"], "word").select("row", (F.col("times") * F.rint(F.log(F.col("n") + 1.0) * LOG_PARTS).cast("long")).alias("value"))
+    of_row = counted.groupBy("row").agg(F.sum("value").alias("value"))
+    total = F.col("classes") + (F.col("frequent") + F.coalesce("value", F.lit(0))) / LOG_PARTS
+    return rows.drop("rare", "times").join(of_row, "row", "left").select(
+        *[F.col("kept")[c].alias(c) for c in names], F.col("n").alias(words), total.alias(out))

@@ -112,7 +112,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Pseudo-likelihood of every text under a model of all texts."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return masked_lm.score(docs, masked_lm.train(docs)).select(
+    return masked_lm.score(docs, masked_lm.train(docs, spread=["doc_id"]), carry=False).select(
         "doc_id", "n_words", "log_prob", F.expr("if(n_words > 0, exp(-log_prob / n_words), null)").alias("perplexity"))
 
 

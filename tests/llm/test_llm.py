@@ -340,7 +340,7 @@ def test_copies_are_likelier_than_texts_of_their_kind(spark):
     draw = np.random.default_rng(9)
     word = lambda: "".join(draw.choice(list("abcdefghij"), 7))
     common = [word() for _ in range(40)]
-    made = [" ".join(draw.choice(common) if draw.random() < 0.5 else word() for _ in range(60)) for _ in range(300)]
+    made = [" ".join(draw.choice(common) if k % 2 else word() for k in range(60)) for _ in range(300)]  # as many rare words in each
     rows = list(enumerate(made)) + [(1000 + k, made[k]) for k in range(30)]
     docs = texts(spark, rows)
     scores = {r["doc_id"]: r["log_prob"] / r["n_words"] for r in masked_lm.score(docs, masked_lm.train(docs, spread=["doc_id"])).collect()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.llm.shared import stored
+from veriframe.llm.shared import numbered, stored
 
 #: A line of fewer words has only exact duplicates: one edit among five words is a similarity of 0.8.
 LEAST_WORDS = 5
@@ -158,8 +158,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
     come last, are ordered by a hash of their text. All columns stay in order;
     ``counts`` names two more, the numbers of lines with a word before and after.
     """
-    names = [c for c in docs.columns if c not in (counts or ())]
-    marked = docs.select(*names).withColumn("_doc", _document(f"`{doc_id}`", f"`{text}`"))
+    kept_docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (counts or ())])
+    plain, named = numbered(kept_docs)
+    doc_id, text = named[doc_id], named[text]
+    marked = plain.withColumn("_doc", _document(doc_id, text))
     found = marked.select(F.col("_doc").alias("doc"), F.col(text).alias("text")).where("text is not null")
     unique = stored(_unique(lines(found)), "lines")
     kept = unique.select("place").join(near_lines(found, unique), "place", "left_anti")
@@ -179,4 +181,4 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
     more = [
         F.coalesce(F.when(F.col(text).isNull(), 0).otherwise(F.col("_n")), F.lit(0)).cast("long").alias(counts[0]),
         F.coalesce(F.size("_kept"), F.lit(0)).cast("long").alias(counts[1])] if counts else []
-    return with_lines.select(*[new_text.alias(c) if c == text else F.col(c) for c in names], *more)
+    return with_lines.select(*[(new_text if c == text else F.col(c)).alias(name) for name, c in named.items()], *more)

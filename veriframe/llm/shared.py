@@ -41,3 +41,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = BATCH_CHARS
 def with_columns(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBatch:
     """The batch with further columns at its end."""
     return pa.RecordBatch.from_arrays([*batch.columns, *more.values()], names=[*batch.schema.names, *more])
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with its columns named ``c0``, ``c1`` and so on, and the new name of each: no working column can clash with them."""
+    names = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veriframe.llm.components import components
-from veriframe.llm.shared import slices, stored, with_columns
+from veriframe.llm.shared import numbered, slices, stored, with_columns
 
 BITS = 64
 SEED = 42
@@ -228,14 +228,15 @@ def only(docs: DataFrame, rows: DataFrame, first: DataFrame, doc_id: str, text:
     """The documents whose ``row`` is among the first ones, of rows that repeat id and text one; ``rows`` has that of all."""
     wanted = rows.groupBy("row").agg(F.count("*").alias("rows")).join(first.select("row"), "row", "left_semi")
     kept = stored(wanted.select("rows", "row.id", "row.one", "row.other"), "kept")
-    hashed = docs.withColumns({"_one": F.xxhash64(text), "_other": F.xxhash64(F.lit(1), text)})
+    plain, named = numbered(docs)
+    hashed = plain.withColumns({"one": F.xxhash64(named[text]), "other": F.xxhash64(F.lit(1), named[text])})
 
     def among(part: DataFrame) -> DataFrame:
-        same = (hashed["_one"] == part["one"]) & (hashed["_other"] == part["other"]) & hashed[doc_id].eqNullSafe(part["id"])
+        same = (hashed["one"] == part["one"]) & (hashed["other"] == part["other"]) & hashed[named[doc_id]].eqNullSafe(part["id"])
         return hashed.join(part, same, "left_semi")
 
     single, several = among(kept.where("rows = 1")), among(kept.where("rows > 1"))
-    return single.unionAll(several.dropDuplicates([doc_id, "_one", "_other"])).drop("_one", "_other")
+    return single.unionAll(several.dropDuplicates([named[doc_id], "one", "other"])).drop("one", "other").toDF(*docs.columns)
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2, shingle: int = 3) -> DataFrame:

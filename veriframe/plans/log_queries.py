@@ -10,6 +10,7 @@ from veriframe.functions import text
 from veriframe.functions.time import day_text, epoch_to_timestamp, resolve_load_date
 from veriframe.operators import logs, results, runs, sensors
 from veriframe.operators.anomaly import against_history, against_lookback, against_month_end, against_running
+from veriframe.operators.messages import lines_with_messages, message_hits_from
 from veriframe.operators.profile import metric, profile
 from veriframe.plans import standins as st
 from veriframe.plans.registered import query
@@ -65,6 +66,35 @@ def check_log_messages(spark, folder):
     return logs.message_hits(load(spark, folder, "documents"), "text", MESSAGES)
 
 
+# every run of three words of the benchmark is a message
+PHRASES = """
+    w AS (SELECT item_id, string_split(text, ' ') AS words FROM benchmark WHERE text IS NOT NULL),
+    p AS (SELECT DISTINCT unnest(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) AS message FROM w)"""
+
+
+def _phrases(spark, folder):
+    words = load(spark, folder, "benchmark").select(F.split("text", " ").alias("words")).where("size(words) >= 3")
+    return words.select(F.explode(F.expr("transform(sequence(1, size(words) - 2), i -> array_join(slice(words, i, 3), ' '))")).alias("message"))
+
+
+@query("check_log_messages_table", f"""
+    WITH {PHRASES},
+         h AS (SELECT message, (SELECT count(*) FROM documents WHERE contains(text, message)) AS hits FROM p)
+    SELECT message, hits, CASE WHEN (SELECT max(hits) FROM h) > 0 THEN 'pass' ELSE 'fail' END AS status FROM h
+""")
+def check_log_messages_table(spark, folder):
+    return message_hits_from(load(spark, folder, "documents"), "text", _phrases(spark, folder))
+
+
+@query("filter_log_messages_table", f"""
+    WITH {PHRASES}
+    SELECT doc_id, count(*) AS messages FROM documents JOIN p ON contains(text, message) GROUP BY doc_id
+""")
+def filter_log_messages_table(spark, folder):
+    lines = load(spark, folder, "documents").select("doc_id", "text")
+    return lines_with_messages(lines, "text", _phrases(spark, folder)).select("doc_id", "messages")
+
+
 @query("filter_log_messages", """
     SELECT doc_id FROM documents WHERE regexp_matches(text, 'Copyright|[0-9]{3}-[0-9]{4}|@example')
 """)

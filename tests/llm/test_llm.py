@@ -567,6 +567,13 @@ def test_archives_round_trip(spark, tmp_path):
     assert broken.where("not complete").count() == segments.where("number = 2").count()
 
 
+def test_archives_of_any_bytes_in_many_segments(spark, tmp_path):
+    path, data = str(tmp_path / "bytes"), np.random.default_rng(3).integers(0, 256, 300_000, dtype=np.uint8).tobytes()
+    warc.write_archives(spark.createDataFrame([(1, data)], "page_id long, html binary"), path, segment=100)
+    row = warc.read_archives(spark, path).first()
+    assert bytes(row.payload) == data and warc.read_segments(spark, path).count() > 3_000
+
+
 def test_archives_of_nothing(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(pages(spark, []), path)

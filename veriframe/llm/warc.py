@@ -178,7 +178,8 @@ def reassembled(segments: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"),
         F.max("total").alias("total"),
         *[F.min(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("type", "uri", "refers", "digest")])
-    block = F.expr("aggregate(transform(parts, p -> p.block), cast('' as binary), (a, b) -> concat(a, b))")
+    # one buffer for all parts, any bytes; folding them by concat would copy the block again for each part
+    block = F.expr("cast(array_join(transform(parts, p -> cast(p.block as string)), '') as binary)")
     whole = F.expr("transform(parts, p -> p.number) = sequence(1, size(parts))")
     return parts.withColumn("block", block).select(
         "origin", "type", "uri", "refers", "digest", "block",

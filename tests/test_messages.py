@@ -47,6 +47,13 @@ def test_a_message_across_pieces_of_a_long_text(spark):
     assert found == wanted
 
 
+def test_blocks_of_the_index(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK_BYTES", 200)
+    lines = [f"task {k} of run {k % 7} ended" for k in range(60)]
+    found, wanted = compared(spark, lines, [f"task {k} of" for k in range(20)] + ["of run 3", "n 5", "ended", "task"])
+    assert found == wanted
+
+
 def test_nothing_to_find(spark):
     for lines, messages in [(["a"], []), ([], ["abcde", "b", ""]), (["a"], [None]), ([None], [""]), (["abc"], [""])]:
         found, wanted = compared(spark, lines, messages)

@@ -1,54 +1,95 @@
 """Many messages, held in a table, against many lines: an inverted index of rare character grams, then verification.
 
-Each message is entered once, under the gram of its own that the fewest lines
-hold. A line is compared only with messages that are entered under one of its
-grams, so the work follows the lines and the true hits, not the number of
-messages times the number of lines. Messages are plain text, never patterns.
+Each message is entered once, under the gram of its own that the lines hold
+least often. A piece of a line is compared only with messages that are entered
+under one of its grams, so the work follows the lines and the true hits, not
+the number of messages times the number of lines. Messages are plain text,
+never patterns.
+
+A message with a space and enough behind it is entered by grams that begin
+after a space, others by grams that begin anywhere; texts list the second kind,
+which are several times as many, only when some message needs them.
 
 Equal lines are compared once, whatever number of rows they are. A text of any
-length is cut into pieces that overlap, so a row of grams has a bounded size.
+length is cut into pieces that overlap by the longest message, so a row has a
+bounded size and each hit lies whole in a piece. Grams are never shuffled: the
+index goes out in blocks of bounded size, one pass over the pieces each.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.operators.verdict import FAIL, PASS
 from veriframe.sources.workspace import written
 
-#: Characters of a gram; a shorter message is entered under the whole of itself.
-GRAM = 4
-#: Characters of a text whose grams are listed at a time.
+#: Characters of grams after a space, the first that fits; of grams anywhere at most so many.
+AFTER_SPACE, ANYWHERE = (8, 4), 4
+#: Grams of a message among which the rarest is looked for.
+TRIED = 16
+#: Characters of a text that are handled at a time (the longest message, if that is longer).
 PIECE = 4_096
+#: Bytes of the index that are sent to every task at once.
+BLOCK_BYTES = 32_000_000
 
 
-def _grams(text: str, sizes: list[int]) -> Column:
-    """The distinct grams of a text, one list per piece; a gram that crosses a border belongs to the piece it begins in."""
-    pieces = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{PIECE + GRAM - 1}}})).{{1,{PIECE}}}"), F.lit(1))
-    lists = [lambda p, n=n: F.regexp_extract_all(p, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
-    return F.transform(pieces, lambda p: F.array_distinct(F.concat(*[grams(p) for grams in lists])))
+def _pattern(kind: str) -> str:
+    """Grams of a kind: ``s8`` are the 8 characters after a space, ``a4`` any 4."""
+    return f"(?s){' ' if kind[0] == 's' else ''}(?=(.{{{kind[1:]}}}))"
 
 
-def _gram_rows(texts: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
-    """One row per piece and gram of the texts."""
-    pieces = texts.select(*keep, F.explode(_grams("text", sizes)).alias("grams"))
-    return pieces.select(*keep, F.explode("grams").alias("gram"))
+def _kind(message: str) -> Column:
+    """The kind of grams by which a message is entered."""
+    behind = F.char_length(message) - F.instr(message, " ")
+    anywhere = F.concat(F.lit("a"), F.least(F.char_length(message), F.lit(ANYWHERE)).cast("string"))
+    spaced = reduce(lambda rest, n: F.when(F.contains(message, F.lit(" ")) & (behind >= n), F.lit(f"s{n}")).otherwise(rest), sorted(AFTER_SPACE), anywhere)
+    return F.when(F.col(message) == "", F.lit("")).otherwise(spaced)
 
 
-def message_index(texts: DataFrame, messages: DataFrame, sizes: list[int]) -> DataFrame:
-    """``gram, message``: each message under its rarest gram; messages with a gram that no text holds are left out.
+def _grams(text: str, kinds: list[str]) -> Column:
+    return F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(_pattern(k)), F.lit(1)) for k in kinds]))
 
-    The grams of the texts are counted in each task before they are shuffled.
-    """
-    counts = _gram_rows(texts, sizes).groupBy("gram").agg(F.count("*").alias("held"))
-    width = F.least(F.char_length("message"), F.lit(GRAM))
-    own = _gram_rows(messages.select("message", F.col("message").alias("text")), sizes, "message")
+
+def _pieces(texts: DataFrame, longest: int, *keep: str) -> DataFrame:
+    """The texts in pieces, each with what follows it as far as a message may reach."""
+    size = max(PIECE, longest)
+    cut = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{size + longest}}})).{{1,{size}}}"), F.lit(1))
+    return texts.select(*keep, F.explode(cut).alias("piece"))
+
+
+def _dealt(entries: DataFrame) -> list[DataFrame]:
+    """The entries in blocks of about ``BLOCK_BYTES``, each for a broadcast."""
+    names = entries.columns
+    width = reduce(lambda a, b: a + b, [F.octet_length(c) for c in names], F.lit(64))
+    total = entries.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_BYTES))
+    return [F.broadcast(entries.where(F.pmod(F.xxhash64(*names), F.lit(blocks)) == k)) for k in range(blocks)]
+
+
+def message_index(pieces: DataFrame, messages: DataFrame) -> DataFrame:
+    """``gram, message``: each message under its rarest gram; messages with a gram that no piece holds are left out."""
+    kinds = _kinds(messages)
+    lists = reduce(lambda rest, k: F.when(F.col("kind") == k, _grams("message", [k])).otherwise(rest), kinds, F.array().cast("array<string>"))
     # a gram may begin inside a character of two code units; such a one is no part of the message's text
-    own = own.where((F.char_length("gram") == width) & F.contains("message", "gram")).distinct()
-    entered = own.join(counts, "gram", "left").groupBy("message").agg(
-        F.min(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "gram")).alias("rarest"))
-    return entered.where("rarest.held > 0").select(F.col("rarest.gram").alias("gram"), "message")
+    inside = F.filter(lists, lambda g: (F.char_length(g) == F.substring("kind", 2, 9).cast("int")) & F.contains("message", g))
+    hashed = F.slice(F.sort_array(F.transform(inside, lambda g: F.struct(F.xxhash64(g).alias("hash"), g.alias("gram")))), 1, TRIED)
+    own = written(messages.select("message", F.explode(hashed).alias("tried")).select("tried.gram", "message"), "grams")
+    listed = pieces.select(F.explode(_grams("piece", kinds)).alias("gram"))
+    counts = reduce(DataFrame.unionByName, [
+        listed.join(block, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("held"))
+        for block in _dealt(own.select("gram").distinct())])
+    entered = own.join(counts, "gram").groupBy("message").agg(
+        F.min(F.struct("held", "gram")).alias("rarest"), F.count("*").alias("met"))
+    tried = own.groupBy("message").agg(F.count("*").alias("tried"))
+    return entered.join(tried, "message").where("met = tried").select(F.col("rarest.gram").alias("gram"), "message")
+
+
+def _kinds(messages: DataFrame) -> list[str]:
+    """The kinds of grams among the messages, of which there are seven at most."""
+    return sorted(r[0] for r in messages.select("kind").distinct().collect())
 
 
 def _messages(messages: DataFrame, column: str) -> DataFrame:
@@ -58,22 +99,26 @@ def _messages(messages: DataFrame, column: str) -> DataFrame:
 def _distinct_texts(lines: DataFrame, column: str) -> DataFrame:
     """``key, text, rows`` of the distinct texts that are not null; a hot line leaves each task as one row."""
     texts = lines.select(F.col(column).cast("string").alias("text")).where("text is not null")
-    return written(texts.groupBy("text").agg(F.count("*").alias("rows")).select(F.sha2("text", 256).alias("key"), "text", "rows"), "texts")
+    return written(texts.groupBy("text").agg(F.count("*").alias("rows")).select(_key("text").alias("key"), "text", "rows"), "texts")
+
+
+def _key(text: str) -> Column:
+    return F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
 
 
 def _held(texts: DataFrame, messages: DataFrame) -> DataFrame:
     """``key, message, rows``: the distinct texts and the messages each of them holds, once a pair."""
-    # at most GRAM + 1 different numbers
-    sizes = sorted(r[0] for r in messages.select(F.least(F.char_length("message"), F.lit(GRAM))).distinct().collect())
-    everywhere = texts.select("key", F.lit("").alias("message"), "rows").where(F.lit(0 in sizes))
-    solid, sizes = messages.where("message <> ''"), [n for n in sizes if n]
-    if not sizes:
+    marked = messages.withColumn("kind", _kind("message"))
+    found = marked.agg(F.collect_set("kind").alias("kinds"), F.max(F.char_length("message")).alias("longest")).first()
+    everywhere = texts.select("key", F.lit("").alias("message"), "rows").where(F.lit("" in found.kinds))
+    kinds = sorted(k for k in found.kinds if k)
+    if not kinds:
         return everywhere
-    # written, so that its size is known when the join with every gram of every text is planned
-    index = written(message_index(texts, solid, sizes), "index")
-    met = _gram_rows(texts, sizes, "key").join(index, "gram").select("key", "message").distinct()
-    found = met.join(texts, "key").where(F.contains("text", "message"))
-    return found.select("key", "message", "rows").unionByName(everywhere)
+    pieces = _pieces(texts, found.longest, "key", "rows")
+    index = written(message_index(pieces, marked.where("kind <> ''")), "index")
+    listed = pieces.select("key", "rows", "piece", F.explode(_grams("piece", kinds)).alias("gram"))
+    met = [listed.join(block, "gram").where(F.contains("piece", "message")).select("key", "message", "rows") for block in _dealt(index)]
+    return reduce(DataFrame.unionByName, met).groupBy("key", "message").agg(F.max("rows").alias("rows")).unionByName(everywhere)
 
 
 def message_hits_from(lines: DataFrame, column: str, messages: DataFrame, message_column: str = "message") -> DataFrame:
@@ -100,4 +145,4 @@ def lines_with_messages(
         key += "_"
     held = _held(_distinct_texts(lines, column), _messages(messages, message_column))
     counted = held.groupBy("key").agg(F.count("*").alias(count_column)).withColumnRenamed("key", key)
-    return lines.withColumn(key, F.sha2(F.col(column).cast("string"), 256)).join(counted, key).drop(key)
+    return lines.withColumn(key, _key(column)).join(counted, key).drop(key)

@@ -6,7 +6,7 @@ under one of its grams, so the work follows the lines and the true hits, not
 the number of messages times the number of lines. Messages are plain text,
 never patterns.
 
-A message with a space and enough behind it is entered by grams that begin
+A message with characters after a space is entered by grams that begin
 after a space, others by grams that begin anywhere; texts list the second kind,
 which are several times as many, only when some message needs them.
 
@@ -27,7 +27,7 @@ from veriframe.operators.verdict import FAIL, PASS
 from veriframe.sources.workspace import written
 
 #: Characters of grams after a space, the first that fits; of grams anywhere at most so many.
-AFTER_SPACE, ANYWHERE = (8, 4), 4
+AFTER_SPACE, ANYWHERE = (8, 4, 2, 1), 4
 #: Grams of a message among which the rarest is looked for.
 TRIED = 16
 #: Characters of a text that are handled at a time (the longest message, if that is longer).
@@ -88,7 +88,7 @@ def message_index(pieces: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def _kinds(messages: DataFrame) -> list[str]:
-    """The kinds of grams among the messages, of which there are seven at most."""
+    """The kinds of grams among the messages, of which there are eight at most."""
     return sorted(r[0] for r in messages.select("kind").distinct().collect())
 
 

@@ -1,14 +1,15 @@
 """Many messages, held in a table, against many lines: an inverted index of rare character grams, then verification.
 
-Each message is entered once, under the gram of its own that the lines hold
-least often. A piece of a line is compared only with messages that are entered
+Each message is entered once, under the gram of its own that a share of the lines
+holds least often (which gram it is changes the work, never the result). A piece of a line is compared only with messages that are entered
 under one of its grams, so the work follows the lines and the true hits, not
 the number of messages times the number of lines. Messages are plain text,
 never patterns.
 
-A message with characters after a space is entered by grams that begin
-after a space, others by grams that begin anywhere; texts list the second kind,
-which are several times as many, only when some message needs them.
+A message with a space is entered by grams around or after its spaces, the first
+size that fits, others by grams that begin anywhere; texts list a kind of gram only
+when some message needs it. A gram that reaches over a space tells more than the
+short word behind it: few pieces are compared with a message in vain.
 
 Equal lines are compared once, whatever number of rows they are. A text of any
 length is cut into pieces that overlap by the longest message, so a row has a
@@ -26,10 +27,14 @@ from pyspark.sql import functions as F
 from veriframe.operators.verdict import FAIL, PASS
 from veriframe.sources.workspace import written
 
-#: Characters of grams after a space, the first that fits; of grams anywhere at most so many.
-AFTER_SPACE, ANYWHERE = (8, 4, 2, 1), 4
+#: Characters before and after the space of a gram, the first that fits (without any before, the gram begins after the space).
+AT_SPACE = ((2, 5), (2, 2), (0, 2), (0, 1))
+#: Characters of grams anywhere, at most.
+ANYWHERE = 4
 #: Grams of a message among which the rarest is looked for.
 TRIED = 16
+#: Grams are counted in one of so many texts, by hash.
+SHARE = 16
 #: Characters of a text that are handled at a time (the longest message, if that is longer).
 PIECE = 4_096
 #: Bytes of the index that are sent to every task at once.
@@ -37,15 +42,29 @@ BLOCK_BYTES = 32_000_000
 
 
 def _pattern(kind: str) -> str:
-    """Grams of a kind: ``s8`` are the 8 characters after a space, ``a4`` any 4."""
-    return f"(?s){' ' if kind[0] == 's' else ''}(?=(.{{{kind[1:]}}}))"
+    """Grams of a kind: ``s2.5`` are a space with 2 characters before and 5 after, ``s0.2`` the 2 after a space, ``a4`` any 4."""
+    if kind[0] == "a":
+        return f"(?s)(?=(.{{{kind[1:]}}}))"
+    before, after = kind[1:].split(".")
+    # looked for from the space on, which most positions are not
+    return f"(?s) (?=(.{{{after}}}))" if before == "0" else f"(?s) (?<=(?=(.{{{before}}} .{{{after}}})).{{{before}}} )"
+
+
+def _length(kind: str) -> int:
+    """Characters of the grams of a kind."""
+    if kind[0] == "a":
+        return int(kind[1:])
+    before, after = map(int, kind[1:].split("."))
+    return before + 1 + after if before else after
 
 
 def _kind(message: str) -> Column:
-    """The kind of grams by which a message is entered."""
-    behind = F.char_length(message) - F.instr(message, " ")
+    """The kind of grams by which a message is entered: at a space with only characters of one code unit around, which patterns count one by one."""
+    plain = r"[^\x{10000}-\x{10FFFF}]"
     anywhere = F.concat(F.lit("a"), F.least(F.char_length(message), F.lit(ANYWHERE)).cast("string"))
-    spaced = reduce(lambda rest, n: F.when(F.contains(message, F.lit(" ")) & (behind >= n), F.lit(f"s{n}")).otherwise(rest), sorted(AFTER_SPACE), anywhere)
+    spaced = reduce(
+        lambda rest, size: F.when(F.col(message).rlike(f"{plain}{{{size[0]}}} {plain}{{{size[1]}}}"), F.lit(f"s{size[0]}.{size[1]}")).otherwise(rest),
+        reversed(AT_SPACE), anywhere)
     return F.when(F.col(message) == "", F.lit("")).otherwise(spaced)
 
 
@@ -70,25 +89,27 @@ def _dealt(entries: DataFrame) -> list[DataFrame]:
 
 
 def message_index(pieces: DataFrame, messages: DataFrame) -> DataFrame:
-    """``gram, message``: each message under its rarest gram; messages with a gram that no piece holds are left out."""
+    """``gram, message``: each message under the gram of its own that the pieces hold least often."""
     kinds = _kinds(messages)
-    lists = reduce(lambda rest, k: F.when(F.col("kind") == k, _grams("message", [k])).otherwise(rest), kinds, F.array().cast("array<string>"))
+    lists, length = F.array().cast("array<string>"), F.lit(0)
+    for kind in kinds:
+        lists = F.when(F.col("kind") == kind, _grams("message", [kind])).otherwise(lists)
+        length = F.when(F.col("kind") == kind, _length(kind)).otherwise(length)
     # a gram may begin inside a character of two code units; such a one is no part of the message's text
-    inside = F.filter(lists, lambda g: (F.char_length(g) == F.substring("kind", 2, 9).cast("int")) & F.contains("message", g))
+    inside = F.filter(lists, lambda g: (F.char_length(g) == length) & F.contains("message", g))
     hashed = F.slice(F.sort_array(F.transform(inside, lambda g: F.struct(F.xxhash64(g).alias("hash"), g.alias("gram")))), 1, TRIED)
     own = written(messages.select("message", F.explode(hashed).alias("tried")).select("tried.gram", "message"), "grams")
     listed = pieces.select(F.explode(_grams("piece", kinds)).alias("gram"))
     counts = reduce(DataFrame.unionByName, [
         listed.join(block, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("held"))
         for block in _dealt(own.select("gram").distinct())])
-    entered = own.join(counts, "gram").groupBy("message").agg(
-        F.min(F.struct("held", "gram")).alias("rarest"), F.count("*").alias("met"))
-    tried = own.groupBy("message").agg(F.count("*").alias("tried"))
-    return entered.join(tried, "message").where("met = tried").select(F.col("rarest.gram").alias("gram"), "message")
+    entered = own.join(counts, "gram", "left").groupBy("message").agg(
+        F.min(F.struct(F.coalesce("held", F.lit(0).cast("bigint")).alias("held"), F.xxhash64("gram").alias("hash"), "gram")).alias("rarest"))
+    return entered.select(F.col("rarest.gram").alias("gram"), "message")
 
 
 def _kinds(messages: DataFrame) -> list[str]:
-    """The kinds of grams among the messages, of which there are eight at most."""
+    """The kinds of grams among the messages, of which there are a dozen at most."""
     return sorted(r[0] for r in messages.select("kind").distinct().collect())
 
 
@@ -115,7 +136,8 @@ def _held(texts: DataFrame, messages: DataFrame) -> DataFrame:
     if not kinds:
         return everywhere
     pieces = _pieces(texts, found.longest, "key", "rows")
-    index = written(message_index(pieces, marked.where("kind <> ''")), "index")
+    share = _pieces(texts.where(F.pmod(F.xxhash64("key"), F.lit(SHARE)) == 0), found.longest)
+    index = written(message_index(share, marked.where("kind <> ''")), "index")
     listed = pieces.select("key", "rows", "piece", F.explode(_grams("piece", kinds)).alias("gram"))
     met = [listed.join(block, "gram").where(F.contains("piece", "message")).select("key", "message", "rows") for block in _dealt(index)]
     return reduce(DataFrame.unionByName, met).groupBy("key", "message").agg(F.max("rows").alias("rows")).unionByName(everywhere)

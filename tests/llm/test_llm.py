@@ -226,6 +226,22 @@ def test_context_and_checksums():
     assert pii.spans("card 4111111111111111")[0][3] > pii.spans("order 4111111111111111")[0][3]
 
 
+def test_context_decides():
+    account, key = "DE89 3704 0044 0532 0130 00", "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    kinds = lambda text: [s[0] for s in pii.spans(text)]
+    assert kinds(f"see {account} now") == ["iban"] and kinds(f"hash {account} now") == [] and kinds(f"hash of account {account} now") == ["iban"]
+    assert kinds(f'token = "{key}"') == ["secret"] and kinds(f"see {key}") == [] and kinds(f"commit {key} of token") == []
+    assert kinds("token " + "a1" * 20) == [] and kinds("password " + "longwordwithoutanynumbersinit") == []
+    assert pii.spans(f'é token = "{key}"')[0] == ("secret", 11, 51, 0.6)
+
+
+def test_of_spans_over_the_same_characters_the_best_stays():
+    inside = "token card 4012888888881881abcdefghKLMNOP"
+    assert [s[0] for s in pii.spans(inside)] == ["card"]  # 1.0 against 0.6, the base span stays anyway
+    assert [s[0] for s in pii.spans("token order 4012888888881881abcdefghKLMNOP")] == ["card", "secret"]  # 0.4 against 0.6
+    assert [s[0] for s in pii.spans("bank token DE89370400440532013000")] == ["iban"]  # 0.7 against 0.6
+
+
 def test_pii_of_odd_rows(odd, empty):
     assert all(r["ids"] == [] for r in pii.find_pii(odd, out="ids").collect())
     assert pii.find_pii(empty).collect() == []
@@ -414,6 +430,42 @@ def test_toxicity_of_held_out_rows(spark):
     assert ((found.score >= toxicity.THRESHOLD) == (found.predicted == 1)).all() and found.score.between(0, 1).all()
 
 
+def test_weights_equal_slow_coordinates():
+    """FTRL-proximal one coordinate at a time, over features made word by word, in the order of the draw."""
+    draw = np.random.default_rng(9)
+    said = [" ".join(draw.choice(["good", "Bad", "ugly", "été", "x1"], draw.integers(0, 9))) for _ in range(60)]
+    labels = [int("bad" in t.lower()) for t in said]
+
+    def slow_features(text):
+        words, mask = [zlib.crc32(w.encode()) for w in re.findall(r"[^\W_]+", text.lower())], (1 << 64) - 1
+        found = {w * 0x9E3779B97F4A7C15 & mask for w in words}
+        for gap in toxicity.GAPS:
+            for a, b in zip(words, words[gap:]):
+                found.add((a * 0xC2B2AE3D27D4EB4F + b * 0x165667B19E3779F9 + gap) * 0x9E3779B97F4A7C15 & mask)
+        return sorted({f >> 46 for f in found})
+
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(k):
+        least = 0.0 if k == "constant" else toxicity.L1
+        if abs(z[k]) <= least:
+            return 0.0
+        return -(z[k] - math.copysign(least, z[k])) / ((toxicity.BETA + math.sqrt(n[k])) / toxicity.ALPHA + toxicity.L2)
+
+    rows, order = [[*slow_features(t), "constant"] for t in said], np.random.default_rng(7)
+    for _ in range(toxicity.PASSES):
+        for r in order.permutation(len(rows)):
+            held = {k: weight(k) for k in rows[r]}
+            g = 1 / (1 + math.exp(-sum(held.values()))) - labels[r]
+            for k, w in held.items():
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / toxicity.ALPHA * w
+                n[k] += g * g
+    numbers, values, constant = toxicity.fit(said, labels)
+    want = {k: weight(k) for k in z if k != "constant" and weight(k)}
+    assert want and sorted(want) == numbers.tolist()
+    assert np.allclose(values, [want[k] for k in sorted(want)], rtol=1e-5) and math.isclose(constant, weight("constant"), rel_tol=1e-6)
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     model = toxicity.fit(["you idiot", "good day"] * 40, [1, 0] * 40)
     assert 0 < len(model[0]) < 10  # L1 leaves few weights

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,9 +15,9 @@ from veriframe.llm.shared import slices, with_columns
 
 #: The kinds, those of the base first, in the order that breaks ties.
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "ssn")
+KINDS = (*BASE, "iban", "ssn", "secret")
 #: Score of a confirmed span before its context is read, and what a context word nearby adds or takes.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.3}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.7, "ssn": 0.3, "secret": 0.3}
 HELPS, HURTS = 0.3, 0.3
 #: Spans of the further kinds count from this score on; base spans always do.
 LEAST = 0.5
@@ -28,6 +30,7 @@ CONTEXT = {
     "phone": r"phone|tel|call|mobile|fax|telefon|tel[eé]fono|t[eé]l[eé]phone",
     "iban": r"iban|bank|account|konto|cuenta|compte",
     "ssn": r"ssn|social|security|sozialversicherung",
+    "secret": r"token|secret|password|passwd|api[ _-]?key|access[ _-]?key|bearer|credentials?",
 }
 AGAINST = {
     "email": r"example",
@@ -36,6 +39,7 @@ AGAINST = {
     "phone": r"order|serial|version|id",
     "iban": r"hash|token|key",
     "ssn": r"order|serial|part|invoice",
+    "secret": r"commit|checksum|digest|sha-?1|sha-?256|md5",
 }
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -45,6 +49,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}")
+#: Bits a character that the characters of a key have at least.
+LEAST_BITS = 3.0
 _DIGITS = re.compile(r"[0-9]+")
 #: Every card, address, account and security number has two digits as close as this.
 _ANY = re.compile(r"[0-9][ .-]?[0-9]")
@@ -66,6 +73,13 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def drawn(code: str) -> bool:
+    """Whether a word has letters and digits as mixed as those of a drawn key."""
+    if not any(c.isdigit() for c in code) or not any(c.isalpha() for c in code):
+        return False
+    return -sum(n / len(code) * log2(n / len(code)) for n in Counter(code).values()) >= LEAST_BITS
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """From each @, left over the local part as far as the last match ended, right over the domain."""
     end = 0
@@ -109,6 +123,9 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
         for found in _PHONE.finditer(text):
             if 9 <= len(_digits(found[0])) <= 15:
                 yield "phone", found.start(), found.end()
+    for found in _SECRET.finditer(text):
+        if drawn(found[0]):
+            yield "secret", found.start(), found.end()
     if not _ANY.search(text):
         return
     yield from _addresses_and_cards(text)
@@ -125,17 +142,36 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
     """``kind, start, end, score`` of the personal data in a text, by start and kind.
 
     Places count code points, the end is exclusive. Spans of the four base kinds
-    always stay, with their score; those of the further kinds need ``LEAST``.
+    always stay, with their score. Those of the further kinds need ``LEAST``, which
+    context gives or takes; one that overlaps a span with a higher score, or a base span
+    with the same score, goes (ties to the earlier start, then to the kind listed first).
     """
     text = text or ""
-    out = []
+    base, more = [], []
     for kind, start, end in _proposed(text):
         around = text[max(0, start - REACH):start] + "\n" + text[end:end + REACH]
         score = PRIOR[kind] + HELPS * bool(_NEAR[kind].search(around)) - HURTS * bool(_FAR[kind].search(around))
         score = round(min(1.0, max(0.0, score)), 3)
-        if kind in BASE or score >= LEAST:
-            out.append((kind, start, end, score))
-    return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
+        if kind in BASE:
+            base.append((kind, start, end, score))
+        elif score >= LEAST:
+            more.append((kind, start, end, score))
+    return sorted([*base, *_not_beaten(more, base)], key=lambda s: (s[1], KINDS.index(s[0])))
+
+
+def _not_beaten(more: list[tuple[str, int, int, float]], base: list[tuple[str, int, int, float]]) -> Iterator[tuple[str, int, int, float]]:
+    """Spans of further kinds without a better one over the same characters, in one sweep by start."""
+    rows = sorted([(s, True) for s in base] + [(s, False) for s in more], key=lambda r: (r[0][1], KINDS.index(r[0][0])))
+    open_, beaten = [], set()
+    for span, sure in rows:
+        open_ = [o for o in open_ if o[0][2] > span[1]]
+        for other, other_sure in open_:
+            if other[3] > span[3] or other[3] == span[3] and (other_sure or not sure):
+                beaten.add(span)
+            else:
+                beaten.add(other)
+        open_.append((span, sure))
+    return (span for span in more if span not in beaten)
 
 
 SPANS = T.ArrayType(T.StructType([

@@ -82,7 +82,7 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 
 @query("op4_pii")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    """Personal data in every text, counted and listed."""
+    """Personal data in every text, counted and listed with its scores."""
     found = pii.find_pii(table(spark, folder, "documents").select("doc_id", "text"))
     listed = F.lit(list(pii.BASE))
     base = F.filter("pii", lambda s: F.array_contains(listed, s["kind"]))
@@ -93,7 +93,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[F.size(F.expr(f"filter(pii, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in pii.BASE],
-        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"),
+        F.array_join(F.col("pii.score").cast("array<string>"), ",").alias("scores"))
 
 
 @query("op5_topk", """

@@ -27,7 +27,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, a similarity of 0.8 or more."""
+    """One document of each group of near duplicates, by SimHash and min-hashes: five-word shingles, a similarity of 0.8 or more."""
     return similar.one_of_each(docs)
 
 

@@ -584,6 +584,36 @@ def test_near_copies_by_five_words_equal_brute_force(spark, odd, empty, monkeypa
     assert similar.one_of_each(odd).columns == odd.columns and similar.one_of_each(empty).collect() == []
 
 
+def test_near_copies_come_by_simhash(spark):
+    """Without a min-hash key what SimHash proposes is linked if it is alike, and all of the radius is proposed."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(8):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join([*words[:-1], "other"])), (10 * k + 2, " ".join(words[::-1]))]
+    frame = texts(spark, rows).select(simhash.row_of("doc_id", "text").alias("row"), "text")
+    sketches = similar._sketches(frame).withColumn("keys", F.expr("cast(array() as array<bigint>)")).cache()
+    of = {r["node"]: (r["id"], similar.shingles(dict(rows)[r["id"]])) for r in sketches.select("node", "row.id").collect()}
+    prints = {n: simhash.fingerprint_of(s) for n, (_, s) in of.items()}
+    assert {r["node"]: r["fingerprint"] % (1 << 64) for r in sketches.collect()} == prints
+
+    def share(a, b):
+        both = len(np.intersect1d(of[a][1], of[b][1]))
+        return both / (len(of[a][1]) + len(of[b][1]) - both)
+
+    near = {(a, b) for a in of for b in of if a < b and (prints[a] ^ prints[b]).bit_count() <= similar.RADIUS and share(a, b) >= 0.8}
+    found = {(min(r), max(r)) for r in similar.links(sketches, frame).collect()}
+    assert len(near) >= 6 and found == near
+
+
+def test_alike_fingerprints_of_unlike_texts_are_no_link(spark):
+    rows = [(1, " ".join(f"a{k}" for k in range(50))), (2, " ".join(f"b{k}" for k in range(50))), (3, " ".join(f"a{k}" for k in range(49)))]
+    frame = texts(spark, rows).select(simhash.row_of("doc_id", "text").alias("row"), "text")
+    sketches = similar._sketches(frame).withColumns({"keys": F.expr("cast(array() as array<bigint>)"), "fingerprint": F.expr("row.id % 2")})
+    ids = {r["node"]: r["id"] for r in sketches.select("node", "row.id").collect()}
+    assert [sorted(ids[n] for n in r) for r in similar.links(sketches, frame).collect()] == [[1, 3]]
+
+
 def test_blocks_of_words_overlap(monkeypatch):
     text = " ".join(f"w{k}" for k in range(500))
     whole = simhash.fingerprint(text)

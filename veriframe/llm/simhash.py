@@ -51,14 +51,30 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         spread = [words[k:] for k in range(shingle)]
         hashes = np.array([xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*spread)], np.uint64)
         total += len(hashes)
-        for part in range(0, len(hashes), 1 << 16):
-            piece = hashes[part:part + (1 << 16)]
-            ones += np.unpackbits(piece.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        ones += _ones(hashes)
     if not total:
         return xxhash.xxh64_intdigest(b" ".join(rest), SEED) if rest else 0
+    return _majority(ones, total)
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """In how many hashes each bit is set."""
+    ones = np.zeros(BITS, np.int64)
+    for part in range(0, len(hashes), 1 << 16):
+        piece = hashes[part:part + (1 << 16)]
+        ones += np.unpackbits(piece.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return ones
+
+
+def _majority(ones: np.ndarray, total: int) -> int:
     return int(np.packbits(ones * 2 > total, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """SimHash of shingle hashes as an unsigned number; none gives zero."""
+    return _majority(_ones(hashes), len(hashes))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, out: str = "fingerprint") -> DataFrame:
     """The rows with their fingerprint as a signed long.
 

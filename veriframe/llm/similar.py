@@ -1,4 +1,4 @@
-"""Near copies of texts by their word shingles: candidates by min-hashes, each verified by its exact Jaccard similarity."""
+"""Near copies of texts by their word shingles: SimHash fingerprints, then min-hashes for what lies beyond their radius, each pair verified by its exact Jaccard similarity."""
 
 from __future__ import annotations
 
@@ -10,13 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veriframe.llm import simhash
 from veriframe.llm.components import components
 from veriframe.llm.shared import slices, stored, with_columns
-from veriframe.llm.simhash import _LOWER, _word_blocks, only, row_of
+from veriframe.llm.simhash import _LOWER, SEED, _word_blocks, only, row_of
 
 SHINGLE = 5
 #: The least similarity of a near copy, in hundredths.
 LEAST = 80
+#: Bits in which fingerprints of candidates differ at most, and blocks they are cut into: two of them agree, 28 keys of 16 bits.
+RADIUS, BLOCKS = 6, 8
 #: Keys of a text and min-hashes in each: a pair at 0.8 shares no key with a probability of (1 - 0.8^4)^32 = 4e-8.
 BANDS, ROWS = 32, 4
 _DRAW = np.random.default_rng(42)
@@ -36,9 +39,9 @@ def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
         if len(words) >= shingle:
             whole = True
             spread = [words[k:] for k in range(shingle)]
-            found.append(np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(s)) for s in zip(*spread)], np.uint64)))
+            found.append(np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*spread)], np.uint64)))
     if not whole:
-        found = [np.array([xxhash.xxh64_intdigest(b" ".join(rest))] if rest else [], np.uint64)]
+        found = [np.array([xxhash.xxh64_intdigest(b" ".join(rest), SEED)] if rest else [], np.uint64)]
     return np.unique(np.concatenate(found))
 
 
@@ -57,8 +60,10 @@ def _signed(value: int) -> int:
 
 
 def _sketches(rows: DataFrame) -> DataFrame:
-    """``row, node, n, keys``: the hash of a row's shingle set, its size and its keys."""
-    schema = T.StructType([*rows.drop("text").schema.fields, T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    """``row, node, n, fingerprint, keys``: the hash of a row's shingle set, its size, its SimHash and its min-hash keys."""
+    schema = T.StructType([
+        *rows.drop("text").schema.fields, T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType()),
+        T.StructField("fingerprint", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for batch, texts in slices(batches, "text"):
@@ -66,6 +71,7 @@ def _sketches(rows: DataFrame) -> DataFrame:
             yield with_columns(batch.drop_columns(["text"]), {
                 "node": pa.array([_signed(xxhash.xxh64_intdigest(s.tobytes())) for s in sets], pa.int64()),
                 "n": pa.array([len(s) for s in sets], pa.int32()),
+                "fingerprint": pa.array([_signed(simhash.fingerprint_of(s)) for s in sets], pa.int64()),
                 "keys": pa.array([band_keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64()))})
 
     return rows.mapInArrow(run, schema)
@@ -100,25 +106,49 @@ def _sized(pairs: DataFrame) -> DataFrame:
     return pairs.where(f"100 * cast(least(m, n) as long) >= {LEAST} * cast(greatest(m, n) as long)").select("a", "b").distinct()
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """Pairs ``a, m, b, n`` that SimHash proposes among the nodes ``node, n, fingerprint``.
+
+    The least node of a fingerprint meets the others of the same one, and the least ones
+    of fingerprints that differ in at most ``RADIUS`` bits meet along links that connect all of these.
+    """
+    prints = stored(nodes.groupBy("fingerprint").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("nodes")), "prints")
+    pair = [F.col("x.node").alias("a"), F.col("x.n").alias("m"), F.col("y.node").alias("b"), F.col("y.n").alias("n")]
+    equal = nodes.select("fingerprint", F.struct("node", "n").alias("y")).join(
+        prints.where("nodes > 1").select("fingerprint", F.col("lead").alias("x")), "fingerprint").where("x.node <> y.node")
+    near = simhash.links(prints, RADIUS, BLOCKS)
+    x, y = (prints.select(F.col("fingerprint").alias(end), F.col("lead").alias(name)) for end, name in (("a", "x"), ("b", "y")))
+    return equal.select(*pair).unionAll(near.join(x, "a").join(y, "b").select(*pair))
+
+
 def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges ``a, b`` that connect all nodes that share a key and are alike; ``texts`` has ``row, text``.
+    """Edges ``a, b`` that connect all nodes that are alike and are proposed by SimHash or share a key; ``texts`` has ``row, text``.
 
-    First every member of a key is compared with its least one. Where that leaves
+    First come the pairs of SimHash. Fingerprints of a pair at 0.8 may differ in more bits than any
+    radius with narrow groups allows, so min-hash keys follow for the rest: every member of a key is compared
+    with its least one unless SimHash has connected them. Where that leaves
     members of a key in several components, those outside the least one's component are
     compared with all members, in cells of at most about twice ``GROUP`` sets; a cell
     answers with links that connect what is alike, not with all pairs. Keys with the same members are one.
     """
-    keys = stored(sketches.select("node", "n", F.explode("keys").alias("key")).distinct(), "keys")
-    shared = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("members")).where("members > 1")
+    nodes = stored(sketches.where("n > 0").select("node", "n", "fingerprint", "keys").distinct(), "nodes")
+    proposed = stored(_sized(_by_fingerprint(nodes.select("node", "n", "fingerprint"))), "proposed")
+    keys = stored(nodes.select("node", "n", F.explode("keys").alias("key")), "keys")
+    shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     met = stored(keys.join(shared, "key"), "met")
-    starred = stored(_sized(met.where("node <> lead.node").select(F.col("lead.node").alias("a"), F.col("lead.n").alias("m"), F.col("node").alias("b"), "n")), "pairs")
-    involved = met.select("node").distinct()
+    involved = met.select("node").unionAll(proposed.select("a")).unionAll(proposed.select("b")).distinct()
     # copies are one row of each task before they meet
     one = sketches.groupBy("node").agg(F.min("row").alias("row")).join(involved, "node", "left_semi").select("node", "row.id", "row.one", "row.other")
     same = (F.xxhash64("text") == F.col("one")) & (F.xxhash64(F.lit(1), "text") == F.col("other")) & F.col("row.id").eqNullSafe(F.col("id"))
     found = texts.join(one, same).select("node", "text").dropDuplicates(["node"])
     sets = stored(_sets(found), "sets")
-    first = stored(_verified(starred, sets), "alike")
+    printed = stored(_verified(proposed, sets), "alike")
+    joined = stored(components(printed), "roots")
+    rooted = met.join(joined, "node", "left").select("key", F.struct("node", "n", F.coalesce("root", "node").alias("root")).alias("y"))
+    leads = rooted.groupBy("key").agg(F.min("y").alias("x"))
+    starred = stored(_sized(rooted.join(leads, "key").where("x.root <> y.root").select(
+        F.col("x.node").alias("a"), F.col("x.n").alias("m"), F.col("y.node").alias("b"), F.col("y.n").alias("n"))), "pairs")
+    first = stored(printed.unionAll(_verified(starred, sets)), "alike")
     roots = stored(components(first), "roots")
     placed = met.select("key", "node", "n", "members").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("key").agg(
@@ -181,7 +211,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """One document of each group of near copies: that of the least id, then of the least hash of its text; those without an id come last.
 
     Near copies are texts whose sets of five-word shingles have a Jaccard similarity
-    of at least ``LEAST`` hundredths; a group is all that such pairs connect. Texts
+    of at least ``LEAST`` hundredths; a group is all that such pairs connect. Candidates
+    come by SimHash, then by min-hashes. Texts
     without a word are equal. Rows are judged one by one, as in SimHash's.
     """
     rows = docs.select(row_of(doc_id, text).alias("row"), F.col(text).alias("text"))

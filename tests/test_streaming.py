@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from veriframe.operators.profile import metric, profile
 from veriframe.operators.sets import check_date_coverage, check_schema, reconcile
 from veriframe.operators.transform import ADDED_COLUMN, DAY, LOADED, SUM_COLUMN, daily_sum
+from veriframe.plans import flow_queries
 from veriframe.streaming import metrics as stream_metrics
 from veriframe.streaming import partials
 from veriframe.streaming.daily_sum import PARTIAL_SCHEMA, day_and_previous, merge_parts, read_output, run_daily_sum
@@ -223,3 +224,25 @@ def test_all_metrics_in_pieces_equal_batch(spark, tmp_path):
     stream_metrics.store_states(spark.createDataFrame(rows[200:], schema), plain, "day", str(tmp_path / "out" / "states"), 2)
     again = values_of(stream_metrics.read_metrics(spark, str(tmp_path / "out"), plain))
     assert again.keys() == found.keys() and all(again[k] == pytest.approx(v, rel=1e-9, abs=1e-9) if not isinstance(v, str) else True for k, v in found.items())
+
+
+def test_pieces_are_files_of_bounded_size(spark, sf, tmp_path, monkeypatch):
+    """A file doesn't grow with the table, the batches stay three."""
+    monkeypatch.setattr(flow_queries, "FILE_ROWS", 50, raising=False)
+    monkeypatch.setattr(flow_queries, "work_dir", lambda _, name: str(tmp_path / name))
+    stream = flow_queries._piecewise(spark, sf)
+    rows = spark.read.parquet(f"{sf}/events.parquet").count()
+    files = [r["count"] for r in spark.read.parquet(str(tmp_path / "pieces" / "events.parquet")).groupBy(F.input_file_name()).count().collect()]
+    assert rows > 500 and sum(files) == rows and max(files) < 100
+    batches = []
+    partials.run_available(stream, lambda batch, _: batches.append(batch.count()), str(tmp_path / "ck"))
+    assert len(batches) == 3 and sum(batches) == rows
+
+
+def test_merged_mean_is_the_sum_over_the_count(spark):
+    draw = random.Random(4)
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=k % 200), part, draw.randint(0, 20_000) / 100) for k in range(4000) for part in [draw.randrange(3)]]
+    frame = spark.createDataFrame(rows, "day date, part int, x double")
+    states = [stream_metrics.batch_states(frame.where(F.col("part") == part), [metric("Mean", "x")], "day") for part in range(3)]
+    found = stream_metrics.merge_states(states[0].unionByName(states[1]).unionByName(states[2])).collect()
+    assert len(found) == 200 and all(r["mean"] == r["total"] / r["present"] for r in found)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
@@ -211,11 +212,16 @@ def _event_stream(spark, folder):
     return read_stream(spark, folder, "events").select("user_id", "event_type", "value", "props", F.to_date("ts").alias("day"))
 
 
+#: Batches of the piecewise stream, and rows of one of its files, about: a task reads whole files, so what it holds doesn't grow with the table.
+BATCHES, FILE_ROWS = 3, 50_000
+
+
 def _piecewise(spark, folder):
-    """The event stream in several batches that each hold rows of most days."""
-    path = work_dir(spark, "pieces")
-    load(spark, folder, "events").repartition(3, "event_id").write.parquet(f"{path}/events.parquet")
-    return read_stream(spark, path, "events", files_per_batch=1).select("user_id", "event_type", "value", "props", F.to_date("ts").alias("day"))
+    """The event stream in several batches that each hold rows of most days, in files of bounded size."""
+    path, events = work_dir(spark, "pieces"), load(spark, folder, "events")
+    files = max(1, math.ceil(events.count() / (BATCHES * FILE_ROWS)))
+    events.repartition(BATCHES * files, "event_id").write.parquet(f"{path}/events.parquet")
+    return read_stream(spark, path, "events", files_per_batch=files).select("user_id", "event_type", "value", "props", F.to_date("ts").alias("day"))
 
 
 DAILY_STREAM = f"""

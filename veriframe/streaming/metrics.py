@@ -57,10 +57,10 @@ def _text(df: DataFrame, column: str) -> Column:
 
 
 def batch_states(batch: DataFrame, metrics: Sequence[Metric], day: str) -> DataFrame:
-    """The states of a batch, one row per day, state and, for counts, value."""
+    """The states of a batch, one row per day, state and, for counts, value. Entries carry the number of their state, its names come after."""
     number, texts = F.lit(None).cast("double"), F.lit(None).cast("array<string>")
-    entries = []
-    for kind, columns in wanted_states(metrics):
+    states, entries = wanted_states(metrics), []
+    for k, (kind, columns) in enumerate(states):
         a = b = number
         cells = texts
         if kind == COLUMN and columns:
@@ -70,15 +70,14 @@ def batch_states(batch: DataFrame, metrics: Sequence[Metric], day: str) -> DataF
             a, b = (F.when(both, F.col(c)).cast("double") for c in columns)
         elif kind == COUNTS:
             cells = F.array(*[_text(batch, c) for c in columns])
-        instance = Metric("", columns).instance
-        entries.append(F.struct(F.lit(kind).alias("kind"), F.lit(instance).alias("instance"), cells.alias("cells"), a.alias("a"), b.alias("b")))
+        entries.append(F.struct(F.lit(k).alias("of"), cells.alias("cells"), a.alias("a"), b.alias("b")))
     rows = batch.select(F.col(day).alias("day"), F.inline(F.array(*entries)))
-    n = F.count("a")
-    return rows.groupBy("day", *_KEY).agg(
+    n, names = F.count("a"), F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(Metric("", columns).instance).alias("instance")) for kind, columns in states])
+    return rows.groupBy("day", "of", "cells").agg(
         F.count(F.lit(1)).alias("n"), n.alias("present"), F.min("a").alias("low"), F.max("a").alias("high"),
-        F.sum("a").alias("total"), F.avg("a").alias("mean"), (F.var_pop("a") * n).alias("m2"),
-        F.avg("b").alias("mean_b"), (F.var_pop("b") * n).alias("m2_b"), (F.covar_pop("a", "b") * n).alias("c2"),
-    ).select(*_KEY, "n", "present", "low", "high", "total", "mean", "m2", "mean_b", "m2_b", "c2", "day")
+        F.sum("a").alias("total"), F.try_divide(F.sum("a"), n).alias("mean"), (F.var_pop("a") * n).alias("m2"),
+        F.try_divide(F.sum("b"), n).alias("mean_b"), (F.var_pop("b") * n).alias("m2_b"), (F.covar_pop("a", "b") * n).alias("c2"),
+    ).withColumn("name", names[F.col("of")]).select("name.*", "cells", "n", "present", "low", "high", "total", "mean", "m2", "mean_b", "m2_b", "c2", "day")
 
 
 def merge_states(states: DataFrame) -> DataFrame:
@@ -87,7 +86,7 @@ def merge_states(states: DataFrame) -> DataFrame:
     moments = states.where(F.col("kind") != COUNTS)
     weight = F.sum("present").cast("double")
     center = moments.groupBy(*[F.col(c).alias(f"of_{c}") for c in ("day", "kind", "instance")]).agg(
-        *[F.try_divide(F.sum(F.col(c) * F.col("present")), weight).alias(f"center_{c}") for c in ("mean", "mean_b")])
+        F.try_divide(F.sum("total"), weight).alias("center_mean"), F.try_divide(F.sum(F.col("mean_b") * F.col("present")), weight).alias("center_mean_b"))
     same = F.col("day").eqNullSafe(F.col("of_day")) & (F.col("kind") == F.col("of_kind")) & (F.col("instance") == F.col("of_instance"))
     a, b = F.col("mean") - F.col("center_mean"), F.col("mean_b") - F.col("center_mean_b")
     merged = moments.join(center, same).groupBy("day", *_KEY).agg(
